@@ -5,19 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, outliers
-from .shared import documents
+from . import gif, langid, minhash, mixing, outliers, packing, pii, warc
+from .shared import Workspace, documents
+
+
+def _spans_text(spans: str):
+    """kind:start:end joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(documents(spark, sf_dir).select("doc_id", "text")).withColumn("fixed", F.filter("pii_spans", lambda s: s["base"]))
+    counts = [F.expr(f"cast(size(filter(fixed, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(_spans_text("fixed"), 256).alias("base_sha256"), _spans_text("pii_spans").alias("spans"))
+
+
+def op2_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = Workspace(spark, "gif").keep(gif.store_texts(documents(spark, sf_dir)), "stored")
+    return gif.digests(stored)
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", langid.crc_remainder("doc_id", 5) == 0)
+    profiles = langid.learn_profiles(docs.where("not held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.plan(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    files = warc.write_archives(pages, Workspace(spark, "warc"))
+    kind = pages.schema["page_id"].dataType
+    return (
+        warc.read_chunks(files, with_data=False)
+        .where("is_last")
+        .select(F.col("record_id").cast(kind).alias("page_id"), F.col("payload_end").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    )
+
+
 def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = outliers.mcd_outliers(documents(spark, sf_dir))
     return out.select("doc_id", *outliers.COUNTS, "base_failed", "kept", F.round("distance2", 6).alias("distance2"))
 
 
-QUERIES = {"op3_minhash": op3_minhash, "op10_outliers": op10_outliers}
+QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op5_langid": op5_langid, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_mixing": mixing.SQL, "op9_warc": warc.SQL}

@@ -56,7 +56,7 @@ def write_file(path: str, data: bytes) -> None:
     fs, at = filesystem(path)
     fs.create_dir(os.path.dirname(at), recursive=True)
     part = f"{at}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(part) as out:
+    with fs.open_output_stream(part, compression=None) as out:
         out.write(data)
     fs.move(part, at)
 
@@ -70,7 +70,7 @@ def local_copy(path: str) -> str:
     mine = os.path.join(tempfile.gettempdir(), at.strip("/").replace("/", "_"))
     if not os.path.exists(mine):
         part = f"{mine}.{uuid.uuid4().hex}"
-        with fs.open_input_stream(at) as src, open(part, "wb") as out:
+        with fs.open_input_stream(at, compression=None) as src, open(part, "wb") as out:
             while block := src.read(1 << 22):
                 out.write(block)
         os.replace(part, mine)
