@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif, langid, minhash, mixing, outliers, packing, pii, warc
+from . import gif, kneser_ney, langid, minhash, mixing, outliers, packing, pii, warc
 from .shared import Workspace, documents
 
 
@@ -35,6 +35,12 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", langid.crc_remainder("doc_id", 7) == 2)
+    model = kneser_ney.train(docs.where("not held_out"), Workspace(spark, "kneser-ney"))
+    return kneser_ney.score(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.plan(documents(spark, sf_dir))
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
@@ -60,6 +66,6 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *outliers.COUNTS, "base_failed", "kept", F.round("distance2", 6).alias("distance2"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op5_langid": op5_langid, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers}
+QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op5_langid": op5_langid, "op6_kneser_ney": op6_kneser_ney, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers}
 
 ORACLE_SQL: dict[str, str] = {"op7_mixing": mixing.SQL, "op9_warc": warc.SQL}
