@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import minhash, outliers
+from wordmill.llm import minhash, mixing, outliers, packing, pii
 from wordmill.llm.shared import Workspace, documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the robust outlier test reject go."""
-    return outliers.mcd_outliers(docs, carry_text=True).where("kept").select(*docs.columns)
+    return outliers.drop_outliers(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return minhash.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
-STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each span of personal data gives way to a mark of its kind."""
+    return pii.redact(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each copy that the mix takes, in training order."""
+    return mixing.curriculum(docs).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+    ("packed", packed),
+]
 
 #: Robust estimates, a semi-Markov model and tokenization are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -14,7 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
@@ -135,7 +135,7 @@ def _alike(hashes: int, least: float):
 
     def run(batches):
         for table in _groups(batches, "task"):
-            keys, own = table.column("task").to_numpy(), table.column("own").to_numpy()
+            keys = table.column("task").to_numpy()
             nodes = np.array(table.column("node").to_pylist(), dtype=object)
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(keys), hashes)
             found = []
@@ -148,7 +148,6 @@ def _alike(hashes: int, least: float):
                     good = piece[same >= least * hashes]
                     if len(good):
                         found.append((good, good + gap))
-            del own
             if found:
                 x, y = (np.concatenate(v) for v in zip(*found))
                 yield _star_batch(nodes, _labels(len(nodes), x, y))
@@ -286,7 +285,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     spots = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = spots.join(shared, "bucket").join(classes.select("node", "sig"), "node")
-    tasks = _in_blocks(members, "bucket", "size", "node", BUCKET_BLOCK).select("task", "own", "node", "sig")
+    tasks = _in_blocks(members, "bucket", "size", "node", BUCKET_BLOCK).select("task", "node", "sig")
     alike = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_alike(bands * rows, likely), "u binary, v binary")
     candidates = work.keep(connected_components(alike, work, "candidates"), "candidates")
 
@@ -309,6 +308,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull() & F.col("doc_id").isNull()).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, **options) -> DataFrame:
+    """The rows of ``docs`` that carry the smallest doc_id of their component, one a doc_id (of several the one whose
+    text has the smallest digest). Rows without a doc_id all stay, as no id can name their component."""
+    verdicts = near_duplicates(docs, shingle, percent, **options).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    left = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"), F.md5("text").alias("text_digest"))
+    stay = left.join(verdicts, F.col("row_id") == F.col("kept_id"), "left_semi")
+    one = stay.withColumn("place", F.row_number().over(Window.partitionBy("row_id").orderBy("text_digest"))).where("place = 1")
+    out = one.select("row").union(left.where("row_id is null").select("row"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def _keyed(shingle: int):
     def run(batches):
         for batch in batches:
@@ -316,3 +326,24 @@ def _keyed(shingle: int):
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in shingle_sets(part.column("text"), shingle)], pa.binary()), part.column("text")], ["node", "text"])
 
     return run
+
+
+#: The contract of three-word shingles at 85 %, by comparing all texts that share a shingle, in DuckDB.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS c FROM g GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 85 * (p.c + q.c - i)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(id, other) AS (
+  SELECT x, y FROM both_ways UNION SELECT r.id, b.y FROM reach r JOIN both_ways b ON b.x = r.other),
+low AS (SELECT id, min(other) AS low FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n.c, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.id = d.doc_id
+"""

@@ -139,10 +139,11 @@ def _measure(batches):
             v = vectors(c)
             failed = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
             langs, sources = (part.column(k).to_pylist() for k in ("lang", "source"))
-            arrays = [part.column("doc_id"), part.column("lang"), part.column("source")]
+            carried = [n for n in part.schema.names if n != "text"]
+            arrays = [part.column(n) for n in carried]
             arrays += [pa.array([_key(x) for x in langs], pa.int64()), pa.array([_key(*x) for x in zip(langs, sources)], pa.int64())]
             arrays += [pa.array(c[k].astype(np.int64)) for k in COUNTS] + [pa.array(failed)] + [pa.array(v[:, k]) for k in range(v.shape[1])]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang", "source", "lang_key", "pair_key", *COUNTS, "base_failed", *FEATURES])
+            yield pa.RecordBatch.from_arrays(arrays, [*carried, "lang_key", "pair_key", *COUNTS, "base_failed", *FEATURES])
 
 
 P = len(FEATURES)
@@ -197,20 +198,15 @@ def half_consistency() -> float:
     return 0.5 / float((rng.chisquare(P + 2, 400_000) <= d).mean())
 
 
-def mcd_outliers(docs: DataFrame, small: int = 200, steps: int = 6, cutoff: float = 60.0) -> DataFrame:
-    """Counts, vector, ``distance2`` and ``kept`` for each row of ``docs`` (doc_id, text, lang, source).
-
-    ``cutoff`` bounds the squared robust distance; for 7 normal features a clean text passes 60 with a probability
-    of 1 - 2e-10, so what it rejects is far from the bulk of its language and source rather than in its tail.
-    """
-    spark = docs.sparkSession
-    work = Workspace(spark, "outliers")
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "lang", "source")}
-    thin = docs.select("doc_id", "text", "lang", "source").mapInArrow(
-        _measure,
-        ", ".join([*(f"{c} {k}" for c, k in kinds.items()), "lang_key long, pair_key long", *(f"{c} long" for c in COUNTS), "base_failed boolean", *(f"{c} double" for c in FEATURES)]),
-    )
-    thin = work.keep(thin, "thin")
+def measure(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` but text, and the counts, keys and vector of the text."""
+    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
+    made = ", ".join(["lang_key long, pair_key long", *(f"{c} long" for c in COUNTS), "base_failed boolean", *(f"{c} double" for c in FEATURES)])
+    return docs.mapInArrow(_measure, f"{carried}, {made}")
+
+
+def fit(thin: DataFrame, work: Workspace, small: int = 200, steps: int = 6) -> DataFrame:
+    """pair_key and the estimate that holds for it, from measured rows; a kept table, so that its size is known."""
     keys = work.keep(_keys(thin, small), "keys")
     # a wider group is fitted on all its rows, but only where some pair needs it
     needed = keys.select("grp").distinct()
@@ -218,23 +214,56 @@ def mcd_outliers(docs: DataFrame, small: int = 200, steps: int = 6, cutoff: floa
     own = base.select(F.col("pair_key").alias("grp"), *FEATURES)
     of_lang = base.select(F.col("lang_key").alias("grp"), *FEATURES)
     whole = base.select(F.lit(WHOLE).cast("long").alias("grp"), *FEATURES)
-    rows_of = own.union(of_lang).union(whole).join(needed, "grp", "left_semi")
-    rows_of = work.keep(rows_of, "fit")
+    rows_of = work.keep(own.union(of_lang).union(whole).join(needed, "grp", "left_semi"), "fit")
 
     middle = rows_of.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(f, [0.25, 0.5, 0.75], 2000).alias(f"q_{f}") for f in FEATURES])
     zero = F.lit(0.0)
-    start = middle.where(F.col("n") >= 2 * (P + 1)).select("grp", *[F.col(f"q_{f}")[1].alias(m) for f, m in zip(FEATURES, _MEAN)], *[(1.0 / (((F.col(f"q_{FEATURES[i]}")[2] - F.col(f"q_{FEATURES[i]}")[0]) / 1.349) ** 2 + float(FLOOR[i] ** 2)) if i == j else zero).alias(f"p{i}_{j}") for i in range(P) for j in range(i, P)], zero.alias("logdet"))
-    state = work.keep(start, "state-0")
+
+    def spread(i: int):
+        q = F.col(f"q_{FEATURES[i]}")
+        return ((q[2] - q[0]) / 1.349) ** 2 + float(FLOOR[i] ** 2)
+
+    medians = [F.col(f"q_{f}")[1].alias(m) for f, m in zip(FEATURES, _MEAN)]
+    inverse = [(1.0 / spread(i) if i == j else zero).alias(f"p{i}_{j}") for i in range(P) for j in range(i, P)]
+    state = work.keep(middle.where(F.col("n") >= 2 * (P + 1)).select("grp", *medians, *inverse, zero.alias("logdet")), "state-0")
     scale = half_consistency()
+    run = Window.partitionBy("grp")
     for step in range(1, steps + 1):
         near = rows_of.join(state, "grp").withColumn("bin", F.floor(F.log(_mahalanobis()) * _BINS_PER_E).cast("int"))
         hist = near.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))
-        run = Window.partitionBy("grp").orderBy("bin")
-        bound = hist.withColumn("upto", F.sum("n").over(run)).withColumn("all", F.sum("n").over(Window.partitionBy("grp"))).where(F.col("upto") * 2 >= F.col("all")).groupBy("grp").agg(F.min("bin").alias("top"))
+        upto = hist.withColumn("upto", F.sum("n").over(run.orderBy("bin"))).withColumn("all", F.sum("n").over(run))
+        bound = upto.where(F.col("upto") * 2 >= F.col("all")).groupBy("grp").agg(F.min("bin").alias("top"))
         inner = near.join(bound, "grp").where("bin <= top")
-        sums = inner.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)], *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)])
+        products = [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}_{j}") for i in range(P) for j in range(i, P)]
+        sums = inner.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)], *products)
         state = work.keep(sums.withColumn("scale", F.lit(scale)).mapInPandas(_solve, f"grp long, {_STATE}"), f"state-{step}")
-    # pairs all of whose rows fail the base rules have no key, and need none
-    judge = keys.join(state, "grp").drop("lang_key")
-    scored = thin.join(judge, "pair_key", "left").withColumn("distance2", F.when(F.col("grp").isNotNull(), _mahalanobis()))
-    return scored.select("doc_id", "lang", "source", *COUNTS, "base_failed", *FEATURES, "distance2", (~F.col("base_failed") & F.coalesce(F.col("distance2") <= cutoff, F.lit(True))).alias("kept"))
+    return work.keep(keys.join(state, "grp").drop("lang_key", "grp"), "judge")
+
+
+def judge(measured: DataFrame, estimates: DataFrame, cutoff: float) -> DataFrame:
+    """``measured`` with distance2 and kept; pairs all of whose rows fail the base rules have no estimate and need none."""
+    scored = measured.join(estimates, "pair_key", "left").withColumn("distance2", F.when(F.col(_MEAN[0]).isNotNull(), _mahalanobis()))
+    return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") <= cutoff, F.lit(True)))
+
+
+#: Bounds the squared robust distance. For 7 normal features a clean text passes with a probability of 1 - 2e-10, so what
+#: is rejected is far from the bulk of its language and source rather than in its tail.
+CUTOFF = 60.0
+
+
+def mcd_outliers(docs: DataFrame, small: int = 200, steps: int = 6, cutoff: float = CUTOFF) -> DataFrame:
+    """Counts, vector, ``distance2`` and ``kept`` for each row of ``docs`` (doc_id, text, lang, source)."""
+    work = Workspace(docs.sparkSession, "outliers")
+    thin = work.keep(measure(docs.select("doc_id", "text", "lang", "source")), "thin")
+    scored = judge(thin, fit(thin, work, small, steps), cutoff)
+    return scored.select("doc_id", "lang", "source", *COUNTS, "base_failed", *FEATURES, "distance2", "kept")
+
+
+def drop_outliers(docs: DataFrame, small: int = 200, steps: int = 6, cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns. The estimates are fitted on a thin table; the texts are
+    measured again for the verdict, which costs less than carrying them through it."""
+    work = Workspace(docs.sparkSession, "outliers")
+    thin = work.keep(measure(docs.select("text", "lang", "source")), "thin")
+    estimates = fit(thin, work, small, steps)
+    whole = measure(docs.select(F.struct(*docs.columns).alias("row"), "text", "lang", "source"))
+    return judge(whole, estimates, cutoff).where("kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])

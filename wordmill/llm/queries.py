@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif, kneser_ney, langid, minhash, mixing, outliers, packing, pii, warc
+from . import gif, kneser_ney, langid, licenses, minhash, mixing, outliers, packing, pii, warc
 from .shared import Workspace, documents
 
 
@@ -29,6 +29,11 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=3, percent=85)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.array_join("license_sentences", ",").alias("license_sentences"), F.array_join("licenses", ",").alias("licenses"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", langid.crc_remainder("doc_id", 5) == 0)
     profiles = langid.learn_profiles(docs.where("not held_out"))
@@ -66,6 +71,6 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *outliers.COUNTS, "base_failed", "kept", F.round("distance2", 6).alias("distance2"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op5_langid": op5_langid, "op6_kneser_ney": op6_kneser_ney, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers}
+QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op4_licenses": op4_licenses, "op5_langid": op5_langid, "op6_kneser_ney": op6_kneser_ney, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers}
 
-ORACLE_SQL: dict[str, str] = {"op7_mixing": mixing.SQL, "op9_warc": warc.SQL}
+ORACLE_SQL: dict[str, str] = {"op3_minhash": minhash.SQL, "op4_licenses": licenses.sql(), "op7_mixing": mixing.SQL, "op9_warc": warc.SQL}
