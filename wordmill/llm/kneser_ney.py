@@ -92,11 +92,47 @@ def merge_words(parts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _cut(shards: np.ndarray, rows: np.ndarray):
+def _planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes and so on: the shuffle's compression finds the runs of zeros."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(raw, dtype, n: int, at: int = 0) -> np.ndarray:
+    dtype = np.dtype(dtype)
+    flat = np.frombuffer(raw, np.uint8, n * dtype.itemsize, at).reshape(dtype.itemsize, n)
+    return np.ascontiguousarray(flat.T).reshape(-1).view(dtype)
+
+
+def pack_pairs(rows: np.ndarray) -> bytes:
+    """Pairs by places in a list of their words, sorted by the left one; in another order than ``rows``."""
+    n = len(rows)
+    names, place = np.unique(np.concatenate([rows["left"], rows["right"]]), return_inverse=True)
+    left, right = place[:n].astype("<u4"), place[n:].astype("<u4")
+    order = np.lexsort((right, left))
+    left = left[order]
+    step = np.diff(left, prepend=left[:1]).astype("<u4")
+    head = np.array([n, len(names), left[0] if n else 0], "<u8").tobytes()
+    return head + b"".join(_planes(x) for x in (names, step, right[order], rows["n"][order].astype("<u4")))
+
+
+def unpack_pairs(raw) -> np.ndarray:
+    n, m, first = (int(x) for x in np.frombuffer(raw, "<u8", 3))
+    at = 24
+    names = _from_planes(raw, "<u8", m, at)
+    at += 8 * m
+    step, right, count = (_from_planes(raw, "<u4", n, at + 4 * n * k) for k in range(3))
+    rows = np.empty(n, PAIR)
+    rows["left"] = names[first + np.cumsum(step.astype(np.int64))]
+    rows["right"] = names[right]
+    rows["n"] = count
+    return rows
+
+
+def _cut(shards: np.ndarray, rows: np.ndarray, pack=_planes):
     """(shard, bytes) of rows that are sorted by shard."""
     at = np.flatnonzero(np.append(True, shards[1:] != shards[:-1])) if len(rows) else np.empty(0, np.int64)
     for a, b in zip(at, np.append(at[1:], len(rows))):
-        yield int(shards[a]), rows[a:b].tobytes()
+        yield int(shards[a]), pack(np.ascontiguousarray(rows[a:b]))
 
 
 def _blobs(pairs: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -118,11 +154,11 @@ def _count(shards: int):
                     rows, hashes = merge_pairs(held)
                     held, size = [rows], len(rows)
                     if size > BUFFER // 2:
-                        yield _blobs(list(_cut(shard_of(hashes, shards), rows)))
+                        yield _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
                         held, size = [], 0
         if size:
             rows, hashes = merge_pairs(held)
-            yield _blobs(list(_cut(shard_of(hashes, shards), rows)))
+            yield _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
 
     return run
 
@@ -144,13 +180,12 @@ def _pair_shards(folder: str, shards: int):
         parts: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("rows")):
-                parts.setdefault(shard, []).append(np.frombuffer(raw.as_buffer(), PAIR))
+                parts.setdefault(shard, []).append(unpack_pairs(raw.as_buffer()))
         for shard in sorted(parts):
             rows, hashes = merge_pairs(parts.pop(shard))
             write_file(f"{folder}/pairs-{shard:05d}", hashes.tobytes() + rows["n"].astype("<u4").tobytes())
-            for side in _tally(rows):
-                words = merge_words([side])
-                yield _blobs(list(_cut(shard_of(words["word"], shards), words)))
+            words = merge_words(_tally(rows))
+            yield _blobs(list(_cut(shard_of(words["word"], shards), words)))
 
     return run
 
@@ -163,7 +198,7 @@ def _word_shards(folder: str):
         parts: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("rows")):
-                parts.setdefault(shard, []).append(np.frombuffer(raw.as_buffer(), WORD))
+                parts.setdefault(shard, []).append(_from_planes(raw.as_buffer(), WORD, raw.as_buffer().size // WORD.itemsize))
         for shard in sorted(parts):
             words = merge_words(parts.pop(shard))
             write_file(f"{folder}/words-{shard:05d}", words.tobytes())
