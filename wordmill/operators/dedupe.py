@@ -40,11 +40,16 @@ def keep_most(rows: DataFrame, by: list[str], order: list[str], most: int) -> Da
     return rows.withColumn("kept_place", F.row_number().over(w)).where(F.col("kept_place") <= most).drop("kept_place")
 
 
+#: Rare words that a pair has to share before it is compared.
+_RARE = 3
+
+
 def similar_pairs(rows: DataFrame, group: str, key: str, text: str, threshold: float) -> DataFrame:
     """Pairs i < j of one group whose Jaccard similarity of words, without stop words, reaches the threshold.
 
-    Exact, by prefix filtering: two sets that are as similar share a word among the rarest ``n - ceil(t * n) + 1``
-    of each, so only rows that share such a word meet. Equal sets (copies) are compared once, as one class.
+    Exact, by prefix filtering: two sets that are as similar share k words among the rarest ``n - ceil(t * n) + k``
+    of each (all they share if that is less), so only rows that share so many rare words are compared. Equal sets
+    (copies) are compared once, as one class.
     """
     sets = rows.select(group, F.col(key).alias("k"), T.content_words(text).alias("words")).where(F.size("words") > 0)
     sets = sets.withColumn("words", F.array_sort("words")).withColumn("class", F.xxhash64(group, "words"))
@@ -52,10 +57,12 @@ def similar_pairs(rows: DataFrame, group: str, key: str, text: str, threshold: f
     spread = classes.select(group, "class", F.size("words").alias("n"), F.explode("words").alias("word"))
     frequency = spread.groupBy(group, "word").agg(F.count(F.lit(1)).alias("df"))
     place = Window.partitionBy(group, "class").orderBy("df", "word")
-    prefix = spread.join(frequency, [group, "word"]).withColumn("place", F.row_number().over(place)).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+    prefix = spread.join(frequency, [group, "word"]).withColumn("place", F.row_number().over(place)).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + _RARE)
     a = prefix.select(group, "word", F.col("class").alias("a"), F.col("n").alias("na"))
     b = prefix.select(group, "word", F.col("class").alias("b"), F.col("n").alias("nb"))
-    met = a.join(b, [group, "word"]).where((F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * threshold) & (F.col("nb") >= F.col("na") * threshold)).select(group, "a", "b").distinct()
+    met = a.join(b, [group, "word"]).where((F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * threshold) & (F.col("nb") >= F.col("na") * threshold))
+    shared = F.least(F.lit(_RARE), F.min(F.ceil(F.least("na", "nb") * threshold - 1e-9)))
+    met = met.groupBy(group, "a", "b").agg(F.count(F.lit(1)).alias("n"), shared.alias("least_n")).where("n >= least_n").select(group, "a", "b")
     left, right = (classes.select(group, F.col("class").alias(c), F.col("words").alias(f"w{c}")) for c in "ab")
     alike = met.join(left, [group, "a"]).join(right, [group, "b"]).withColumn("similarity", T.similarity("wa", "wb")).where(F.col("similarity") >= threshold).select(group, "a", "b", "similarity")
     within = classes.select(group, F.col("class").alias("a"), F.col("class").alias("b"), F.lit(1.0).alias("similarity"))
@@ -117,5 +124,6 @@ def decide_duplicates(rows: DataFrame, group: str, key: str, text: str, decide:
                     lines[i] = line
         return pd.DataFrame({group: [names[0]] * len(lines), key: list(lines), text: list(lines.values())})
 
-    folded = touched.groupBy(group).cogroup(pairs.groupBy(group)).applyInPandas(fold, f"{group} {kind[group]}, {key} {kind[key]}, {text} string")
+    apart = touched.select(F.col(group).alias("group_key"), key, text).groupBy("group_key"), pairs.select(F.col(group).alias("pair_key"), "i", "j", "similarity").groupBy("pair_key")
+    folded = apart[0].cogroup(apart[1]).applyInPandas(fold, f"{group} {kind[group]}, {key} {kind[key]}, {text} string")
     return rows.select(group, key, text).join(involved, [group, key], "left_anti").unionByName(folded)

@@ -545,11 +545,11 @@ def delta_applied(t):
 # ------------------------------------------------------------ similar and extended definitions
 
 
-@query(f"""WITH w AS (SELECT doc_id, lang, {D.content_words('text')} AS w FROM documents), s AS (SELECT doc_id, lang, len(w) AS n, unnest(w) AS t FROM w),
-p AS (SELECT a.lang, a.doc_id AS i, b.doc_id AS j, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common FROM s a JOIN s b ON a.lang = b.lang AND a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2, 3)
-SELECT lang, i, j, round(common / (na + nb - common), 6) AS similarity FROM p WHERE common / (na + nb - common) >= 0.5""")
+@query(f"""WITH w AS (SELECT doc_id, source, {D.content_words('text')} AS w FROM documents), s AS (SELECT doc_id, source, len(w) AS n, unnest(w) AS t FROM w),
+p AS (SELECT a.source, a.doc_id AS i, b.doc_id AS j, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common FROM s a JOIN s b ON a.source = b.source AND a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2, 3)
+SELECT source, i, j, round(common / (na + nb - common), 6) AS similarity FROM p WHERE common / (na + nb - common) >= 0.5""")
 def similar_pairs(t):
-    return dedupe.similar_pairs(t.documents, "lang", "doc_id", "text", 0.5).withColumn("similarity", F.round("similarity", 6))
+    return dedupe.similar_pairs(t.documents, "source", "doc_id", "text", 0.5).withColumn("similarity", F.round("similarity", 6))
 
 
 _EXT = f"""CASE WHEN starts_with(e, b) THEN length(e) > length(b) * 1.1 WHEN contains(e, ';') THEN {D.without_dots("string_split(e, ';')[1]")} = b

@@ -6,8 +6,12 @@ ENHANCEMENT_VERSION = "pocket_v1"
 BUILDER_VERSION = "stage1_v1"
 
 
+_TYPES = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "STRING": T.StringType(), "BOOLEAN": T.BooleanType(), "ARRAY<STRING>": T.ArrayType(T.StringType())}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Columns as "name TYPE, ..."; works before there is a session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in text.split(", "))])
 
 
 EXTRACT_RUNS = _schema("id BIGINT, extract_key STRING, source_path STRING, file_size BIGINT, sha256 STRING, status STRING, builder_version STRING, started_at BIGINT, completed_at BIGINT, notes STRING")
