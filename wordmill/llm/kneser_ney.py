@@ -94,7 +94,7 @@ def merge_words(parts: list[np.ndarray]) -> np.ndarray:
 
 def _planes(values: np.ndarray) -> bytes:
     """First bytes of all values, then second bytes and so on: the shuffle's compression finds the runs of zeros."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
 
 
 def _from_planes(raw, dtype, n: int, at: int = 0) -> np.ndarray:
