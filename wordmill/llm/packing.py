@@ -3,7 +3,8 @@
 Each partition keeps at most ``open_windows`` open windows. A piece goes to the window it fills best; when none has
 room the fullest is emitted (topped up with the head of the piece if ``least_cut`` tokens or more fit) and a new one is
 opened. Documents longer than a window are cut into full ones first. What is still open at the end of a partition
-is merged: open windows of all partitions are dealt out in lots of bounded size and combined best-fit, largest first.
+is merged: open windows of all partitions are dealt out in lots of bounded size and their pieces combined best-fit, largest
+first.
 
 Defined results: a null text counts as empty; it has one piece, the end token. Repeated rows are packed each for
 itself. Order and partitions of the input decide the packing, and a task that runs again makes the same pieces.
@@ -162,27 +163,29 @@ def _pack(paths, window: int, open_windows: int, least_cut: int, with_ids: bool)
 
 
 def _merge(window: int):
-    """Open windows of one lot, largest first into the fullest merged window with room."""
+    """The pieces of one lot's open windows, largest first, each into the fullest merged window with room."""
 
     def run(batches):
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
+        base = 1 << 62 | TaskContext.get().partitionId() << 32
+        batches = list(batches)
+        table = pa.Table.from_batches(batches) if batches else None
         if table is None or not table.num_rows:
             return
         ids, offset, length = (table.column(c).to_numpy() for c in ("sequence_id", "offset", "length"))
-        order = np.lexsort((offset, ids))
-        first = np.flatnonzero(np.append(True, np.diff(ids[order]) != 0))
-        fill = np.add.reduceat(length[order], first)
-        free: list[tuple[int, int]] = []  # (free tokens, the sequence that the merged window is named after)
-        new_id, shift = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
-        for w in np.lexsort((ids[order][first], -fill)).tolist():
-            at = bisect.bisect_left(free, (int(fill[w]), -1))
-            room, name = free.pop(at) if at < len(free) else (window, int(ids[order][first[w]]))
-            new_id[w], shift[w] = name, window - room
-            bisect.insort(free, (room - int(fill[w]), name))
-        counts = np.diff(np.append(first, len(order)))
-        table = table.take(pa.array(order))
-        table = table.set_column(table.schema.get_field_index("sequence_id"), "sequence_id", pa.array(np.repeat(new_id, counts)))
-        table = table.set_column(table.schema.get_field_index("offset"), "offset", pa.array(offset[order] + np.repeat(shift, counts)))
+        free: list[tuple[int, int]] = []  # (free tokens, number)
+        made = 0
+        new_id, new_offset = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
+        for row in np.lexsort((offset, ids, -length)).tolist():
+            size = int(length[row])
+            at = bisect.bisect_left(free, (size, -1))
+            if at < len(free):
+                room, number = free.pop(at)
+            else:
+                room, number, made = window, made, made + 1
+            new_id[row], new_offset[row] = base | number, window - room
+            bisect.insort(free, (room - size, number))
+        for name, values in (("sequence_id", new_id), ("offset", new_offset)):
+            table = table.set_column(table.schema.get_field_index(name), name, pa.array(values))
         yield from table.combine_chunks().to_batches()
 
     return run
