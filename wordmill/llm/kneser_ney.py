@@ -164,15 +164,23 @@ def _count(shards: int):
 
 
 def _tally(rows: np.ndarray) -> list[np.ndarray]:
-    """What distinct pairs tell of their words: as second word, and as context."""
-    right = np.zeros(len(rows), WORD)
-    right["word"], right["count"], right["before"] = rows["right"], rows["n"], 1
-    left = np.zeros(len(rows), WORD)
-    left["word"], left["total"] = rows["left"], rows["n"]
-    for k in (1, 2):
-        left[f"n{k}"] = rows["n"] == k
-    left["n3"] = rows["n"] >= 3
-    return [right, left]
+    """What distinct pairs tell of their words: as second word, and as context; a row for each word and side."""
+    out = []
+    for side in ("right", "left"):
+        order = np.argsort(rows[side], kind="stable")
+        keys, n = rows[side][order], rows["n"][order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+        words = np.zeros(len(first), WORD)
+        if len(first):
+            words["word"] = keys[first]
+            if side == "right":
+                words["count"], words["before"] = np.add.reduceat(n, first), np.diff(np.append(first, len(keys)))
+            else:
+                words["total"] = np.add.reduceat(n, first)
+                for k in (1, 2, 3):
+                    words[f"n{k}"] = np.add.reduceat((n == k if k < 3 else n >= k).astype(np.int64), first)
+        out.append(words)
+    return out
 
 
 def _pair_shards(folder: str, shards: int):
