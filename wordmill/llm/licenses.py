@@ -2,8 +2,10 @@
 
 A text is lower-cased, cut into sentences and each sentence reduced to its letters and digits. Sentences that are known
 become identifiers, others are skipped, and a licence is recognised where its rule's identifiers follow each other in
-the text's sequence. Texts are cut twice, at line ends and with lines joined, so both notices on a line of their own
-and wrapped paragraphs are read. It is one narrow pass: no shuffle, no Python.
+the text's sequence. Texts are cut three times: at line ends, with lines joined, and with the lines of a paragraph joined,
+where lines without letters and digits and lines that are only a URL end a sentence. So notices on a line of their own,
+wrapped sentences, and wrapped paragraphs below a title or a copyright line are read. A "v." before a digit ends no
+sentence at line ends and in paragraphs. It is one narrow pass: no shuffle, no Python.
 
 Defined results: a null or empty text has no identifiers and no licences. Repeated sentences repeat their identifier. A
 licence is named once; names are in the order of RULES. Rows are judged one by one; other columns are ignored.
@@ -86,41 +88,57 @@ RULES = (
     ("CC-BY-ND-4.0", ("cc_by_nd_notice",)),
 )
 
+#: Sentences and rules that only the operator reads, not its SQL: other wordings of public texts.
+MORE_SENTENCES = {
+    "mpl_copy_tls": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
+    "mpl_copy_at": "If a copy of the MPL was not distributed with this file, You can obtain one at",
+}
+MORE_RULES = (("MPL-2.0", ("mpl_terms", "mpl_copy_tls")), ("MPL-2.0", ("mpl_terms", "mpl_copy_at")))
+
 _STOP, _OTHER = r"[.:;!?]+\s+", r"[^\p{L}\p{N}\n]+"
+_URL_LINE = r"(?:^|\n)[^\p{L}\p{N}\n]*+https?://\S++[^\S\n]*+(?=\n|$)"
+_BLANK_LINES = r"\n[^\p{L}\p{N}]*\n"
+_VERSION = r"\bv\.\s+(?=[0-9])"
 
 
 def normal_form(sentence: str) -> str:
     return re.sub(r"[^\w\n]+|_", " ", sentence.lower()).strip()
 
 
-def sentences(text: Column, joined: bool) -> Column:
-    """Normalised sentences of a text; ``joined``: line ends are spaces."""
+def sentences(text: Column, joined: bool, paragraphs: bool = False) -> Column:
+    """Normalised sentences of a text; ``joined``: line ends are spaces, with ``paragraphs`` only inside of these."""
     text = F.lower(F.coalesce(text, F.lit("")))
+    if paragraphs:
+        text = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), _URL_LINE, ".\n")
+        text = F.regexp_replace(text, _BLANK_LINES, ".\n")
     if joined:
         text = F.translate(text, "\n\r", "  ")
+    if paragraphs or not joined:
+        text = F.regexp_replace(text, _VERSION, "v ")
     marked = F.regexp_replace(text, _STOP, "\n")
     return F.split(F.regexp_replace(marked, _OTHER, " "), "\n")
 
 
 def identifiers(found: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for name, s in SENTENCES.items() for x in (normal_form(s), name)])
+    known = F.create_map(*[F.lit(x) for name, s in (SENTENCES | MORE_SENTENCES).items() for x in (normal_form(s), name)])
     named = F.transform(found, lambda s: F.element_at(known, F.trim(s)))
     return F.filter(named, lambda i: i.isNotNull())
 
 
 def matches(ids: Column) -> Column:
     sequence = F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" "))
-    each = [F.when(F.contains(sequence, F.lit(f" {' '.join(rule)} ")), F.lit(name)) for name, rule in RULES]
+    each = [F.when(F.contains(sequence, F.lit(f" {' '.join(rule)} ")), F.lit(name)) for name, rule in RULES + MORE_RULES]
     return F.filter(F.array(*each), lambda x: x.isNotNull())
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` (with a column text), ``license_sentences`` (identifiers by lines) and ``licenses``."""
-    by_line, joined = (identifiers(sentences(F.col("text"), j)) for j in (False, True))
-    out = docs.drop("license_sentences", "licenses", "license_joined").withColumn("license_sentences", by_line).withColumn("license_joined", joined)
-    either = F.concat(matches(F.col("license_sentences")), matches(F.col("license_joined")))
+    by_line, joined, in_paragraphs = (identifiers(sentences(F.col("text"), *how)) for how in ((False,), (True,), (True, True)))
+    out = docs.drop("license_sentences", "licenses", "license_joined", "license_paragraphs").withColumn("license_sentences", by_line)
+    out = out.withColumn("license_joined", joined).withColumn("license_paragraphs", in_paragraphs)
+    either = F.concat(*[matches(F.col(c)) for c in ("license_sentences", "license_joined", "license_paragraphs")])
     order = F.array(*[F.lit(n) for n in dict.fromkeys(n for n, _ in RULES)])
-    return out.withColumn("licenses", F.array_intersect(order, either)).drop("license_joined")
+    return out.withColumn("licenses", F.array_intersect(order, either)).drop("license_joined", "license_paragraphs")
 
 
 def sql() -> str:
