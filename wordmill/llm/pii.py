@@ -2,7 +2,8 @@
 
 The model scores whole candidate segments: features see the full span (its shape, digits, checksums, the words around
 it), and dynamic programming over segments of at most ``MAX_TOKENS`` tokens chooses boundaries and types jointly. Only
-a segment that holds a trigger (two digits together, an @, a long mixed word, "dot com") can be an entity; tokens that
+a segment that holds a trigger (two digits together, an @, a long word of letters and digits, the word after a secret's
+cue, "at host dot end") can be an entity; tokens that
 no such segment reaches are outside for certain and add nothing, so decoding the stretches around triggers gives the
 best labelling of the whole text. The model is trained by maximum likelihood on sentences made here from templates.
 
@@ -28,8 +29,8 @@ from . import bytewords as bw
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "national_id", "secret")
 MAX_TOKENS = 9
-#: Most words without a digit in a segment, and they are short of 20 letters unless an @ is near.
-MAX_WORDS = 5
+#: Most words without a digit in a segment; written-out mail with dots on both sides has nine.
+MAX_WORDS = 9
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -87,9 +88,16 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 # ---------------------------------------------------------------- model
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
-_TRIGGER = re.compile(r"[0-9]{2,}|@|[\[(]at[\])]|\bdot\s(?:com|org|net|edu)\b", re.I)
+_SECRET_CUES = ("token", "key", "secret", "password", "passwd", "pwd", "apikey", "credential", "auth", "bearer")
+#: Where a group matched, it is the trigger: the word after a cue, which may be the cue of a next one.
+_TRIGGER = re.compile(
+    r"[0-9]{2,}|@|[\[(](?:at|dot)[\])]|\bdot\s(?:com|org|net|edu)\b|\bat\s[\w.-]{1,64}\sdot\s[\w-]+"
+    r"|\b(?=\w*[0-9])(?=\w*[^\W\d_])\w{16,}"
+    rf"|(?:{'|'.join(_SECRET_CUES)})s?[\"']?(?:\s{{0,3}}[=:]{{1,2}}\s{{0,3}}|(?<=bearer)\s|(?<=\bpassword)\sis\s)[\"']?(?=(\w+))",
+    re.I,
+)
 _CUES = {
-    "secret": ("token", "key", "secret", "password", "passwd", "pwd", "apikey", "credential", "auth", "bearer"),
+    "secret": _SECRET_CUES,
     "phone": ("phone", "tel", "call", "mobile", "fax", "cell", "contact"),
     "card": ("card", "visa", "credit", "debit", "payment", "mastercard"),
     "email": ("email", "mail", "write", "mailto", "contact"),
@@ -158,7 +166,7 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
 
 def stretches(text: str) -> list[tuple[list[tuple[int, int]], list[bool]]]:
     """Tokens around triggers, with a margin that no entity can cross, and which of them hold a trigger."""
-    hits = [m.span() for m in _TRIGGER.finditer(text)]
+    hits = [m.span(m.lastindex or 0) for m in _TRIGGER.finditer(text)]
     out = []
     k = 0
     while k < len(hits):
