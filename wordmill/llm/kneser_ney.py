@@ -1,15 +1,19 @@
 """Interpolated modified Kneser-Ney language model: n-grams counted in Spark, stored as sorted hash arrays, and
 memory-mapped by the workers that score.
 
-The model has words and word pairs. Counting: each task cuts its texts into words, counts its pairs in bounded
+The model has words, word pairs and, up to its order, longer n-grams. Counting at order 2: each task cuts its texts into words, counts its pairs in bounded
 buffers, and sends them as sorted arrays to the shard that owns their range of hashes; a shard merges what it gets,
 writes its pairs as a sorted array of hashes and counts, and sends what each word gathered (its count, the number of
 distinct words before it, and as a context its total and numbers of rare successors) to the shard of that word's
-hash. Nothing passes the driver but sums. Model files lie in the shared folder and are written whole under their name,
+hash. At a higher order, tasks count n-grams of that order and send them to the shard of their context (all words but the
+last), which writes them and what their contexts gathered, and sends the numbers of distinct words before each shorter
+n-gram one order down; pairs and words are then made of these numbers. Nothing passes the driver but sums. Model files lie in the shared folder and are written whole under their name,
 so a lost executor's tasks just write them again.
 
 Scores: log10 of p(w | u) = max(c(uw) - D(c(uw)), 0) / c(u.) + g(u) * p1(w), and p1 likewise from the numbers of
-distinct predecessors, spread evenly over the words known and one unknown. Discounts D(1), D(2), D(3+) come from the
+distinct predecessors, spread evenly over the words known and one unknown. At order k a text starts after k - 1 start tokens, the
+highest order has counts and each lower one numbers of distinct predecessors, and p of a longer context backs off to p of the
+shorter one in the same way. Discounts D(1), D(2), D(3+) come from the
 counts of counts (where these are degenerate, as in tiny corpora, from fixed values). A context that was never
 seen backs off to p1 whole.
 
@@ -40,6 +44,8 @@ BUFFER = 3_000_000
 PAIR = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
 WORD = np.dtype([("word", "<u8"), ("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
 _SUMS = WORD.names[1:]
+#: What a context of two words or more gathered; its hash is stored beside.
+CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
 
 
 def token_hashes(words: bw.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,6 +67,28 @@ def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return bw.mix(left * _U(0x9E3779B97F4A7C15) + bw.mix(right + _U(0x632BE59BD9B4E019)))
 
 
+def gram_dtype(k: int) -> np.dtype:
+    """Rows of k words and a number."""
+    return PAIR if k == 2 else np.dtype([*((f"w{i}", "<u8") for i in range(k)), ("n", "<u4")])
+
+
+def histories(tokens: np.ndarray, first: np.ndarray, k: int) -> list[np.ndarray]:
+    """The token before each, the one before that, and so on, k in all; before a text there are start tokens."""
+    place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+    out = []
+    for back in range(1, k + 1):
+        before = np.full_like(tokens, START)
+        inside = place >= back
+        before[inside] = tokens[np.flatnonzero(inside) - back]
+        out.append(before)
+    return out
+
+
+def context_hashes(columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of runs of words, of which the first column has the first words."""
+    return functools.reduce(pair_hashes, columns)
+
+
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     """Shards own equal ranges of hashes, in order."""
     return ((hashes >> _U(32)) * _U(shards) >> _U(32)).astype(np.int64)
@@ -80,6 +108,22 @@ def merge_pairs(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, hashes[first]
 
 
+def merge_grams(parts: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams with summed counts in the order of the hash of their context and then of their own, and both hashes."""
+    rows = np.concatenate(parts) if parts else np.empty(0, gram_dtype(k))
+    names = rows.dtype.names[:-1]
+    context = context_hashes([rows[x] for x in names[:-1]])
+    hashes = pair_hashes(context, rows[names[-1]])
+    order = np.lexsort((hashes, context))
+    hashes, context, rows = hashes[order], context[order], rows[order]
+    if not len(rows):
+        return rows, context, hashes
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    out = rows[first].copy()
+    out["n"] = np.minimum(np.add.reduceat(rows["n"].astype(np.int64), first), 0xFFFFFFFF)
+    return out, context[first], hashes[first]
+
+
 def merge_words(parts: list[np.ndarray]) -> np.ndarray:
     rows = np.concatenate(parts) if parts else np.empty(0, WORD)
     rows = rows[np.argsort(rows["word"], kind="stable")]
@@ -104,27 +148,29 @@ def _from_planes(raw, dtype, n: int, at: int = 0) -> np.ndarray:
 
 
 def pack_pairs(rows: np.ndarray) -> bytes:
-    """Pairs by places in a list of their words, sorted by the left one; in another order than ``rows``."""
+    """Pairs or longer n-grams by places in a list of their words, sorted by the left ones; in another order than ``rows``."""
     n = len(rows)
-    names, place = np.unique(np.concatenate([rows["left"], rows["right"]]), return_inverse=True)
-    left, right = place[:n].astype("<u4"), place[n:].astype("<u4")
-    order = np.lexsort((right, left))
-    left = left[order]
+    columns = rows.dtype.names[:-1]
+    names, place = np.unique(np.concatenate([rows[c] for c in columns]), return_inverse=True)
+    places = [place[n * i : n * (i + 1)].astype("<u4") for i in range(len(columns))]
+    order = np.lexsort(places[::-1])
+    left = places[0][order]
     step = np.diff(left, prepend=left[:1]).astype("<u4")
     head = np.array([n, len(names), left[0] if n else 0], "<u8").tobytes()
-    return head + b"".join(_planes(x) for x in (names, step, right[order], rows["n"][order].astype("<u4")))
+    return head + b"".join(_planes(x) for x in (names, step, *[x[order] for x in places[1:]], rows["n"][order].astype("<u4")))
 
 
-def unpack_pairs(raw) -> np.ndarray:
+def unpack_pairs(raw, dtype: np.dtype = PAIR) -> np.ndarray:
     n, m, first = (int(x) for x in np.frombuffer(raw, "<u8", 3))
     at = 24
     names = _from_planes(raw, "<u8", m, at)
     at += 8 * m
-    step, right, count = (_from_planes(raw, "<u4", n, at + 4 * n * k) for k in range(3))
-    rows = np.empty(n, PAIR)
-    rows["left"] = names[first + np.cumsum(step.astype(np.int64))]
-    rows["right"] = names[right]
-    rows["n"] = count
+    step, *others = (_from_planes(raw, "<u4", n, at + 4 * n * k) for k in range(len(dtype.names)))
+    rows = np.empty(n, dtype)
+    rows[dtype.names[0]] = names[first + np.cumsum(step.astype(np.int64))]
+    for column, place in zip(dtype.names[1:-1], others):
+        rows[column] = names[place]
+    rows["n"] = others[-1]
     return rows
 
 
@@ -135,34 +181,95 @@ def _cut(shards: np.ndarray, rows: np.ndarray, pack=_planes):
         yield int(shards[a]), pack(np.ascontiguousarray(rows[a:b]))
 
 
-def _blobs(pairs: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([s for s, _ in pairs], pa.int32()), pa.array([b for _, b in pairs], pa.binary())], ["shard", "rows"])
+#: Blobs of n-grams, and of words that pass by the shards of n-grams.
+GRAMS, WORDS = 0, 1
+_BLOBS = "shard int, kind int, rows binary"
+
+
+def _blobs(pairs: list[tuple[int, bytes]], kind: int = GRAMS) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([s for s, _ in pairs], pa.int32()), pa.array([kind] * len(pairs), pa.int32()), pa.array([b for _, b in pairs], pa.binary())], ["shard", "kind", "rows"])
+
+
+def _each_blob(batches):
+    for batch in batches:
+        for shard, kind, raw in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), batch.column("rows")):
+            yield shard, kind, raw.as_buffer()
+
 
+def _words_of(raw) -> np.ndarray:
+    return _from_planes(raw, WORD, raw.size // WORD.itemsize)
 
-def _count(shards: int):
+
+def _merge_sent(parts: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Merged n-grams, and the hashes that their shards go by: of a pair itself, of a longer one's context."""
+    return merge_pairs(parts) if k == 2 else merge_grams(parts, k)[:2]
+
+
+def _count(shards: int, order: int = 2):
     def run(batches):
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
             for part in bw.slices(batch, "text"):
-                tokens, before, _ = token_hashes(bw.split_words(*bw.text_buffers(part.column("text"))))
-                rows = np.empty(len(tokens), PAIR)
-                rows["left"], rows["right"], rows["n"] = before, tokens, 1
+                tokens, _, first = token_hashes(bw.split_words(*bw.text_buffers(part.column("text"))))
+                rows = np.empty(len(tokens), gram_dtype(order))
+                for name, column in zip(rows.dtype.names, [*histories(tokens, first, order - 1)[::-1], tokens, 1]):
+                    rows[name] = column
                 held.append(rows)
                 size += len(rows)
                 if size > BUFFER:
-                    rows, hashes = merge_pairs(held)
+                    rows, hashes = _merge_sent(held, order)
                     held, size = [rows], len(rows)
                     if size > BUFFER // 2:
                         yield _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
                         held, size = [], 0
         if size:
-            rows, hashes = merge_pairs(held)
+            rows, hashes = _merge_sent(held, order)
             yield _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
 
     return run
 
 
+def _gram_shards(folder: str, shards: int, k: int, top: bool):
+    """Writes n-grams of k > 2 words and their contexts, and sends n-grams of k - 1 words with the numbers of distinct words
+    before them; from the ``top`` order also the words' counts."""
+
+    def run(batches):
+        parts: dict[int, list[np.ndarray]] = {}
+        for shard, kind, raw in _each_blob(batches):
+            if kind == GRAMS:
+                parts.setdefault(shard, []).append(unpack_pairs(raw, gram_dtype(k)))
+            else:
+                yield _blobs([(shard, raw.to_pybytes())], WORDS)
+        for shard in sorted(parts):
+            rows, context, hashes = merge_grams(parts.pop(shard), k)
+            n = rows["n"].astype(np.int64)
+            by_hash = np.argsort(hashes, kind="stable")
+            write_file(f"{folder}/grams{k}-{shard:05d}", hashes[by_hash].tobytes() + rows["n"][by_hash].astype("<u4").tobytes())
+            del by_hash
+            first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+            gathered = np.zeros(len(first), CONTEXT)
+            gathered["total"] = np.add.reduceat(n, first)
+            for x in (1, 2, 3):
+                gathered[f"n{x}"] = np.add.reduceat((n == x if x < 3 else n >= x).astype(np.int64), first)
+            write_file(f"{folder}/contexts{k}-{shard:05d}", context[first].tobytes() + gathered.tobytes())
+            if top:
+                last, place = np.unique(rows[rows.dtype.names[k - 1]], return_inverse=True)
+                words = np.zeros(len(last), WORD)
+                words["word"] = last
+                np.add.at(words["count"], place, n.astype(_U))
+                yield _blobs(list(_cut(shard_of(last, shards), words)), WORDS)
+            shorter = np.empty(len(rows), gram_dtype(k - 1))
+            for to, name in zip(shorter.dtype.names[:-1], rows.dtype.names[1:k]):
+                shorter[to] = rows[name]
+            shorter["n"] = 1
+            del rows, n, context, hashes
+            rows, owners = _merge_sent([shorter], k - 1)
+            yield _blobs(list(_cut(shard_of(owners, shards), rows, pack_pairs)))
+
+    return run
+
+
 def _tally(rows: np.ndarray) -> list[np.ndarray]:
     """What distinct pairs tell of their words: as second word, and as context; a row for each word and side."""
     out = []
@@ -183,16 +290,22 @@ def _tally(rows: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _pair_shards(folder: str, shards: int):
+def _pair_shards(folder: str, shards: int, order: int = 2):
     def run(batches):
         parts: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("rows")):
-                parts.setdefault(shard, []).append(unpack_pairs(raw.as_buffer()))
-        for shard in sorted(parts):
-            rows, hashes = merge_pairs(parts.pop(shard))
+        passing: dict[int, list[np.ndarray]] = {}
+        for shard, kind, raw in _each_blob(batches):
+            if kind == GRAMS:
+                parts.setdefault(shard, []).append(unpack_pairs(raw))
+            else:
+                passing.setdefault(shard, []).append(_words_of(raw))
+        for shard in sorted({*parts, *passing}):
+            rows, hashes = merge_pairs(parts.pop(shard, []))
             write_file(f"{folder}/pairs-{shard:05d}", hashes.tobytes() + rows["n"].astype("<u4").tobytes())
-            words = merge_words(_tally(rows))
+            tallied = _tally(rows)
+            if order > 2:  # these pairs tell of distinct predecessors; the words' counts came by themselves
+                tallied[0]["count"] = 0
+            words = merge_words([*tallied, *passing.pop(shard, [])])
             yield _blobs(list(_cut(shard_of(words["word"], shards), words)))
 
     return run
@@ -204,9 +317,8 @@ _STATS = ("tokens", "vocabulary", "pairs", "c1", "c2", "c3", "c4", "b1", "b2", "
 def _word_shards(folder: str):
     def run(batches):
         parts: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for shard, raw in zip(batch.column("shard").to_pylist(), batch.column("rows")):
-                parts.setdefault(shard, []).append(_from_planes(raw.as_buffer(), WORD, raw.as_buffer().size // WORD.itemsize))
+        for shard, _, raw in _each_blob(batches):
+            parts.setdefault(shard, []).append(_words_of(raw))
         for shard in sorted(parts):
             words = merge_words(parts.pop(shard))
             write_file(f"{folder}/words-{shard:05d}", words.tobytes())
@@ -231,6 +343,19 @@ def _high_counts(folder: str):
     return run
 
 
+def _gram_counts(folder: str, order: int):
+    """Numbers of n-grams of each order above 2 that were counted once to four times, from their files."""
+
+    def run(batches):
+        for batch in batches:
+            for shard in batch.column("shard").to_pylist():
+                for k in range(3, order + 1):
+                    _, n = load_pairs(f"{folder}/grams{k}-{shard:05d}")
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *[pa.array([int((n == x).sum())], pa.int64()) for x in (1, 2, 3, 4)]], ["k", "n1", "n2", "n3", "n4"])
+
+    return run
+
+
 def _mapped(path: str) -> bytes | mmap.mmap:
     try:
         with open(local_copy(path), "rb") as f:
@@ -258,8 +383,9 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 class Model:
     """A model's files as a worker sees them: mapped, not read."""
 
-    def __init__(self, folder: str, shards: int, stats: dict[str, int]):
-        self.folder, self.shards, self.stats = folder, shards, stats
+    def __init__(self, folder: str, shards: int, stats: dict[str, int], order: int = 2):
+        self.folder, self.shards, self.stats, self.order = folder, shards, stats, order
+        self.higher = {k: np.array([0.0, *discounts(*[stats[f"g{k}_{x}"] for x in (1, 2, 3, 4)])]) for k in range(3, order + 1)}
         self.d2 = np.array([0.0, *discounts(*[stats[f"c{k}"] for k in (1, 2, 3, 4)])])
         self.d1 = np.array([0.0, *discounts(*[stats[f"b{k}"] for k in (1, 2, 3, 4)])])
         b = [stats[f"b{k}"] for k in (1, 2)]
@@ -303,8 +429,40 @@ class Model:
             out[piece][good] = rows[spot[good]]
         return out[inverse]
 
-    def token_scores(self, tokens: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Count, base log10 probability and model log10 probability of each token."""
+    @functools.lru_cache(None)  # noqa: B019
+    def grams(self, k: int, shard: int):
+        return load_pairs(f"{self.folder}/grams{k}-{shard:05d}")
+
+    @functools.lru_cache(None)  # noqa: B019
+    def contexts(self, k: int, shard: int):
+        raw = _mapped(f"{self.folder}/contexts{k}-{shard:05d}")
+        n = len(raw) // (8 + CONTEXT.itemsize)
+        return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, CONTEXT, n, 8 * n)
+
+    def gram_rows(self, k: int, context: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each n-gram of k words, and what its context gathered."""
+        keys, inverse = np.unique(context, return_inverse=True)
+        gathered = np.zeros(len(keys), CONTEXT)
+        for piece, spot, rows in self._find(keys, functools.partial(self.contexts, k)):
+            good = spot >= 0
+            gathered[piece][good] = rows[spot[good]]
+        gathered = gathered[inverse]
+        keys, one, inverse = np.unique(pair_hashes(context, tokens), return_index=True, return_inverse=True)
+        shards = shard_of(context[one], self.shards)
+        order = np.argsort(shards, kind="stable")
+        at = np.flatnonzero(np.append(True, np.diff(shards[order]) != 0)) if len(keys) else []
+        out = np.zeros(len(keys), np.int64)
+        for a, b in zip(at, np.append(at[1:], len(keys))):
+            have, n = self.grams(k, int(shards[order[a]]))
+            if len(have):
+                spot = np.searchsorted(have, keys[order[a:b]])
+                spot[spot == len(have)] = 0
+                out[order[a:b]] = np.where(have[spot] == keys[order[a:b]], n[spot], 0)
+        return out[inverse], gathered
+
+    def token_scores(self, tokens: np.ndarray, before: np.ndarray, *earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Count, base log10 probability and model log10 probability of each token after the one ``before`` and, above order
+        2, the ``earlier`` ones, the nearest first."""
         s = self.stats
         own, context = self.word_rows(tokens), self.word_rows(before)
         base = np.log10((own["count"] + 1.0) / (s["tokens"] + s["vocabulary"] + 1.0))
@@ -318,29 +476,41 @@ class Model:
         seen = total > 0
         safe = np.where(seen, total, 1.0)
         p = np.where(seen, np.maximum(n - self.d2[np.minimum(n, 3)], 0) / safe + left / safe * p1, p1)
+        for k, d in self.higher.items():
+            n, context = self.gram_rows(k, context_hashes([*earlier[: k - 2][::-1], before]), tokens)
+            seen = context["total"] > 0
+            safe = np.where(seen, context["total"].astype(float), 1.0)
+            left = d[1] * context["n1"] + d[2] * context["n2"] + d[3] * context["n3"]
+            p = np.where(seen, np.maximum(n - d[np.minimum(n, 3)], 0) / safe + left / safe * p, p)
         return own["count"], base, np.log10(p)
 
 
-def train(texts: DataFrame, work: Workspace) -> Model:
-    """Count and store a model of the column ``text``, one shard for each partition of the input."""
+def train(texts: DataFrame, work: Workspace, order: int = 2) -> Model:
+    """Count and store a model of the column ``text`` with n-grams of up to ``order`` (2 or more) words, one shard for each
+    partition of the input."""
     shards = max(4, texts.rdd.getNumPartitions())
     folder = f"{work.path}/model"
-    counted = texts.select("text").mapInArrow(_count(shards), "shard int, rows binary")
-    tallied = counted.repartition(shards, "shard").mapInArrow(_pair_shards(folder, shards), "shard int, rows binary")
+    counted = texts.select("text").mapInArrow(_count(shards, order), _BLOBS)
+    for k in range(order, 2, -1):
+        counted = counted.repartition(shards, "shard").mapInArrow(_gram_shards(folder, shards, k, k == order), _BLOBS)
+    tallied = counted.repartition(shards, "shard").mapInArrow(_pair_shards(folder, shards, order), _BLOBS)
     stats = tallied.repartition(shards, "shard").mapInArrow(_word_shards(folder), ", ".join(f"{c} long" for c in _STATS))
     sums = stats.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS]).first().asDict()
     numbers = work.spark.range(shards).select(F.col("id").cast("int").alias("shard")).repartition(min(shards, 64), "shard")
     sums |= numbers.mapInArrow(_high_counts(folder), "c3 long, c4 long").agg(F.coalesce(F.sum("c3"), F.lit(0)).alias("c3"), F.coalesce(F.sum("c4"), F.lit(0)).alias("c4")).first().asDict()
-    return Model(folder, shards, sums)
+    if order > 2:
+        found = numbers.mapInArrow(_gram_counts(folder, order), "k int, n1 long, n2 long, n3 long, n4 long").groupBy("k").agg(*[F.sum(f"n{x}").alias(f"n{x}") for x in (1, 2, 3, 4)]).collect()
+        sums |= {f"g{r['k']}_{x}": r[f"n{x}"] for r in found for x in (1, 2, 3, 4)}
+    return Model(folder, shards, sums, order)
 
 
-def _score(folder: str, shards: int, stats: dict[str, int]):
+def _score(folder: str, shards: int, stats: dict[str, int], order: int = 2):
     def run(batches):
-        model = Model(folder, shards, stats)
+        model = Model(folder, shards, stats, order)
         for batch in batches:
             for part in bw.slices(batch, "text"):
-                tokens, before, first = token_hashes(bw.split_words(*bw.text_buffers(part.column("text"))))
-                count, base, score = model.token_scores(tokens, before)
+                tokens, _, first = token_hashes(bw.split_words(*bw.text_buffers(part.column("text"))))
+                count, base, score = model.token_scores(tokens, *histories(tokens, first, order - 1))
                 at = first[:-1]
                 columns = [part.column(c) for c in range(part.num_columns) if part.schema.names[c] != "text"]
                 names = [n for n in part.schema.names if n != "text"]
@@ -354,5 +524,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` but text, and n_tokens, n_known, train_tokens, base_score, score, perplexity of the text."""
     docs = docs.drop("n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
     columns = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name != "text")
-    out = docs.mapInArrow(_score(model.folder, model.shards, model.stats), f"{columns}n_tokens long, n_known long, base_score double, score double")
+    out = docs.mapInArrow(_score(model.folder, model.shards, model.stats, model.order), f"{columns}n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(model.stats["tokens"]).cast("long")).withColumn("perplexity", F.exp(-F.col("score") * math.log(10) / F.col("n_tokens")))

@@ -42,7 +42,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", langid.crc_remainder("doc_id", 7) == 2)
-    model = kneser_ney.train(docs.where("not held_out"), Workspace(spark, "kneser-ney"))
+    model = kneser_ney.train(docs.where("not held_out"), Workspace(spark, "kneser-ney"), order=3)
     return kneser_ney.score(docs, model).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
