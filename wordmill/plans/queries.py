@@ -591,6 +591,41 @@ def reprocess_words(t):
     return verify.to_reprocess(_checked(t), "page_id")
 
 
+# the same checks on whole texts of every row: raw pages, pages without tags, their addresses, documents, and a line of dots
+
+
+def _checked_whole(t) -> DataFrame:
+    page, doc = F.col("page_id").cast("long").alias("id"), F.col("doc_id").cast("long").alias("id")
+    lines = t.pages.select(F.lit("html").alias("part"), page, F.col("html").alias("line"))
+    lines = lines.unionByName(t.pages.select(F.lit("page text").alias("part"), page, F.regexp_replace("html", "<[^>]*>?", " ").alias("line")))
+    lines = lines.unionByName(t.pages.select(F.lit("url").alias("part"), page, F.col("url").alias("line")))
+    lines = lines.unionByName(t.documents.select(F.lit("document").alias("part"), doc, F.col("text").alias("line")))
+    dots = t.spark.range(1).select(F.lit("dots").alias("part"), "id", F.lit("...").alias("line"))
+    return verify.check_lines(lines.unionByName(dots), "line", 20)
+
+
+_CHECKED_WHOLE = f"""WITH l AS (SELECT 'html' AS part, page_id::BIGINT AS id, html AS line FROM pages
+UNION ALL SELECT 'page text', page_id::BIGINT, regexp_replace(html, '<[^>]*>?', ' ', 'g') FROM pages
+UNION ALL SELECT 'url', page_id::BIGINT, url FROM pages
+UNION ALL SELECT 'document', doc_id::BIGINT, text FROM documents
+UNION ALL SELECT 'dots', 0::BIGINT, '...'), c AS (SELECT part, id, {D.reason('line', 20)} AS reason FROM l)"""
+
+
+@query(f"{_CHECKED_WHOLE} SELECT part, id, reason, reason = 'ok' AS valid FROM c")
+def sanity_reason_whole(t):
+    return _checked_whole(t).select("part", "id", "reason", "valid")
+
+
+@query(f"{_CHECKED_WHOLE} SELECT count(*) AS validated, count(*) FILTER (reason <> 'ok') AS failed, round(count(*) FILTER (reason = 'ok') / count(*), 6) AS hit_rate FROM c")
+def verify_rate_whole(t):
+    return verify.hit_rate(_checked_whole(t)).withColumn("hit_rate", F.round("hit_rate", 6))
+
+
+@query(f"{_CHECKED_WHOLE} SELECT DISTINCT part, id FROM c WHERE reason <> 'ok'")
+def reprocess_words_whole(t):
+    return _checked_whole(t).where("not valid").select("part", "id").distinct()
+
+
 @query("SELECT c.c_custkey AS word, CASE WHEN o.k IS NOT NULL THEN 'pending' ELSE 'done' END AS status, o.k IS NOT NULL AS reprocess FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') o ON o.k = c.c_custkey")
 def flag_words(t):
     words = t.customer.select(F.col("c_custkey").alias("word"), F.lit("done").alias("status"), F.lit(False).alias("reprocess"))
