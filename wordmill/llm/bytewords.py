@@ -140,8 +140,9 @@ def inside(first: np.ndarray, n: int) -> np.ndarray:
     return good
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 21):
-    """Cut a record batch into runs of rows of about ``most_bytes`` of text, one row at least."""
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 19):
+    """Cut a record batch into runs of rows of about ``most_bytes`` of text, one row at least. Arrays of the size of a
+    slice take some 60 times its bytes for a moment."""
     text = batch.column(column)
     sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     if not len(sizes):

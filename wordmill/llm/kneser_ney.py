@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import functools
 import math
-import mmap
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .shared import Workspace, local_copy, write_file
+from .shared import Workspace, mapped, write_file
 
 _U = np.uint64
 #: Hashes of the end token and of the start of a text, which no word has: words are mixed from bytes they hold.
@@ -356,16 +355,8 @@ def _gram_counts(folder: str, order: int):
     return run
 
 
-def _mapped(path: str) -> bytes | mmap.mmap:
-    try:
-        with open(local_copy(path), "rb") as f:
-            return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-    except (FileNotFoundError, ValueError):  # a shard without rows has no file, or an empty one
-        return b""
-
-
 def load_pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
-    raw = _mapped(path)
+    raw = mapped(path)
     n = len(raw) // 12
     return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<u4", n, 8 * n)
 
@@ -399,7 +390,7 @@ class Model:
 
     @functools.lru_cache(None)  # noqa: B019
     def words(self, shard: int):
-        rows = np.frombuffer(_mapped(f"{self.folder}/words-{shard:05d}"), WORD)
+        rows = np.frombuffer(mapped(f"{self.folder}/words-{shard:05d}"), WORD)
         return rows["word"], rows
 
     def _find(self, keys: np.ndarray, table):
@@ -435,7 +426,7 @@ class Model:
 
     @functools.lru_cache(None)  # noqa: B019
     def contexts(self, k: int, shard: int):
-        raw = _mapped(f"{self.folder}/contexts{k}-{shard:05d}")
+        raw = mapped(f"{self.folder}/contexts{k}-{shard:05d}")
         n = len(raw) // (8 + CONTEXT.itemsize)
         return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, CONTEXT, n, 8 * n)
 
