@@ -1,11 +1,17 @@
 """MinHash near-duplicates: many universal hash minima, banding, signature verification, an exact check on whole
 sets, and connected components by alternating large-star and small-star.
 
+No group is compared pair by pair. In a task a pivot row is compared with the rows that aren't connected with it yet, and
+pivots are taken only until all rows that weren't one are connected: a group of near copies takes one. A group beyond a block
+is dealt over blocks that all hold the group's centre; rows that stay apart from it in their block meet all blocks after.
+
 Defined results: a null or word-less text has an empty set and is linked with nothing. A text with fewer words than a
 shingle has one shingle, the whole sequence. Rows with equal sets form one class, whatever their number, and only
 classes are compared. A null doc_id can't name a component: such a row takes part in links, and a component of such
 rows alone has a null id; they are kept only if no other row is. Rows that repeat a doc_id are linked by their texts
-like any others; of several rows that carry a component's smallest doc_id all are kept. Other columns are ignored.
+like any others; of several rows that carry a component's smallest doc_id all are kept. A very long text is one row of a
+slice and takes some 60 times its bytes in a worker for a moment. An empty table gives an empty one. Other columns are
+ignored by :func:`near_duplicates` and kept by :func:`drop_near_duplicates`, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,17 +20,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytewords as bw
-from .shared import Workspace
+from .shared import Workspace, renamed
 
 _U = np.uint64
-#: Members of a bucket compared in one task, and members of a candidate component.
-BUCKET_BLOCK, SET_BLOCK = 1024, 1024
-#: Cells of a 0/1 matrix of sets at once.
-MATRIX_CELLS = 1 << 23
+#: Most rows of a group in a block: of signatures, and of texts, which their shingles bound by size too.
+BLOCK_ROWS, BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 256, 1 << 19
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -47,6 +51,11 @@ def set_key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _digests(column: pa.Array) -> list[bytes]:
+    """A digest of each text; that of a null is empty."""
+    return [hashlib.md5(t.as_buffer()).digest() if t.is_valid else b"" for t in column]
+
+
 def signatures(sets: list[np.ndarray], hashes: int) -> np.ndarray:
     """Minima of ``hashes`` multiply-add-shift hash functions for each set that isn't empty (others: all ones)."""
     sizes = np.array([len(s) for s in sets])
@@ -79,10 +88,11 @@ def _describe(shingle: int, bands: int, rows: int):
                         part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_key(s) for s in sets], pa.binary()),
+                        pa.array(_digests(part.column("text")), pa.binary()),
                         pa.array([r.tobytes() for r in (sig & 0xFF).astype(np.uint8)], pa.binary()),
                         pa.ListArray.from_arrays(np.arange(0, (len(sets) + 1) * bands, bands, dtype=np.int32), pa.array(buckets.ravel())),
                     ],
-                    ["doc_id", "n_shingles", "node", "sig", "buckets"],
+                    ["doc_id", "n_shingles", "node", "digest", "sig", "buckets"],
                 )
 
     return run
@@ -105,225 +115,258 @@ def _groups(batch_iter, key: str):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _labels(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Smallest index that pairs x, y connect each of n indices with."""
-    label = np.arange(n)
-    while len(x):
-        low = np.minimum(label[x], label[y])
-        before = label.copy()
-        np.minimum.at(label, x, low)
-        np.minimum.at(label, y, low)
-        np.minimum.at(label, before[x], low)
-        np.minimum.at(label, before[y], low)
-        label = label[label]
-        if (label == before).all():
+def connect(label: np.ndarray, test, pivots: np.ndarray | None = None) -> np.ndarray:
+    """Rows whose ``label`` is equal are connected; joins labels for each link that ``test(i, js)`` (a mask over js) finds
+    between rows of different ones. With ``pivots``, a mask, only links of these rows are looked for."""
+    every = pivots is None
+    left = np.ones(len(label), bool) if every else pivots.copy()
+    while left.any():
+        at = np.flatnonzero(left)
+        names, where, counts = np.unique(label[at], return_inverse=True, return_counts=True)
+        if every and len(names) == 1:  # what isn't connected with these was a pivot, so it was compared with them
             break
-        apart = label[x] != label[y]
-        x, y = x[apart], y[apart]
-    while (label[label] != label).any():
-        label = label[label]
+        i = int(at[where == int(counts.argmin())][0])
+        left[i] = False
+        others = np.flatnonzero((label != label[i]) & left if every else label != label[i])
+        if len(others):
+            hits = others[test(i, others)]
+            joined = np.union1d(label[hits], label[i : i + 1])
+            label[np.isin(label, joined)] = joined[0]
     return label
 
 
-def _star_batch(nodes: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+def _edges(nodes: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    """A star for each label: (node, the label's node)."""
     off = np.flatnonzero(label != np.arange(len(label)))
-    return pa.RecordBatch.from_arrays([pa.array(nodes[off], pa.binary()), pa.array(nodes[label[off]], pa.binary())], ["u", "v"])
+    return _found(nodes[off], nodes[label[off]], [None] * len(off))
 
 
-def _alike(hashes: int, least: float):
-    """Pairs in one bucket whose signatures agree in the share ``least``, as stars of what they connect."""
+def _found(u, v, key) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(key, pa.binary())], ["u", "v", "key"])
 
-    def run(batches):
-        for table in _groups(batches, "task"):
-            keys = table.column("task").to_numpy()
-            nodes = np.array(table.column("node").to_pylist(), dtype=object)
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(keys), hashes)
-            found = []
-            for gap in range(1, len(keys)):
-                left = np.flatnonzero(keys[:-gap] == keys[gap:])
-                if not len(left):
-                    break
-                for piece in np.array_split(left, max(1, len(left) // 20_000)):
-                    same = (sig[piece] == sig[piece + gap]).sum(axis=1)
-                    good = piece[same >= least * hashes]
-                    if len(good):
-                        found.append((good, good + gap))
-            if found:
-                x, y = (np.concatenate(v) for v in zip(*found))
-                yield _star_batch(nodes, _labels(len(nodes), x, y))
 
-    return run
+def _tests(hashes: int, least: float):
+    """Comparer of signatures: do so many minima agree."""
 
+    def over(table: pa.Table):
+        sig = np.frombuffer(b"".join(table.column("payload").to_pylist()), np.uint8).reshape(table.num_rows, hashes)
+        return lambda i, js: (sig[js] == sig[i]).sum(axis=1) >= least * hashes
 
-def _overlaps(sets: list[np.ndarray], rows: range, cols: range) -> np.ndarray:
-    """Sizes of the intersections of sets in ``rows`` with sets in ``cols``, by products of 0/1 matrices."""
-    a = np.concatenate([sets[i] for i in rows])
-    b = np.concatenate([sets[i] for i in cols])
-    vocabulary = np.intersect1d(a, b)
-    out = np.zeros((len(rows), len(cols)), np.float32)
-    if not len(vocabulary):
-        return out
-    wide = max(1, MATRIX_CELLS // (len(rows) + len(cols)))
-
-    def cells(which: range):
-        values = np.concatenate([sets[i] for i in which])
-        row = np.repeat(np.arange(len(which)), [len(sets[i]) for i in which])
-        col = np.searchsorted(vocabulary, values)
-        col[col == len(vocabulary)] = 0
-        hit = vocabulary[col] == values
-        return row[hit], col[hit]
-
-    (ra, ca), (rb, cb) = cells(rows), cells(cols)
-    for low in range(0, len(vocabulary), wide):
-        n = min(wide, len(vocabulary) - low)
-        left, right = np.zeros((len(rows), n), np.float32), np.zeros((len(cols), n), np.float32)
-        m = (ca >= low) & (ca < low + n)
-        left[ra[m], ca[m] - low] = 1
-        m = (cb >= low) & (cb < low + n)
-        right[rb[m], cb[m] - low] = 1
-        out += left @ right.T
-    return out
+    return over
+
+
+def _exact_tests(shingle: int, percent: int):
+    """Comparer of whole sets of shingles; a row whose text isn't that of its node, as its doc_id repeats, is linked with nothing."""
 
+    def over(table: pa.Table):
+        sets = [s for batch in table.to_batches() for part in bw.slices(batch, "payload") for s in shingle_sets(part.column("payload"), shingle)]
+        sets = [s if set_key(s) == n else np.empty(0, _U) for s, n in zip(sets, table.column("node").to_pylist())]
+        size = np.array([len(s) for s in sets], np.int64)
 
-def _linked(shingle: int, percent: int):
-    """Exact links among the texts of one candidate component (or of two blocks of it), as stars."""
+        def test(i: int, js: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(js), bool)
+            near = np.flatnonzero((100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i])) & (size[js] > 0))
+            if len(near) and size[i]:
+                own = sets[i]
+                values = np.concatenate([sets[j] for j in js[near]])
+                spot = np.searchsorted(own, values)
+                spot[spot == len(own)] = 0
+                both = np.add.reduceat((own[spot] == values).astype(np.int64), np.cumsum(size[js[near]]) - size[js[near]])
+                out[near] = 100 * both >= percent * (size[i] + size[js[near]] - both)
+            return out
+
+        return test
+
+    return over
+
+
+def _task_bounds(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    task = table.column("task").to_numpy()
+    first = np.flatnonzero(np.append(True, task[1:] != task[:-1]))
+    return first, np.append(first[1:], len(task))
+
+
+def _link_blocks(tests):
+    """Links in each task (task, key, node, payload, blocks, is_center), and with a key the rows of a group of several blocks
+    that aren't connected with its centre in theirs."""
 
     def run(batches):
         for table in _groups(batches, "task"):
-            keys = table.column("task").to_numpy()
-            sets = shingle_sets(table.column("text"), shingle)
             nodes = np.array(table.column("node").to_pylist(), dtype=object)
-            # doc_id chose the row; a row that repeats it with another text isn't the one that is meant
-            good = np.array([set_key(s) == k for s, k in zip(sets, nodes)], dtype=bool)
-            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
-            for low, high in zip(edges[:-1], edges[1:]):
-                seen: dict[bytes, int] = {}
-                for i in range(low, high):
-                    if good[i]:
-                        seen.setdefault(nodes[i], i)
-                idx = np.array(list(seen.values()))
-                if len(idx) < 2:
-                    continue
-                own = [sets[i] for i in idx]
-                size = np.array([len(s) for s in own], np.int64)
-                xs, ys = [], []
-                step = 256
-                for r in range(0, len(own), step):
-                    rows = range(r, min(r + step, len(own)))
-                    for c in range(r, len(own), step):
-                        cols = range(c, min(c + step, len(own)))
-                        both = _overlaps(own, rows, cols).astype(np.int64)
-                        union = size[rows.start : rows.stop, None] + size[None, cols.start : cols.stop] - both
-                        x, y = np.nonzero(100 * both >= percent * union)
-                        x, y = x + r, y + c
-                        xs.append(x[x < y])
-                        ys.append(y[x < y])
-                x, y = np.concatenate(xs), np.concatenate(ys)
-                if len(x):
-                    yield _star_batch(nodes[idx], _labels(len(idx), x, y))
+            test = tests(table)
+            label = np.arange(len(nodes))
+            first, last = _task_bounds(table)
+            several = table.column("blocks").to_numpy() > 1
+            for a, b in zip(first, last):
+                if b - a == 2:
+                    if test(a, np.array([a + 1]))[0]:
+                        label[a + 1] = a
+                elif b - a > 2:
+                    label[a:b] = a + connect(np.arange(b - a), lambda i, js, a=a: test(a + i, a + js))
+            yield _edges(nodes, label)
+            if several.any():
+                center, keys = table.column("is_center").to_numpy(zero_copy_only=False), table.column("key").to_pylist()
+                for a, b in zip(first, last):
+                    if several[a]:
+                        with_center = label[a:b][center[a:b]]
+                        rest = a + np.flatnonzero(~np.isin(label[a:b], with_center))
+                        yield _found(nodes[rest], [None] * len(rest), [keys[a]] * len(rest))
 
     return run
 
 
-def _in_blocks(df: DataFrame, key: str, size: str, node: str, block: int) -> DataFrame:
-    """Give each row the tasks it takes part in: one where its group fits a block, else one for each other block."""
-    n = F.ceil(F.col(size) / block).cast("int")
-    mine = F.pmod(F.xxhash64(node), n).cast("int")
-    df = df.withColumn("blocks", n).withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return df.withColumn("task", F.xxhash64(key, F.least("own", "other"), F.greatest("own", "other")))
+def _link_rest(tests):
+    """Links of the rows that ``is_rest`` marks with the others of their task."""
 
+    def run(batches):
+        for table in _groups(batches, "task"):
+            nodes = np.array(table.column("node").to_pylist(), dtype=object)
+            test, rest = tests(table), table.column("is_rest").to_numpy(zero_copy_only=False)
+            label = np.arange(len(nodes))
+            for a, b in zip(*_task_bounds(table)):
+                label[a:b] = a + connect(np.arange(b - a), lambda i, js, a=a: test(a + i, a + js), rest[a:b])
+            yield _edges(nodes, label)
 
-def connected_components(edges: DataFrame, work: Workspace, name: str, most_rounds: int = 50) -> DataFrame:
+    return run
+
+
+def links(rows: DataFrame, tests, work: Workspace, name: str) -> DataFrame:
+    """Edges (u, v) that connect in each group what ``tests`` link, from rows (key binary, node, payload, blocks, is_center)."""
+    found = "u binary, v binary, key binary"
+    mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    own = rows.withColumn("block", mine)
+    centers = own.where("blocks > 1 and is_center").withColumn("home", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block <> home").drop("home")
+    tasks = own.union(centers).withColumn("task", F.xxhash64("key", "block")).drop("block")
+    first = work.keep(tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_link_blocks(tests), found), f"{name}-first")
+    edges, rest = first.where("v is not null").select("u", "v"), first.where("v is null").select("key", F.col("u").alias("node"))
+    if rest.isEmpty():
+        return edges
+    sizes = work.keep(rest.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("rest_blocks")), f"{name}-sizes")
+    rest = work.keep(rest.withColumn("is_rest", F.lit(True)), f"{name}-rest")
+    marked = rows.join(sizes, "key").join(rest, ["key", "node"], "left").withColumn("is_rest", F.coalesce("is_rest", F.lit(False)))
+    against = marked.withColumn("block", mine).withColumn("rest_block", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))).withColumn("is_rest", F.lit(False))
+    rest_block = F.pmod(F.xxhash64("node", F.lit(1)), "rest_blocks").cast("int")
+    spread = marked.where("is_rest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("rest_block", rest_block)
+    columns = [F.xxhash64("key", "block", "rest_block").alias("task"), "node", "payload", "is_rest"]
+    second = spread.select(*columns).union(against.select(*columns))
+    return edges.union(second.repartition("task").sortWithinPartitions("task").mapInArrow(_link_rest(tests), found).select("u", "v"))
+
+
+def connected_components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """(node, root) for each node of the edges (u, v), by large-star and small-star until nothing changes.
 
-    Each star is a group-by with a minimum joined back to the edges, so no neighbourhood is gathered in one task.
+    Each star is a group-by with a minimum joined back to the edges, so no neighbourhood is gathered in one task. The minima
+    of the large stars are a table of their own: then both sides of their join are plain shuffles, of which Spark splits
+    the part that holds a node with very many neighbours.
     """
-    spark = work.spark
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        # large: each node sends its larger neighbours to its smallest; small: its smaller ones and itself
-        both = e.union(e.select("v", "u")) if large else e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        lows = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("m", "u").alias("m"))
+    def small_star(e: DataFrame) -> DataFrame:
+        # each node sends its smaller neighbours and itself to its smallest
+        both = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        lows = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
         joined = both.join(lows, both.u == lows.c)
-        if large:
-            return joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(lows.select(F.col("c").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
 
+    def large_star(e: DataFrame, step: int) -> DataFrame:
+        # each node sends its larger neighbours to the smallest of its neighbours and itself
+        both = e.union(e.select("v", "u"))
+        lows = work.keep(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("m", "u").alias("m")), f"{name}-lows-{step}")
+        return both.join(lows, both.u == lows.c).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
     edges = work.keep(edges.where("u <> v").distinct(), f"{name}-0")
-    state = None
-    for step in range(1, most_rounds + 1):
-        now = work.keep(star(star(edges, True), False), f"{name}-{step}")
-        work.drop(f"{name}-{step - 1}")
+    state, step = None, 0
+    while True:
+        step += 1
+        now = work.keep(small_star(large_star(edges, step)), f"{name}-{step}")
+        work.drop(f"{name}-{step - 1}", f"{name}-lows-{step}")
         edges = now
         # a fixed point is a forest of stars; the number and the sum of hashes of its edges then stay as they are
         was, state = state, now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if was == state:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    found = work.keep(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), name)
+    work.drop(f"{name}-{step}")
+    return found
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, likely: float = 0.65) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text).
-
-    Two texts are linked if 100 * |A & B| >= percent * |A | B| on their whole sets of shingles. A linked pair at 85 %
-    misses all 32 bands of 5 with probability 7e-9 (80 %: 3e-6), and shows under 65 % equal minima of 160 with less than 1e-6.
-    Those minima only propose; every link is confirmed on the whole sets.
-    """
-    spark = docs.sparkSession
-    work = Workspace(spark, "minhash")
-    described = work.keep(
-        docs.select("doc_id", "text").mapInArrow(_describe(shingle, bands, rows), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node binary, sig binary, buckets array<long>"),
-        "described",
-    )
+def _components(docs: DataFrame, work: Workspace, shingle: int, percent: int, bands: int, rows: int, likely: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, node, digest) of each row, and (node, root, low) of each class: its component and the smallest
+    doc_id in it."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    described = work.keep(docs.select("doc_id", "text").mapInArrow(_describe(shingle, bands, rows), f"doc_id {kind}, n_shingles long, node binary, digest binary, sig binary, buckets array<long>"), "described")
     classes = work.keep(
-        described.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("sig").alias("sig"), F.first("buckets").alias("buckets")),
+        described.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("buckets").alias("buckets")),
         "classes",
     )
     spots = classes.select("node", F.explode("buckets").alias("bucket"))
-    shared = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = spots.join(shared, "bucket").join(classes.select("node", "sig"), "node")
-    tasks = _in_blocks(members, "bucket", "size", "node", BUCKET_BLOCK).select("task", "node", "sig")
-    alike = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_alike(bands * rows, likely), "u binary, v binary")
-    candidates = work.keep(connected_components(alike, work, "candidates"), "candidates")
-
-    sizes = candidates.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    chosen = candidates.join(sizes, "root").join(classes.select("node", "rep"), "node")
-    chosen = _in_blocks(chosen, "root", "size", "node", SET_BLOCK).select("task", "node", "rep")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    exact = chosen.where("rep is not null").join(texts, "rep").select("task", "node", "text")
+    center = F.xxhash64("node")
+    shared = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(center).alias("center")).where("size > 1")
+    members = spots.join(shared, "bucket").join(classes.select("node", F.col("sig").alias("payload")), "node")
+    members = members.select(F.hex("bucket").cast("binary").alias("key"), "node", "payload", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks"), (center == F.col("center")).alias("is_center"))
+    alike = links(members, _tests(bands * rows, likely), work, "alike")
+    candidates = connected_components(alike, work, "candidates")
+    work.drop("alike-first", "alike-sizes", "alike-rest")
+
+    named = candidates.join(classes.select("node", "rep", "n_shingles"), "node")
+    sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK_TEXTS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = work.keep(sizes.select("root", blocks.alias("blocks")), "sizes")
+    chosen = named.join(sizes, "root").select(F.col("root").alias("key"), "node", "rep", "blocks", (F.col("node") == F.col("root")).alias("is_center"))
+    texts = docs.select(F.col("doc_id").alias("rep"), F.col("text").alias("payload"))
+    columns = ["key", "node", "payload", "blocks", "is_center"]
+    exact = chosen.where("rep is not null").join(texts, "rep").select(*columns)
     lost = chosen.where("rep is null")
     if not lost.isEmpty():  # classes without any doc_id: their texts are found by their sets
-        nameless = docs.where("doc_id is null").select("text").mapInArrow(_keyed(shingle), "node binary, text string").dropDuplicates(["node"])
-        exact = exact.union(lost.join(nameless, "node").select("task", "node", "text"))
-    links = exact.repartition("task").sortWithinPartitions("task").mapInArrow(_linked(shingle, percent), "u binary, v binary")
-    parts = work.keep(connected_components(links, work, "links"), "parts")
-    ids = parts.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("low"))
-    named = parts.join(ids, "root").select("node", "low", F.lit(True).alias("grouped"))
-    named = classes.select("node", "rep").join(named, "node", "left").select("node", F.when(F.col("grouped"), F.col("low")).otherwise(F.col("rep")).alias("low"))
-    result = described.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("low"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull() & F.col("doc_id").isNull()).alias("kept"))
+        nameless = docs.where("doc_id is null").select("text").mapInArrow(_keyed(shingle), "node binary, payload string").dropDuplicates(["node"])
+        exact = exact.union(lost.join(nameless, "node").select(*columns))
+    parts = connected_components(links(exact, _exact_tests(shingle, percent), work, "exact"), work, "parts")
+    lows = work.keep(parts.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("low")), "lows")
+    grouped = parts.join(lows, "root").select("node", "root", "low")
+    both = classes.select("node", "rep").join(grouped, "node", "left")
+    final = work.keep(both.select("node", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNotNull(), F.col("low")).otherwise(F.col("rep")).alias("low")), "named")
+    work.drop("classes", "candidates", "sizes", "exact-first", "exact-sizes", "exact-rest", "parts", "lows")
+    return described.select("doc_id", "n_shingles", "node", "digest"), final
+
 
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, likely: float = 0.65) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text).
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, **options) -> DataFrame:
-    """The rows of ``docs`` that carry the smallest doc_id of their component, one a doc_id (of several the one whose
-    text has the smallest digest). Rows without a doc_id all stay, as no id can name their component."""
-    verdicts = near_duplicates(docs, shingle, percent, **options).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    left = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("row_id"), F.md5("text").alias("text_digest"))
-    stay = left.join(verdicts, F.col("row_id") == F.col("kept_id"), "left_semi")
-    one = stay.withColumn("place", F.row_number().over(Window.partitionBy("row_id").orderBy("text_digest"))).where("place = 1")
-    out = one.select("row").union(left.where("row_id is null").select("row"))
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    Two texts are linked if 100 * |A & B| >= percent * |A | B| on their whole sets of shingles. A linked pair at 85 %
+    misses all 32 bands of 5 with probability 7e-9 (80 %: 3e-6), and shows under 65 % equal minima of 160 with less than 1e-6.
+    Those minima only propose; every link is confirmed on the whole sets.
+    """
+    described, named = _components(docs, Workspace(docs.sparkSession, "minhash"), shingle, percent, bands, rows, likely)
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("low"))
+    kept = F.coalesce(F.col("doc_id") == component, component.isNull() & F.col("doc_id").isNull())
+    return described.join(named, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, likely: float = 0.65) -> DataFrame:
+    """One row of ``docs`` for each component, with its columns: that of the smallest doc_id (nulls last), then of the
+    smallest digest of its text. Rows without words all stay. Of rows that are equal in doc_id and text one stays."""
+    work = Workspace(docs.sparkSession, "minhash")
+    described, named = _components(docs, work, shingle, percent, bands, rows, likely)
+    told = described.where("n_shingles > 0").join(named.select("node", "root"), "node")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")
+    first = told.groupBy("root").agg(F.min(order).alias("one")).select("one.doc_id", "one.digest")
+    n_equal = described.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n_equal"))
+    stays = work.keep(n_equal.join(first.withColumn("first", F.lit(True)), [n_equal.doc_id.eqNullSafe(first.doc_id), n_equal.digest == first.digest]).select(n_equal.doc_id.alias("stay_id"), n_equal.digest.alias("stay_digest"), "n_equal"), "stays")
+    wordless = described.where("n_shingles = 0").select(F.col("doc_id").alias("stay_id"), F.col("digest").alias("stay_digest"), F.lit(0).cast("long").alias("n_equal")).distinct()
+    plain, old = renamed(docs, "doc_id", "text")
+    digest = F.coalesce(F.unhex(F.md5("text")), F.lit("").cast("binary"))
+    found = plain.withColumn("digest", digest).join(stays.union(wordless), F.col("doc_id").eqNullSafe(F.col("stay_id")) & (F.col("digest") == F.col("stay_digest")))
+    back = [F.col(n).alias(old.get(n, n)) for n in plain.columns]
+    # texts pass no further shuffle but where a row has an equal
+    twice = found.where("n_equal > 1").dropDuplicates(["doc_id", "digest"])
+    return found.where("n_equal <= 1").select(*back).union(twice.select(*back))
 
 
 def _keyed(shingle: int):
     def run(batches):
         for batch in batches:
             for part in bw.slices(batch, "text", 1 << 19):
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in shingle_sets(part.column("text"), shingle)], pa.binary()), part.column("text")], ["node", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in shingle_sets(part.column("text"), shingle)], pa.binary()), part.column("text")], ["node", "payload"])
 
     return run
 
