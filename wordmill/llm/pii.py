@@ -7,9 +7,10 @@ cue, "at host dot end") can be an entity; tokens that
 no such segment reaches are outside for certain and add nothing, so decoding the stretches around triggers gives the
 best labelling of the whole text. The model is trained by maximum likelihood on sentences made here from templates.
 
-Defined results: a null text counts as empty; a text without digits, @ and the like has no spans. Base spans always
-stay, and a model span that meets one is dropped. Each row is judged by its own text alone, so repeated rows and ties
-get equal results and other columns don't matter. Positions are code points, ends exclusive.
+Defined results: a null text counts as empty (redacted it stays null); a text without digits, @ and the like has no spans.
+Base spans always stay, and a model span that meets one is dropped. Each row is judged by its own text alone, so repeated
+rows and ties get equal results. Very long texts are read whole, stretch by stretch. An empty table gives an empty one. Other
+columns are kept; a column ``pii_spans`` is replaced by :func:`with_spans`. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -87,12 +88,12 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 # ---------------------------------------------------------------- model
 
-_TOKEN = re.compile(r"\w+|[^\w\s]")
+_TOKEN = re.compile(r"[\[(](?:at|dot)[\])]|\w+|[^\w\s]", re.I)
 _SECRET_CUES = ("token", "key", "secret", "password", "passwd", "pwd", "apikey", "credential", "auth", "bearer")
 #: Where a group matched, it is the trigger: the word after a cue, which may be the cue of a next one.
 _TRIGGER = re.compile(
     r"[0-9]{2,}|@|[\[(](?:at|dot)[\])]|\bdot\s(?:com|org|net|edu)\b|\bat\s[\w.-]{1,64}\sdot\s[\w-]+"
-    r"|\b(?=\w*[0-9])(?=\w*[^\W\d_])\w{16,}"
+    r"|\b(?=\w*[0-9])(?=\w*[^\W\d_])\w{16,}|\b(?-i:AKIA|ASIA|AIza|ghp_|gho_|ghs_|glpat-|xoxb-|xoxp-|sk_live_|sk_test_|sk-|eyJ)\w{8,}|\b[A-Z]{2}[0-9]{2}\x20[A-Z]{4}\b"
     rf"|(?:{'|'.join(_SECRET_CUES)})s?[\"']?(?:\s{{0,3}}[=:]{{1,2}}\s{{0,3}}|(?<=bearer)\s|(?<=\bpassword)\sis\s)[\"']?(?=(\w+))",
     re.I,
 )
@@ -115,6 +116,12 @@ def _iban_ok(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+_FLIP = re.compile(r"[a-z][A-Z]|[A-Za-z][0-9]|[0-9][A-Za-z]")
+_HARD = re.compile(r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]+")
+#: How keys of some public services begin.
+_KEY_PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "sk_test_", "sk-", "eyJ")
+
+
 @functools.lru_cache(50_000)
 def _shape(s: str) -> str:
     """Digits as d with their number, letters as a, spaces as they are; runs of letters collapse."""
@@ -157,6 +164,15 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
             out.append("hex16")
     if re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", s):
         out.append("id324")
+    if cues or len(s) >= 16:
+        edge = text[max(0, start - 3) : start].rstrip(" ")[-1:]
+        out.append(f"edge={edge if edge and not edge.isalnum() else 'w'}&{'secret' if 'secret' in cues else 'plain'}")
+        out.append(f"len={min(len(s) // 6, 7)}&blank={' ' in s}&digit={digits > 0}")
+    if letters >= 6 and " " not in s:
+        out.append(f"flips={min(len(_FLIP.findall(s)), 4)}")
+        out.append(f"hard={min(max(map(len, _HARD.findall(s)), default=0), 6)}")
+    if s.startswith(_KEY_PREFIXES):
+        out.append("keyprefix")
     if s.count("(") != s.count(")") or s.count("[") != s.count("]"):
         out.append("unbalanced")
     if "\n" in s:
@@ -164,24 +180,41 @@ def segment_features(text: str, tokens: list[tuple[int, int]], i: int, j: int) -
     return out
 
 
+#: Tokens that a stretch has before and after its triggers, more than an entity reaches.
+_MARGIN = MAX_TOKENS + 4
+
+
+def _around(text: str, low: int, high: int) -> list[tuple[int, int]]:
+    """Tokens of a window that has at least _MARGIN of them before ``low`` and after ``high``, or reaches the text's ends."""
+    wide = 200
+    while True:
+        a, b = max(0, low - wide), min(len(text), high + wide)
+        while a > 0 and (text[a - 1].isalnum() or text[a - 1] == "_"):
+            a -= 1
+        while b < len(text) and (text[b].isalnum() or text[b] == "_"):
+            b += 1
+        tokens = [m.span() for m in _TOKEN.finditer(text, a, b)]
+        if (a == 0 or sum(e <= low for _, e in tokens[: _MARGIN + 1]) > _MARGIN) and (b == len(text) or sum(s >= high for s, _ in tokens[-_MARGIN - 1 :]) > _MARGIN):
+            return tokens
+        wide *= 2
+
+
 def stretches(text: str) -> list[tuple[list[tuple[int, int]], list[bool]]]:
     """Tokens around triggers, with a margin that no entity can cross, and which of them hold a trigger."""
     hits = [m.span(m.lastindex or 0) for m in _TRIGGER.finditer(text)]
     out = []
     k = 0
     while k < len(hits):
-        # words are found in a window that grows to the left and right of the hits; 40 characters a token at most
-        low, high = hits[k][0] - 400, hits[k][1] + 400
-        n = k + 1
-        while n < len(hits) and hits[n][0] - 400 <= high:
-            high = hits[n][1] + 400
+        high, n = hits[k][1], k + 1
+        while n < len(hits) and hits[n][0] - 800 <= high:
+            high = hits[n][1]
             n += 1
-        low, high = max(0, low), min(len(text), high)
-        while low > 0 and (text[low - 1].isalnum() or text[low - 1] == "_"):
-            low -= 1
-        while high < len(text) and (text[high].isalnum() or text[high] == "_"):
-            high += 1
-        tokens = [m.span() for m in _TOKEN.finditer(text, low, high)]
+        tokens = _around(text, hits[k][0], high)
+        while n < len(hits) and hits[n][0] <= tokens[-1][1]:  # the margin met another trigger
+            high = hits[n][1]
+            n += 1
+            if n == len(hits) or hits[n][0] > tokens[-1][1]:
+                tokens = _around(text, hits[k][0], high)
         held = np.zeros(len(tokens), bool)
         starts = np.array([a for a, _ in tokens])
         ends = np.array([b for _, b in tokens])
@@ -189,9 +222,9 @@ def stretches(text: str) -> list[tuple[list[tuple[int, int]], list[bool]]]:
             held[np.searchsorted(ends, a, "right") : np.searchsorted(starts, b, "left")] = True
         near = np.flatnonzero(held)
         if len(near):
-            cut = np.flatnonzero(np.diff(near) > 2 * MAX_TOKENS + 4)
+            cut = np.flatnonzero(np.diff(near) > 2 * _MARGIN)
             for a, b in zip(np.append(near[0], near[cut + 1]), np.append(near[cut], near[-1])):
-                a, b = max(0, a - MAX_TOKENS - 4), min(len(tokens), b + MAX_TOKENS + 1)
+                a, b = max(0, a - _MARGIN), min(len(tokens), b + _MARGIN + 1)
                 out.append((tokens[a:b], held[a:b].tolist()))
         k = n
     return out
@@ -349,7 +382,7 @@ def _make(r: random.Random, kind: str) -> tuple[str, str]:
     n = lambda k: _number(r, k)
     if kind == "email":
         user, host, end = word() + r.choice(("", ".", "_")) + r.choice((n(2), word())), r.choice(("mail", "example", word())) + r.choice(("", n(1))), r.choice(("com", "org", "net", "edu"))
-        return r.choice((f"{user}@{host}.{end}", f"{user}@{host}.{end}", f"{user} [at] {host} dot {end}", f"{user} (at) {host}.{end}", f"{word()} at {host} dot {end}")), r.choice(("", "", "email ", "mail: ", "write to "))
+        return r.choice((f"{user}@{host}.{end}", f"{user}@{host}.{end}", f"{user} [at] {host} dot {end}", f"{user} (at) {host}.{end}", f"{word()} at {host} dot {end}", f"{word()} [at] {word()} [dot] {host} [dot] {end}")), r.choice(("", "", "email ", "mail: ", "write to "))
     if kind == "ip":
         return ".".join(str(r.randint(0, 255)) for _ in range(4)), r.choice(("", "", "ip ", "host ", "server "))
     if kind == "card":
@@ -360,15 +393,24 @@ def _make(r: random.Random, kind: str) -> tuple[str, str]:
         a, b, c = n(3), n(3), n(4)
         return r.choice((f"+1 ({a}) {b}-{c}", f"+1 {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+{n(2)} {n(2)} {n(3)} {n(4)}", f"({a}) {b} {c}", f"{a}.{b}.{c}")), r.choice(("", "", "phone ", "call ", "tel: "))
     if kind == "iban":
-        country, body = r.choice(("DE", "FR", "ES", "GB")), n(18)
+        country, body = r.choice((("DE", n(18)), ("FR", n(23)), ("ES", n(20)), ("GB", "".join(r.choice("ABCDEFGHIKLMNOPRSTW") for _ in range(4)) + n(14)), ("NL", "".join(r.choice("ABCDEFGHIKLMNOPRSTW") for _ in range(4)) + n(10))))
         check = 98 - int("".join(str(int(c, 36)) for c in body + country) + "00") % 97
         s = f"{country}{check:02d}{body}"
-        return r.choice((s, " ".join(s[k : k + 4] for k in range(0, len(s), 4)))), r.choice(("", "iban ", "account "))
+        return r.choice((s, " ".join(s[k : k + 4] for k in range(0, len(s), 4)))), r.choice(("", "iban ", "account ", "iban: ", "to "))
     if kind == "national_id":
         return f"{n(3)}-{n(2)}-{n(4)}", r.choice(("", "", "ssn ", "social security "))
-    alphabet = r.choice(("0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
-    s = "".join(r.choice(alphabet) for _ in range(r.choice((24, 32, 40, 40, 48))))
-    lead = r.choice(("token = ", "TOKEN = ", "key: ", "secret=", "password = ", "apikey = "))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    some = lambda alphabet, k: "".join(r.choice(alphabet) for _ in range(k))
+    lead = r.choice(("token = ", "TOKEN = ", "key: ", "secret=", "password = ", "apikey = ", "secret_key = ", "password: ", "api key "))
+    form = r.random()
+    if form < 0.15:  # passwords, of letters alone too; these stand after a cue that ends in a mark
+        return some(r.choice((lower, lower + digits, lower + upper, lower + upper + digits)), r.randint(8, 30)), r.choice(("password: ", "password = ", "pwd=", "passwd: ", "secret: ", "password is "))
+    if form < 0.3:
+        s = r.choice(("AKIA" + some(upper + digits, 16), "AIza" + some(lower + upper + digits + "_", 14) + r.choice(("-", "_")) + some(lower + upper + digits, 20), "ghp_" + some(lower + upper + digits, 36), "sk_live_" + some(lower + digits, 24), "xoxb-" + n(11) + "-" + some(lower + upper + digits, 24)))
+        return s, r.choice(("", "the key ", "api key ", lead))
+    if form < 0.36:
+        return f"{some(lower + upper + digits, r.randint(8, 14))}/{some(lower + upper + digits, r.randint(6, 12))}{r.choice(('/', '+'))}{some(lower + upper + digits, 16)}", lead
+    s = some(r.choice((digits + "abcdef", digits + "ABCDEF", lower + upper + digits)), r.choice((24, 32, 40, 40, 48)))
     return (s, lead + '"') if r.random() < 0.7 else (s, lead)
 
 
@@ -381,6 +423,7 @@ def _plain(r: random.Random) -> str:
             f"in {r.randint(1800, 2030)}", f"{r.randint(1990, 2030)}-{r.randint(10, 12)}-{date}", f"{date}/{r.randint(10, 12)}/{r.randint(1990, 2030)}", f"version {r.randint(1, 30)}.{r.randint(0, 20)}", f"version {r.randint(1, 30)}.{r.randint(0, 20)}.{r.randint(10, 99)}",
             f"{n(2)}%", f"{n(2)},{n(3)}", f"${n(3)}.{n(2)}", f"{r.randint(10, 23)}:{n(2)}", f"page {n(3)}", f"pages {n(2)}-{n(3)}", f"section {r.randint(1, 30)}.{r.randint(10, 30)}", f"order {n(8)}", f"invoice {n(6)}", f"RFC {n(4)}", f"commit {''.join(r.choice('0123456789abcdef') for _ in range(40))}",
             f"isbn 978-{n(1)}-{n(4)}-{n(4)}-{n(1)}", f"{n(5)}", f"{n(7)}", f"{n(10)}", f"{n(2)} {n(2)} {n(2)}", f"1{n(2)} x 2{n(2)}", f"#{n(6)}", f"model{n(3)}", f"{n(2)}.{n(4)}", f"build {n(4)}.{n(2)}.{n(3)}",
+            f"key: use {r.choice(('the', 'an', 'good', 'other'))} words", "the key is in the house", "password is needed here", "password is the same", "a secret: we know nothing", "the token = one step", f"meet at {r.choice(('noon', 'home', 'work'))} dot", f"at {r.choice(('ten', 'one'))} dot matrix printers", "keyboards and passwords", "token economy: simple words",
         )
     )
 
@@ -408,7 +451,7 @@ def training_sentences(count: int, seed: int) -> list[tuple[str, list[tuple[int,
 
 
 @functools.lru_cache(4)
-def trained(count: int = 600, epochs: int = 4, seed: int = 3, rate: float = 0.25, decay: float = 1e-4) -> SemiMarkovCRF:
+def trained(count: int = 1200, epochs: int = 5, seed: int = 3, rate: float = 0.25, decay: float = 1e-4) -> SemiMarkovCRF:
     """Weights by stochastic gradient steps (AdaGrad) on the log-likelihood; the same on each run."""
     data, names, seen = [], {}, {}
     for text, gold in training_sentences(count, seed):
@@ -471,7 +514,11 @@ def all_spans(model: SemiMarkovCRF, text: str) -> tuple[dict[str, list[tuple[int
     return base, sorted(out, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
-def _find(weights):
+_SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
+
+
+def _find(weights, redacted: str | None = None):
+    """Adds the column pii_spans; or, with the name of a column (which may be absent) of text lengths, redacts."""
     names, w, t = weights
 
     def run(batches):
@@ -479,16 +526,27 @@ def _find(weights):
         model.w, model.t = w, t
         for batch in batches:
             for part in bw.slices(batch, "text"):
-                spans = []
-                base_counts = []
-                for text in part.column("text").to_pylist():
+                spans, texts = [], part.column("text").to_pylist()
+                for k, text in enumerate(texts):
                     base, every = all_spans(model, text or "")
-                    base_counts.append([len(base[k]) for k in BASE_KINDS])
-                    fixed = {(k, *s) for k in BASE_KINDS for s in base[k]}
-                    spans.append([{"kind": k, "start": a, "end": b, "base": (k, a, b) in fixed} for k, a, b in every])
-                kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
-                columns = [part.column(c) for c in range(part.num_columns)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, kind)], [*part.schema.names, "pii_spans"])
+                    if redacted is None:
+                        fixed = {(kind, *s) for kind in BASE_KINDS for s in base[kind]}
+                        spans.append([{"kind": kind, "start": a, "end": b, "base": (kind, a, b) in fixed} for kind, a, b in every])
+                    elif every:
+                        texts[k] = redact_text(text, [(a, b, kind) for kind, a, b in every])
+                        spans.append(k)
+                if redacted is None:
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(spans, _SPAN_TYPE)], [*part.schema.names, "pii_spans"])
+                elif not spans:
+                    yield part
+                else:
+                    part = part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, part.column("text").type))
+                    if redacted in part.schema.names:
+                        lengths = part.column(redacted).to_pylist()
+                        for k in spans:
+                            lengths[k] = len(texts[k])
+                        part = part.set_column(part.schema.get_field_index(redacted), redacted, pa.array(lengths, part.column(redacted).type))
+                    yield part
 
     return run
 
@@ -515,28 +573,12 @@ def redact_text(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _redact(batches):
-    for batch in batches:
-        names = batch.schema.names
-        texts, spans = batch.column("text").to_pylist(), batch.column("pii_spans").to_pylist()
-        new = [redact_text(t, [(s["start"], s["end"], s["kind"]) for s in found]) if t and found else t for t, found in zip(texts, spans)]
-        columns = []
-        for name in names:
-            if name == "pii_spans":
-                continue
-            column = batch.column(name)
-            if name == "text":
-                column = pa.array(new, pa.string())
-            elif name == "n_chars":
-                column = pa.array([c if not f else len(n) for c, f, n in zip(column.to_pylist(), spans, new)], column.type)
-            columns.append(column)
-        yield pa.RecordBatch.from_arrays(columns, [n for n in names if n != "pii_spans"])
-
-
-def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with each span of the text replaced by ``<KIND>``, and n_chars (where there is one) counted anew."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "pii_spans")
-    return with_spans(docs).mapInArrow(_redact, columns)
+def redact(docs: DataFrame, length: str = "n_chars") -> DataFrame:
+    """``docs`` with each span of the text replaced by ``<KIND>``. Where a text changes, a column of the name ``length``, if
+    there is one, gets the text's new number of characters. All other columns are kept, ``pii_spans`` too."""
+    model = trained()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(_find((model.names, model.w, model.t), redacted=length), columns)
 
 
 def base_digest(spans: list[tuple[str, int, int]]) -> str:
