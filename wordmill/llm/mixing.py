@@ -11,7 +11,9 @@ are taken in two levels (slices of the hash, then within a slice), so a source w
 
 Defined results: a null text has size 0; documents of size 0 are taken once and add no words. A null source is a
 source of its own, last. Equal rows have equal hashes; they follow each other in any order, so what the copies take
-is the same set of rows. An empty table gives an empty table. Columns of other names are kept by :func:`curriculum`.
+is the same set of rows. Very long texts are counted whole; their copies are rows like others. An empty table gives an empty
+table. Other columns are kept by :func:`curriculum`, but for mix_position and mix_repeat, which it makes anew. There is one
+row a source in the windows that share the targets, which one task holds; documents are never in one.
 """
 
 from __future__ import annotations
@@ -67,13 +69,15 @@ def _demand_inverse(share: Column, rank: Column, schedules) -> Column:
     for k, knots in enumerate(schedules):
         areas = [(t1 - t0) * (a + b) / 2 for (t0, a), (t1, b) in zip(knots, knots[1:])]
         whole, done = sum(areas), 0.0
+        if not whole > 0 or min(weight for _, weight in knots) < 0:
+            raise ValueError(f"a schedule needs weights of 0 or more and one above: {knots}")
         pieces = []
         for (t0, a), (t1, b), area in zip(knots, knots[1:], areas):
             slope = (b - a) / (t1 - t0)
             need = share * whole - done
             # a*x + slope*x*x/2 = need, by the root that is stable for small slopes
-            x = 2 * need / (a + F.sqrt(F.greatest(F.lit(a * a) + 2 * slope * need, F.lit(0.0))))
-            pieces.append((done + area, t0 + x))
+            x = F.try_divide(2 * need, a + F.sqrt(F.greatest(F.lit(a * a) + 2 * slope * need, F.lit(0.0))))
+            pieces.append((done + area, t0 + F.coalesce(x, F.lit(0.0))))  # nothing is needed where a schedule starts at 0
             done += area
         here = pieces[-1][1]
         for upto, time in reversed(pieces[:-1]):
@@ -110,22 +114,38 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_repeats: in
     return placed.withColumn("copies", copies.cast("int")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def _position(repeat: Column, schedules) -> Column:
+    """Training time of a copy: its place in the source's stream of copies, through the inverse of the source's demand."""
+    at = repeat * F.col("source_size") + F.col("place") + F.col("size") / 2
+    share = F.when(F.col("target") > 0, at / F.col("target")).otherwise(F.lit(0.0))
+    return _demand_inverse(share, F.col("rank"), schedules)
+
+
+def schedule(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_repeats: int = 3, schedules=SCHEDULES) -> DataFrame:
+    """A row for each row of ``docs`` with what :func:`plan` gives and the positions of its first and last copy (null if it
+    isn't taken), sorted by the first over ranges."""
+    planned = plan(docs, weights, most_repeats)
+    taken = F.col("copies") > 0
+    first, last = (F.when(taken, _position(r, schedules)) for r in (F.lit(0), F.col("copies") - 1))
+    out = planned.withColumn("first_position", first).withColumn("last_position", last)
+    return out.repartitionByRange("first_position", "slot_hash").sortWithinPartitions("first_position", "slot_hash")
+
+
 def curriculum(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_repeats: int = 3, schedules=SCHEDULES) -> DataFrame:
     """The columns of ``docs``, a row for each copy that the mix takes, and mix_position (0..1) and mix_repeat; sorted
     by position over ranges."""
+    docs = docs.drop("mix_position", "mix_repeat")
     others = [c for c in docs.columns if c not in ("doc_id", "source")]
     # the columns of docs wait in a struct, so none of their names meets one used here
-    aside = docs.withColumn("mix_row", F.struct(*others))
+    aside = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("mix_row"))
     planned = plan(aside, weights, most_repeats, carry=("mix_row",)).where("copies > 0").withColumn("repeat", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    at = F.col("repeat") * F.col("source_size") + F.col("place") + F.col("size") / 2
-    share = F.when(F.col("target") > 0, at / F.col("target")).otherwise(F.lit(0.0))
-    out = planned.withColumn("mix_position", _demand_inverse(share, F.col("rank"), schedules))
+    out = planned.withColumn("mix_position", _position(F.col("repeat"), schedules))
     keep = [F.col(c) if c in ("doc_id", "source") else F.col("mix_row")[c].alias(c) for c in docs.columns]
     ranged = out.repartitionByRange("mix_position", "slot_hash").sortWithinPartitions("mix_position", "slot_hash", "repeat")
     return ranged.select(*keep, "mix_position", F.col("repeat").alias("mix_repeat"))
 
 
-#: The plan of :func:`plan` with its defaults, in DuckDB.
+#: What :func:`schedule` gives with its defaults, in DuckDB.
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -141,13 +161,26 @@ c AS (
   FROM w),
 l AS (SELECT *, (total - capped) / weight_left AS level, (total - capped) / weight_left * weight > 3.0::DOUBLE * source_size AS is_capped FROM c),
 f AS (SELECT level AS free FROM l WHERE NOT is_capped ORDER BY source_size / weight, rank LIMIT 1),
-t AS (SELECT source, source_size, CASE WHEN is_capped THEN 3.0::DOUBLE * source_size ELSE weight * (SELECT free FROM f) END AS target FROM l),
+t AS (SELECT source, source_size, rank, CASE WHEN is_capped THEN 3.0::DOUBLE * source_size ELSE weight * (SELECT free FROM f) END AS target FROM l),
 p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.rank,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place,
          CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size)::BIGINT ELSE 1 END AS rounds
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-       (size * least(rounds + CASE WHEN place + size / 2.0::DOUBLE <= target - rounds * source_size THEN 1 ELSE 0 END, 3))::BIGINT AS taken
-FROM p
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (
+  SELECT *, least(rounds + CASE WHEN place + size / 2.0::DOUBLE <= target - rounds * source_size THEN 1 ELSE 0 END, 3) AS fitting,
+         CASE WHEN size = 0 THEN 1 ELSE fitting END AS copies,
+         CASE WHEN target > 0 THEN (place + size / 2.0::DOUBLE) / target ELSE 0 END AS first_share,
+         CASE WHEN target > 0 THEN ((copies - 1) * source_size + place + size / 2.0::DOUBLE) / target ELSE 0 END AS last_share
+  FROM p)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (size * fitting)::BIGINT AS taken,
+       CASE WHEN copies > 0 THEN round(least(greatest(CASE (rank - 1) % 3
+         WHEN 0 THEN 2 * first_share / (0.5 + sqrt(greatest(0.25 + 2 * first_share, 0)))
+         WHEN 1 THEN 2 * first_share / (1.5 + sqrt(greatest(2.25 - 2 * first_share, 0)))
+         ELSE first_share END, 0), 1), 6) END AS first_position,
+       CASE WHEN copies > 0 THEN round(least(greatest(CASE (rank - 1) % 3
+         WHEN 0 THEN 2 * last_share / (0.5 + sqrt(greatest(0.25 + 2 * last_share, 0)))
+         WHEN 1 THEN 2 * last_share / (1.5 + sqrt(greatest(2.25 - 2 * last_share, 0)))
+         ELSE last_share END, 0), 1), 6) END AS last_position
+FROM q
 """

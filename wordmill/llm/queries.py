@@ -47,8 +47,8 @@ def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.plan(documents(spark, sf_dir))
-    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+    out = mixing.schedule(documents(spark, sf_dir))
+    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", *[F.round(c, 6).alias(c) for c in ("first_position", "last_position")])
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
