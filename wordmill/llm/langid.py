@@ -5,9 +5,10 @@ Words are runs of letters, lower-cased and padded with a blank; n-grams of 1 to
 inside them. Profiles are learned from all labelled rows: each task counts its rows' n-grams by language, the partial
 counts are summed by Spark, and only the ``top`` n-grams a language (a size that doesn't grow) reach the driver.
 
-Defined results: a null text or one without letters is ``und`` with score 0; with no labelled row at all every text
-is. Ties in frequency are ordered by the n-gram's hash, ties in distance go to the smaller language name. Long
-texts are counted whole, in pieces. Repeated rows count as often as they occur. Other columns are ignored.
+Defined results: a null text or one without letters (combining marks alone are none) is ``und`` with score 0; with no
+labelled row at all every text is, and an empty table gives an empty one. Ties in frequency are ordered by the n-gram's hash, ties in distance go to the smaller language name. Long
+texts are counted whole, in pieces. Repeated rows count as often as they occur. Other columns are kept; ``lang_pred`` and
+``score`` are replaced.
 """
 
 from __future__ import annotations
@@ -152,7 +153,7 @@ class Matcher:
         if not text or not self.langs:
             return UNDETERMINED, 0.0
         grams, counts = count_grams(text)
-        if not len(grams):
+        if not len(grams) or not any(c.isalpha() for c in text):  # combining marks alone are no letters
             return UNDETERMINED, 0.0
         own = ranked(grams, counts, self.top)
         at = np.searchsorted(self.grams, own)

@@ -7,8 +7,9 @@ is merged: open windows of all partitions are dealt out in lots of bounded size
 first.
 
 Defined results: a null text counts as empty; it has one piece, the end token. Repeated rows are packed each for
-itself. Order and partitions of the input decide the packing, and a task that runs again makes the same pieces.
-Other columns are ignored. An empty table gives none.
+itself. Order and partitions of the input decide the packing, and a task that runs again makes the same pieces; of windows with
+as much room (ties) the one opened first is taken. Very long texts are cut into windows like others; their ids are held whole
+until their last piece is placed. Other columns are ignored. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from .shared import Workspace
 WINDOW, END_ID = 2048, 1
 #: Open windows merged in one task.
 LOT = 4096
-#: Runs without (or of) white space that are left to the slower library, which has no limits on them.
+#: Runs without (or of) white space that are left to the JSON file's library, which has no limits on them.
 _RUN = re.compile(r"\S{2000}|\s{2000}")
 
 
@@ -43,13 +44,13 @@ def tokenizer_paths() -> tuple[str, str]:
 
 @functools.lru_cache(2)
 def encoder(json_path: str, ranks_path: str | None):
-    """Texts to token ids. The rank file holds the same vocabulary as the JSON file and is read by a library that is
-    some times faster; texts with very long runs, and all texts if there is no rank file, take the JSON file."""
+    """Texts to token ids as the JSON file's library gives them without added special tokens. The rank file holds the same
+    vocabulary and is read by a library that is some times faster; texts that hold one of the JSON file's added tokens
+    (which are one id each), texts with very long runs, and all texts if there is no rank file, take the JSON file."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(json_path)
-    plain.encode_special_tokens = True  # such strings in a text are ordinary text
     if ranks_path is None:
         return lambda texts: [e.ids for e in plain.encode_batch_fast(texts, add_special_tokens=False)]
     import base64
@@ -60,9 +61,11 @@ def encoder(json_path: str, ranks_path: str | None):
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    slow = re.compile("|".join([_RUN.pattern, *map(re.escape, added)]))
 
     def run(texts: list[str]) -> list[list[int]]:
-        return [plain.encode(t, add_special_tokens=False).ids if _RUN.search(t) else fast.encode_ordinary(t) for t in texts]
+        return [plain.encode(t, add_special_tokens=False).ids if slow.search(t) else fast.encode_ordinary(t) for t in texts]
 
     return run
 
@@ -201,5 +204,5 @@ def pack(docs: DataFrame, window: int = WINDOW, open_windows: int = 32, least_cu
     pieces = work.keep(docs.select("doc_id", "text").mapInArrow(_pack(paths or tokenizer_paths(), window, open_windows, least_cut, with_ids), schema), "pieces")
     left = pieces.where("is_open")
     lots = max(1, -(-left.select("sequence_id").distinct().count() // LOT))
-    merged = left.repartition(lots, F.pmod(F.xxhash64("sequence_id"), F.lit(lots))).mapInArrow(_merge(window), schema)
+    merged = left.repartitionById(lots, F.pmod(F.xxhash64("sequence_id"), F.lit(lots)).cast("int")).mapInArrow(_merge(window), schema)
     return pieces.where("not is_open").union(merged).drop("is_open")
