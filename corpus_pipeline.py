@@ -1,4 +1,7 @@
-"""A corpus pipeline of five stages, each a call of one operator, each written as Parquet and read again."""
+"""A corpus pipeline of five stages, each a call of one operator, each written as Parquet and read again.
+
+All stages take documents with null or empty texts, any other columns null, repeated rows and columns of any further name, and
+give an empty table for an empty one; the operators' modules state what comes of each. The first four return the columns of their input."""
 
 from __future__ import annotations
 
@@ -9,27 +12,30 @@ from wordmill.llm.shared import Workspace, documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the robust outlier test reject go."""
+    """Documents that the base rules or the robust outlier test reject go, null and empty texts among them, as they have under
+    ten words. Repeated rows are judged alike."""
     return outliers.drop_outliers(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays: its smallest doc_id."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8) stays: its smallest doc_id, a null one
+    last. Texts without words all stay."""
     return minhash.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each span of personal data gives way to a mark of its kind."""
+    """Each span of personal data gives way to a mark of its kind, and n_chars of such a text is counted anew. Null texts stay null."""
     return pii.redact(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each copy that the mix takes, in training order."""
+    """A row for each copy that the mix takes, in training order; texts without words are taken once. Columns of the names
+    mix_position and mix_repeat get the mix's values."""
     return mixing.curriculum(docs).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens."""
+    """Pieces of documents in sequences of 2048 tokens; a null or empty text is one piece, the end token."""
     return packing.pack(docs)
 
 
@@ -47,7 +53,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "pipeline")
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), ()
     for name, stage in STAGES:
         docs = work.keep(stage(spark, docs, sf_dir), name)
+        work.drop(*before)
+        before = (name,)
     return docs
