@@ -62,3 +62,34 @@ def test_no_rows_at_order_three(spark):
     model = kneser_ney.train(spark.createDataFrame([], "text string"), Workspace(spark, "kn"), order=3)
     (r,) = kneser_ney.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), model).collect()
     assert r["score"] == 0
+
+
+def test_many_shards_go_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "FAN_OUT", 3)
+    monkeypatch.setattr(kneser_ney, "BUFFER", 7)
+    frame = spark.createDataFrame([(t,) for t in TRAIN], "text string").repartition(3)
+    for order in (2, 3):
+        model = kneser_ney.train(frame, Workspace(spark, "kn"), order=order, shards=8)
+        got = kneser_ney.score(spark.createDataFrame(list(enumerate(TRAIN)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+        assert [r["score"] for r in got] == pytest.approx(slow_scores(TRAIN, TRAIN, order), rel=1e-9)
+
+
+def test_counts_have_no_bound():
+    many = np.array([(5, 6, 2**32 - 1), (5, 6, 2**40), (5, 7, 3)], kneser_ney.PAIR)
+    rows, hashes = kneser_ney.merge_pairs([many])
+    assert sorted(rows["n"].tolist()) == [3, 2**40 + 2**32 - 1]
+    back = kneser_ney.unpack_pairs(kneser_ney.pack_pairs(rows))
+    assert sorted(back["n"].tolist()) == sorted(rows["n"].tolist())
+    table = kneser_ney.Table(kneser_ney.pack_table(hashes, [rows["n"]]), 1)
+    assert table.numbers(0, table.find(hashes)).tolist() == rows["n"].tolist()
+    assert table.find(hashes ^ np.uint64(1)).tolist() == [-1, -1]
+
+
+def test_tables_with_equal_first_bits():
+    low = np.arange(1000, dtype=np.uint64)
+    hashes = np.concatenate([low + np.uint64(7 << 16), low])[::-1].copy()
+    n = np.arange(2000, dtype=np.uint64)
+    table = kneser_ney.Table(kneser_ney.pack_table(hashes, [n, n * np.uint64(2)]), 2)
+    places = table.find(hashes)
+    assert (table.numbers(0, places) == n).all() and (table.numbers(1, places) == 2 * n).all()
+    assert (table.find(hashes + np.uint64(1 << 17)) == -1).sum() > 0

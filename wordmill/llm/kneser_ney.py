@@ -1,14 +1,19 @@
 """Interpolated modified Kneser-Ney language model: n-grams counted in Spark, stored as sorted hash arrays, and
 memory-mapped by the workers that score.
 
-The model has words, word pairs and, up to its order, longer n-grams. Counting at order 2: each task cuts its texts into words, counts its pairs in bounded
-buffers, and sends them as sorted arrays to the shard that owns their range of hashes; a shard merges what it gets,
-writes its pairs as a sorted array of hashes and counts, and sends what each word gathered (its count, the number of
-distinct words before it, and as a context its total and numbers of rare successors) to the shard of that word's
-hash. At a higher order, tasks count n-grams of that order and send them to the shard of their context (all words but the
-last), which writes them and what their contexts gathered, and sends the numbers of distinct words before each shorter
-n-gram one order down; pairs and words are then made of these numbers. Nothing passes the driver but sums. Model files lie in the shared folder and are written whole under their name,
-so a lost executor's tasks just write them again.
+The model has words, word pairs and, up to its order, longer n-grams. Counting: each task cuts its texts into words, counts
+n-grams of the highest order in bounded buffers, and sends them as sorted arrays to the shard that owns their range of
+hashes (pairs by their own hash, longer ones by that of their context, all words but the last). A shard merges what it
+gets, writes its n-grams and what their contexts gathered, and sends the numbers of distinct words before each shorter
+n-gram one order down; the shards of pairs send what each word gathered to the shard of the word's hash. Nothing passes the
+driver but sums. Shards follow the size of the input, not its partitions, and each is a task. With more than ``FAN_OUT`` of
+them, blobs go to ranges of shards first and are merged there before they go on, so their number grows with the input and
+no blob gets small. Model files lie in the shared folder and are written whole under their name, so a lost executor's tasks
+just write them again.
+
+Files hold 48 bits of each hash in order, and a byte a number; numbers of 255 or more are listed beside, so counts have no
+bound. Words are told apart by 64-bit hashes (a million words have two alike with odds of 3e-8, a billion of 3 %), and a shard
+of n entries takes an n-gram that it doesn't have for one of its own with odds of n / 2.8e14.
 
 Scores: log10 of p(w | u) = max(c(uw) - D(c(uw)), 0) / c(u.) + g(u) * p1(w), and p1 likewise from the numbers of
 distinct predecessors, spread evenly over the words known and one unknown. At order k a text starts after k - 1 start tokens, the
@@ -18,8 +23,9 @@ counts of counts (where these are degenerate, as in tiny corpora, from fixed val
 seen backs off to p1 whole.
 
 Defined results: a null text counts as empty, one end token. Words are lower-cased in A-Z. Words of repeated rows count
-as often as they occur. Long texts are scored in pieces of a batch's words. With no training rows every token has
-base probability 1 / (0 + 1) and model probability 1, so scores are 0. Other columns are ignored.
+as often as they occur. Very long texts are counted and scored whole, one a slice. With no training rows every token has
+base probability 1 / (0 + 1) and model probability 1, so scores are 0; an empty table to score gives an empty one. Other
+columns are kept by :func:`score`, but for those that it makes anew.
 """
 
 from __future__ import annotations
@@ -40,11 +46,13 @@ _U = np.uint64
 END, START = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
 #: Pairs that a counting task buffers before it merges them.
 BUFFER = 3_000_000
-PAIR = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
+PAIR = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u8")])
 WORD = np.dtype([("word", "<u8"), ("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
 _SUMS = WORD.names[1:]
 #: What a context of two words or more gathered; its hash is stored beside.
-CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u4"), ("n2", "<u4"), ("n3", "<u4")])
+CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
+#: Bytes of input a shard is made for, ranges of shards that blobs go to at first, and tables that a scoring task has mapped.
+SHARD_BYTES, FAN_OUT, MAPPED = 16 << 20, 256, 1024
 
 
 def token_hashes(words: bw.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +76,7 @@ def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def gram_dtype(k: int) -> np.dtype:
     """Rows of k words and a number."""
-    return PAIR if k == 2 else np.dtype([*((f"w{i}", "<u8") for i in range(k)), ("n", "<u4")])
+    return PAIR if k == 2 else np.dtype([*((f"w{i}", "<u8") for i in range(k)), ("n", "<u8")])
 
 
 def histories(tokens: np.ndarray, first: np.ndarray, k: int) -> list[np.ndarray]:
@@ -103,7 +111,7 @@ def merge_pairs(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return rows, hashes
     first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
     out = rows[first].copy()
-    out["n"] = np.minimum(np.add.reduceat(rows["n"].astype(np.int64), first), 0xFFFFFFFF)
+    out["n"] = np.add.reduceat(rows["n"], first)
     return out, hashes[first]
 
 
@@ -119,7 +127,7 @@ def merge_grams(parts: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray
         return rows, context, hashes
     first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
     out = rows[first].copy()
-    out["n"] = np.minimum(np.add.reduceat(rows["n"].astype(np.int64), first), 0xFFFFFFFF)
+    out["n"] = np.add.reduceat(rows["n"], first)
     return out, context[first], hashes[first]
 
 
@@ -156,7 +164,7 @@ def pack_pairs(rows: np.ndarray) -> bytes:
     left = places[0][order]
     step = np.diff(left, prepend=left[:1]).astype("<u4")
     head = np.array([n, len(names), left[0] if n else 0], "<u8").tobytes()
-    return head + b"".join(_planes(x) for x in (names, step, *[x[order] for x in places[1:]], rows["n"][order].astype("<u4")))
+    return head + b"".join(_planes(x) for x in (names, step, *[x[order] for x in places[1:]], np.ascontiguousarray(rows["n"][order])))
 
 
 def unpack_pairs(raw, dtype: np.dtype = PAIR) -> np.ndarray:
@@ -164,15 +172,76 @@ def unpack_pairs(raw, dtype: np.dtype = PAIR) -> np.ndarray:
     at = 24
     names = _from_planes(raw, "<u8", m, at)
     at += 8 * m
-    step, *others = (_from_planes(raw, "<u4", n, at + 4 * n * k) for k in range(len(dtype.names)))
+    step, *others = (_from_planes(raw, "<u4", n, at + 4 * n * k) for k in range(len(dtype.names) - 1))
     rows = np.empty(n, dtype)
     rows[dtype.names[0]] = names[first + np.cumsum(step.astype(np.int64))]
     for column, place in zip(dtype.names[1:-1], others):
         rows[column] = names[place]
-    rows["n"] = others[-1]
+    rows["n"] = _from_planes(raw, "<u8", n, at + 4 * n * (len(dtype.names) - 1))
     return rows
 
 
+_LOW = _U((1 << 48) - 1)
+
+
+def pack_table(hashes: np.ndarray, columns: list[np.ndarray]) -> bytes:
+    """Numbers by hash, in the order of the hashes' last 48 bits."""
+    keys = hashes & _LOW
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    columns = [c[order].astype("<u8") for c in columns]
+    large = [np.flatnonzero(c >= 255).astype("<u8") for c in columns]
+    out = [np.array([len(keys), *map(len, large)], "<u8")]
+    for c, at in zip(columns, large):
+        out += [at, c[at]]
+    out += [(keys >> _U(16)).astype("<u4"), (keys & _U(0xFFFF)).astype("<u2")]
+    out += [np.minimum(c, _U(255)).astype("u1") for c in columns]
+    return b"".join(x.tobytes() for x in out)
+
+
+class Table:
+    """What :func:`pack_table` made, mapped."""
+
+    def __init__(self, raw, columns: int):
+        self.n, *many = np.frombuffer(raw, "<u8", columns + 1).tolist() if len(raw) else [0] * (columns + 1)
+        at = 8 * (columns + 1)
+        self.large = []
+        for m in many:
+            self.large.append((np.frombuffer(raw, "<u8", m, at), np.frombuffer(raw, "<u8", m, at + 8 * m)) if m else None)
+            at += 16 * m
+        if self.n:
+            self.high, self.low = np.frombuffer(raw, "<u4", self.n, at), np.frombuffer(raw, "<u2", self.n, at + 4 * self.n)
+            self.small = [np.frombuffer(raw, "u1", self.n, at + (6 + c) * self.n) for c in range(columns)]
+        else:
+            self.high, self.low, self.small = np.empty(0, "<u4"), np.empty(0, "<u2"), [np.empty(0, "u1")] * columns
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes, or -1."""
+        keys = hashes & _LOW
+        high, low = (keys >> _U(16)).astype("<u4"), (keys & _U(0xFFFF)).astype("<u2")
+        out = np.full(len(keys), -1, np.int64)
+        spot, left = np.searchsorted(self.high, high), np.arange(len(keys))
+        while len(left):  # entries with the same first 32 bits follow each other
+            left = left[spot[left] < self.n]
+            left = left[self.high[spot[left]] == high[left]]
+            hit = self.low[spot[left]] == low[left]
+            out[left[hit]] = spot[left[hit]]
+            left = left[~hit]
+            spot[left] += 1
+        return out
+
+    def numbers(self, column: int, places: np.ndarray) -> np.ndarray:
+        """Numbers at the places, 0 at -1."""
+        if not self.n:
+            return np.zeros(len(places), _U)
+        out = np.where(places >= 0, self.small[column][places], 0).astype(_U)
+        if self.large[column] is not None:
+            where = np.flatnonzero(out == 255)
+            at, values = self.large[column]
+            out[where] = values[np.searchsorted(at, places[where].astype(_U))]
+        return out
+
+
 def _cut(shards: np.ndarray, rows: np.ndarray, pack=_planes):
     """(shard, bytes) of rows that are sorted by shard."""
     at = np.flatnonzero(np.append(True, shards[1:] != shards[:-1])) if len(rows) else np.empty(0, np.int64)
@@ -204,7 +273,45 @@ def _merge_sent(parts: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray
     return merge_pairs(parts) if k == 2 else merge_grams(parts, k)[:2]
 
 
-def _count(shards: int, order: int = 2):
+def _spread(shards: int, k: int):
+    """Merges blobs of ranges of shards, and sends them on to the shards."""
+
+    def run(batches):
+        parts: dict[int, list] = {}
+        sizes: dict[int, int] = {}
+        words: list[np.ndarray] = []
+
+        def flush(target: int):
+            rows, hashes = _merge_sent(parts.pop(target), k)
+            sizes.pop(target)
+            return _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
+
+        def flush_words():
+            rows = merge_words(words)
+            words.clear()
+            return _blobs(list(_cut(shard_of(rows["word"], shards), rows)), WORDS)
+
+        for target, kind, raw in _each_blob(batches):
+            if kind == WORDS:
+                words.append(_words_of(raw))
+                if sum(map(len, words)) > BUFFER // 4:
+                    yield flush_words()
+            else:
+                parts.setdefault(target, []).append(unpack_pairs(raw, gram_dtype(k)))
+                sizes[target] = sizes.get(target, 0) + len(parts[target][-1])
+                if sum(sizes.values()) > BUFFER:
+                    yield flush(max(sizes, key=sizes.get))
+        for target in list(parts):
+            yield flush(target)
+        if words:
+            yield flush_words()
+
+    return run
+
+
+def _count(shards: int, order: int = 2, per: int = 1):
+    """``per``: shards that a blob is for."""
+
     def run(batches):
         held: list[np.ndarray] = []
         size = 0
@@ -220,16 +327,16 @@ def _count(shards: int, order: int = 2):
                     rows, hashes = _merge_sent(held, order)
                     held, size = [rows], len(rows)
                     if size > BUFFER // 2:
-                        yield _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
+                        yield _blobs(list(_cut(shard_of(hashes, shards) // per, rows, pack_pairs)))
                         held, size = [], 0
         if size:
             rows, hashes = _merge_sent(held, order)
-            yield _blobs(list(_cut(shard_of(hashes, shards), rows, pack_pairs)))
+            yield _blobs(list(_cut(shard_of(hashes, shards) // per, rows, pack_pairs)))
 
     return run
 
 
-def _gram_shards(folder: str, shards: int, k: int, top: bool):
+def _gram_shards(folder: str, shards: int, k: int, top: bool, per: int = 1):
     """Writes n-grams of k > 2 words and their contexts, and sends n-grams of k - 1 words with the numbers of distinct words
     before them; from the ``top`` order also the words' counts."""
 
@@ -239,32 +346,30 @@ def _gram_shards(folder: str, shards: int, k: int, top: bool):
             if kind == GRAMS:
                 parts.setdefault(shard, []).append(unpack_pairs(raw, gram_dtype(k)))
             else:
-                yield _blobs([(shard, raw.to_pybytes())], WORDS)
+                yield _blobs([(shard // per, raw.to_pybytes())], WORDS)
         for shard in sorted(parts):
             rows, context, hashes = merge_grams(parts.pop(shard), k)
             n = rows["n"].astype(np.int64)
-            by_hash = np.argsort(hashes, kind="stable")
-            write_file(f"{folder}/grams{k}-{shard:05d}", hashes[by_hash].tobytes() + rows["n"][by_hash].astype("<u4").tobytes())
-            del by_hash
+            write_file(f"{folder}/grams{k}-{shard:05d}", pack_table(hashes, [rows["n"]]))
             first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
             gathered = np.zeros(len(first), CONTEXT)
             gathered["total"] = np.add.reduceat(n, first)
             for x in (1, 2, 3):
                 gathered[f"n{x}"] = np.add.reduceat((n == x if x < 3 else n >= x).astype(np.int64), first)
-            write_file(f"{folder}/contexts{k}-{shard:05d}", context[first].tobytes() + gathered.tobytes())
+            write_file(f"{folder}/contexts{k}-{shard:05d}", pack_table(context[first], [gathered[x] for x in CONTEXT.names]))
             if top:
                 last, place = np.unique(rows[rows.dtype.names[k - 1]], return_inverse=True)
                 words = np.zeros(len(last), WORD)
                 words["word"] = last
                 np.add.at(words["count"], place, n.astype(_U))
-                yield _blobs(list(_cut(shard_of(last, shards), words)), WORDS)
+                yield _blobs(list(_cut(shard_of(last, shards) // per, words)), WORDS)
             shorter = np.empty(len(rows), gram_dtype(k - 1))
             for to, name in zip(shorter.dtype.names[:-1], rows.dtype.names[1:k]):
                 shorter[to] = rows[name]
             shorter["n"] = 1
             del rows, n, context, hashes
             rows, owners = _merge_sent([shorter], k - 1)
-            yield _blobs(list(_cut(shard_of(owners, shards), rows, pack_pairs)))
+            yield _blobs(list(_cut(shard_of(owners, shards) // per, rows, pack_pairs)))
 
     return run
 
@@ -289,7 +394,7 @@ def _tally(rows: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _pair_shards(folder: str, shards: int, order: int = 2):
+def _pair_shards(folder: str, shards: int, order: int = 2, per: int = 1):
     def run(batches):
         parts: dict[int, list[np.ndarray]] = {}
         passing: dict[int, list[np.ndarray]] = {}
@@ -300,12 +405,12 @@ def _pair_shards(folder: str, shards: int, order: int = 2):
                 passing.setdefault(shard, []).append(_words_of(raw))
         for shard in sorted({*parts, *passing}):
             rows, hashes = merge_pairs(parts.pop(shard, []))
-            write_file(f"{folder}/pairs-{shard:05d}", hashes.tobytes() + rows["n"].astype("<u4").tobytes())
+            write_file(f"{folder}/pairs-{shard:05d}", pack_table(hashes, [rows["n"]]))
             tallied = _tally(rows)
             if order > 2:  # these pairs tell of distinct predecessors; the words' counts came by themselves
                 tallied[0]["count"] = 0
             words = merge_words([*tallied, *passing.pop(shard, [])])
-            yield _blobs(list(_cut(shard_of(words["word"], shards), words)))
+            yield _blobs(list(_cut(shard_of(words["word"], shards) // per, words)), WORDS)
 
     return run
 
@@ -320,7 +425,7 @@ def _word_shards(folder: str):
             parts.setdefault(shard, []).append(_words_of(raw))
         for shard in sorted(parts):
             words = merge_words(parts.pop(shard))
-            write_file(f"{folder}/words-{shard:05d}", words.tobytes())
+            write_file(f"{folder}/words-{shard:05d}", pack_table(words["word"], [words[x] for x in _SUMS]))
             b = words["before"]
             known = words["count"] > 0
             # contexts give the counts of counts of pairs up to 2; 3 and 4 come from the pair shards' files
@@ -336,7 +441,7 @@ def _high_counts(folder: str):
     def run(batches):
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
-                _, n = load_pairs(f"{folder}/pairs-{shard:05d}")
+                n = load_counts(f"{folder}/pairs-{shard:05d}").small[0]
                 yield pa.RecordBatch.from_arrays([pa.array([int((n == 3).sum())], pa.int64()), pa.array([int((n == 4).sum())], pa.int64())], ["c3", "c4"])
 
     return run
@@ -349,16 +454,14 @@ def _gram_counts(folder: str, order: int):
         for batch in batches:
             for shard in batch.column("shard").to_pylist():
                 for k in range(3, order + 1):
-                    _, n = load_pairs(f"{folder}/grams{k}-{shard:05d}")
+                    n = load_counts(f"{folder}/grams{k}-{shard:05d}").small[0]
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *[pa.array([int((n == x).sum())], pa.int64()) for x in (1, 2, 3, 4)]], ["k", "n1", "n2", "n3", "n4"])
 
     return run
 
 
-def load_pairs(path: str) -> tuple[np.ndarray, np.ndarray]:
-    raw = mapped(path)
-    n = len(raw) // 12
-    return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<u4", n, 8 * n)
+def load_counts(path: str) -> Table:
+    return Table(mapped(path), 1)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -384,72 +487,45 @@ class Model:
         mass = self.d1[1] * b[0] + self.d1[2] * b[1] + self.d1[3] * many
         self.floor = mass / max(stats["pairs"], 1) / (stats["vocabulary"] + 1)
 
-    @functools.lru_cache(None)  # noqa: B019  the model lives as long as the worker's task
-    def pairs(self, shard: int):
-        return load_pairs(f"{self.folder}/pairs-{shard:05d}")
-
-    @functools.lru_cache(None)  # noqa: B019
-    def words(self, shard: int):
-        rows = np.frombuffer(mapped(f"{self.folder}/words-{shard:05d}"), WORD)
-        return rows["word"], rows
+    @functools.lru_cache(MAPPED)  # noqa: B019  the model lives as long as the worker's task
+    def table(self, name: str, shard: int) -> Table:
+        columns = len(_SUMS) if name == "words" else len(CONTEXT.names) if name.startswith("contexts") else 1
+        return Table(mapped(f"{self.folder}/{name}-{shard:05d}"), columns)
 
-    def _find(self, keys: np.ndarray, table):
-        """For sorted keys: (position in shard's rows or -1) shard by shard."""
-        shards = shard_of(keys, self.shards)
-        at = np.flatnonzero(np.append(True, shards[1:] != shards[:-1])) if len(keys) else []
+    def _numbers(self, name: str, keys: np.ndarray, owners: np.ndarray, columns: int) -> list[np.ndarray]:
+        """The numbers that a kind of table has of each key, 0 where it has none; ``owners``: hashes that shards go by."""
+        shards = shard_of(owners, self.shards)
+        order = np.argsort(shards, kind="stable")
+        out = [np.zeros(len(keys), _U) for _ in range(columns)]
+        at = np.flatnonzero(np.append(True, np.diff(shards[order]) != 0)) if len(keys) else []
         for a, b in zip(at, np.append(at[1:], len(keys))):
-            have, rows = table(int(shards[a]))
-            spot = np.searchsorted(have, keys[a:b])
-            spot[spot == len(have)] = 0
-            hit = have[spot] == keys[a:b] if len(have) else np.zeros(b - a, bool)
-            yield slice(a, b), np.where(hit, spot, -1), rows
+            which = order[a:b]
+            table = self.table(name, int(shards[which[0]]))
+            places = table.find(keys[which])
+            for c in range(columns):
+                out[c][which] = table.numbers(c, places)
+        return out
 
     def pair_counts(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys, inverse = np.unique(pair_hashes(left, right), return_inverse=True)
-        out = np.zeros(len(keys), np.int64)
-        for piece, spot, n in self._find(keys, self.pairs):
-            good = spot >= 0
-            out[piece][good] = n[spot[good]]
-        return out[inverse]
+        return self._numbers("pairs", keys, keys, 1)[0].astype(np.int64)[inverse]
 
     def word_rows(self, hashes: np.ndarray) -> np.ndarray:
         keys, inverse = np.unique(hashes, return_inverse=True)
         out = np.zeros(len(keys), WORD)
-        for piece, spot, rows in self._find(keys, self.words):
-            good = spot >= 0
-            out[piece][good] = rows[spot[good]]
+        for name, numbers in zip(_SUMS, self._numbers("words", keys, keys, len(_SUMS))):
+            out[name] = numbers
         return out[inverse]
 
-    @functools.lru_cache(None)  # noqa: B019
-    def grams(self, k: int, shard: int):
-        return load_pairs(f"{self.folder}/grams{k}-{shard:05d}")
-
-    @functools.lru_cache(None)  # noqa: B019
-    def contexts(self, k: int, shard: int):
-        raw = mapped(f"{self.folder}/contexts{k}-{shard:05d}")
-        n = len(raw) // (8 + CONTEXT.itemsize)
-        return np.frombuffer(raw, "<u8", n), np.frombuffer(raw, CONTEXT, n, 8 * n)
-
     def gram_rows(self, k: int, context: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of each n-gram of k words, and what its context gathered."""
         keys, inverse = np.unique(context, return_inverse=True)
         gathered = np.zeros(len(keys), CONTEXT)
-        for piece, spot, rows in self._find(keys, functools.partial(self.contexts, k)):
-            good = spot >= 0
-            gathered[piece][good] = rows[spot[good]]
+        for name, numbers in zip(CONTEXT.names, self._numbers(f"contexts{k}", keys, keys, len(CONTEXT.names))):
+            gathered[name] = numbers
         gathered = gathered[inverse]
         keys, one, inverse = np.unique(pair_hashes(context, tokens), return_index=True, return_inverse=True)
-        shards = shard_of(context[one], self.shards)
-        order = np.argsort(shards, kind="stable")
-        at = np.flatnonzero(np.append(True, np.diff(shards[order]) != 0)) if len(keys) else []
-        out = np.zeros(len(keys), np.int64)
-        for a, b in zip(at, np.append(at[1:], len(keys))):
-            have, n = self.grams(k, int(shards[order[a]]))
-            if len(have):
-                spot = np.searchsorted(have, keys[order[a:b]])
-                spot[spot == len(have)] = 0
-                out[order[a:b]] = np.where(have[spot] == keys[order[a:b]], n[spot], 0)
-        return out[inverse], gathered
+        return self._numbers(f"grams{k}", keys, context[one], 1)[0].astype(np.int64)[inverse], gathered
 
     def token_scores(self, tokens: np.ndarray, before: np.ndarray, *earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count, base log10 probability and model log10 probability of each token after the one ``before`` and, above order
@@ -476,16 +552,32 @@ class Model:
         return own["count"], base, np.log10(p)
 
 
-def train(texts: DataFrame, work: Workspace, order: int = 2) -> Model:
-    """Count and store a model of the column ``text`` with n-grams of up to ``order`` (2 or more) words, one shard for each
-    partition of the input."""
-    shards = max(4, texts.rdd.getNumPartitions())
+def shards_for(texts: DataFrame) -> int:
+    """Shards by Spark's estimate of the input's size, or where it has none (as for tables made of Python rows) a partition each."""
+    size = int(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:
+        return max(4, texts.rdd.getNumPartitions())
+    return max(4, min(1 << 20, -(-size // SHARD_BYTES)))
+
+
+def train(texts: DataFrame, work: Workspace, order: int = 2, shards: int | None = None) -> Model:
+    """Count and store a model of the column ``text`` with n-grams of up to ``order`` (2 or more) words."""
+    shards = shards or shards_for(texts)
+    per = -(-shards // FAN_OUT)
     folder = f"{work.path}/model"
-    counted = texts.select("text").mapInArrow(_count(shards, order), _BLOBS)
+
+    def sent(blobs: DataFrame, k: int) -> DataFrame:
+        """Each shard's blobs in a task of its own; by way of ranges of shards where there are many."""
+        if per > 1:
+            salted = blobs.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(-(-shards // FAN_OUT))))
+            blobs = salted.repartition(shards, "shard", "salt").drop("salt").mapInArrow(_spread(shards, k), _BLOBS)
+        return blobs.repartitionById(shards, F.col("shard"))
+
+    counted = texts.select("text").mapInArrow(_count(shards, order, per), _BLOBS)
     for k in range(order, 2, -1):
-        counted = counted.repartition(shards, "shard").mapInArrow(_gram_shards(folder, shards, k, k == order), _BLOBS)
-    tallied = counted.repartition(shards, "shard").mapInArrow(_pair_shards(folder, shards, order), _BLOBS)
-    stats = tallied.repartition(shards, "shard").mapInArrow(_word_shards(folder), ", ".join(f"{c} long" for c in _STATS))
+        counted = sent(counted, k).mapInArrow(_gram_shards(folder, shards, k, k == order, per), _BLOBS)
+    tallied = sent(counted, 2).mapInArrow(_pair_shards(folder, shards, order, per), _BLOBS)
+    stats = sent(tallied, 2).mapInArrow(_word_shards(folder), ", ".join(f"{c} long" for c in _STATS))
     sums = stats.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS]).first().asDict()
     numbers = work.spark.range(shards).select(F.col("id").cast("int").alias("shard")).repartition(min(shards, 64), "shard")
     sums |= numbers.mapInArrow(_high_counts(folder), "c3 long, c4 long").agg(F.coalesce(F.sum("c3"), F.lit(0)).alias("c3"), F.coalesce(F.sum("c4"), F.lit(0)).alias("c4")).first().asDict()
