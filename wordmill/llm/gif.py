@@ -4,9 +4,12 @@ The reader decodes LZW code streams of any depth (also with late clear codes), i
 disposal rules and transparency. Code widths depend only on the number of codes since the last clear code, so all
 codes of a run are taken from the bit stream at once.
 
-Defined results: a null text counts as empty and a null GIF has no frames. A truncated or broken code stream raises
-``ValueError`` in :func:`decode`; :func:`frames` gives such a row one entry with its ``error``. Frames are decoded
-one by one, so a long animation needs the memory of one frame and the canvas.
+Defined results: a null text counts as empty and a null GIF has no frames and null digests. A truncated or broken file,
+code sizes that the format doesn't have, samples beyond a frame and pictures of more than ``MOST_PIXELS`` raise ``ValueError``
+in :func:`decode`; :func:`frames` gives such a file a last entry with its ``error``, :func:`digests` null digests and the error
+as feature. Frames are decoded one by one and leave a task in small batches, so a long animation, or a very long text, needs
+its stored bytes, a frame and the canvas. Equal texts give equal rows, repeated rows each their own; empty tables give empty
+ones. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ from . import bytewords as bw
 WIDTH, ROWS = 192, 256
 DELAY_CS = 10
 UNIT = 192
+#: Largest canvas or frame that is decoded; headers can claim 4 billion pixels.
+MOST_PIXELS = 1 << 26
+#: What a broken file may raise.
+BROKEN = (ValueError, IndexError, KeyError, OverflowError, struct.error)
 
 
 def colour_cube() -> np.ndarray:
@@ -96,7 +103,7 @@ def lzw_encode(samples: bytes, depth: int = 8) -> bytes:
     return out[:size].astype(np.uint8).tobytes()
 
 
-def _expand(codes: np.ndarray, clear: int) -> np.ndarray:
+def _expand(codes: np.ndarray, clear: int, most: int) -> np.ndarray:
     """Samples of the codes of one run. The table's entry j is the text of code j and one sample more, so each entry
     is a piece of the output that starts where code j's text starts, and each sample is a literal or has a place
     further left that it equals; following those places doubles its reach each time."""
@@ -113,6 +120,8 @@ def _expand(codes: np.ndarray, clear: int) -> np.ndarray:
     length = length[:n] + 1
     begin = np.cumsum(length) - length
     size = int(begin[-1] + length[-1])
+    if size > most:
+        raise ValueError("more samples than the frame has")
     owner = np.repeat(np.arange(n), length)
     place = np.arange(size)
     source = np.where(literal[owner], place, begin[np.where(literal, 0, entry)][owner] + place - begin[owner])
@@ -123,7 +132,10 @@ def _expand(codes: np.ndarray, clear: int) -> np.ndarray:
         source = further
 
 
-def lzw_decode(stream: bytes, depth: int) -> bytes:
+def lzw_decode(stream: bytes, depth: int, most: int = MOST_PIXELS) -> bytes:
+    """The samples of a code stream, ``most`` at most."""
+    if depth not in _RUN:
+        raise ValueError(f"code size {depth}")
     clear, end = 1 << depth, (1 << depth) + 1
     bits = np.frombuffer(stream + b"\0\0\0", np.uint8).astype(np.int64)
     total = 8 * len(stream)
@@ -150,7 +162,8 @@ def lzw_decode(stream: bytes, depth: int) -> bytes:
             continue
         codes = np.concatenate(run)
         if len(codes):
-            out.append(_expand(codes, clear).tobytes())
+            out.append(_expand(codes, clear, most).tobytes())
+            most -= len(out[-1])
         at, run = int(offset[k] + width[k]), []
         if got[k] == end:
             return b"".join(out)
@@ -191,6 +204,8 @@ def decode(data: bytes) -> tuple[int, int, Iterator[Frame]]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("no GIF")
     width, height, flags, _, _ = struct.unpack_from("<HHBBB", data, 6)
+    if width * height > MOST_PIXELS:
+        raise ValueError(f"canvas of {width} x {height}")
     at = 13
     shared = None
     if flags & 0x80:
@@ -229,9 +244,12 @@ def decode(data: bytes) -> tuple[int, int, Iterator[Frame]]:
                     at += 3 * n
                 if palette is None:
                     raise ValueError("no palette")
+                if w * h > MOST_PIXELS:
+                    raise ValueError(f"frame of {w} x {h}")
                 depth = data[at]
                 body, at = parts(at + 1)
-                flat = np.frombuffer(lzw_decode(body, depth), np.uint8)
+                # encoders may send some samples too many
+                flat = np.frombuffer(lzw_decode(body, depth, w * h + (1 << 16)), np.uint8)
                 if len(flat) < w * h:
                     raise ValueError("too few samples")
                 samples = flat[: w * h].reshape(h, w)
@@ -307,23 +325,32 @@ def store_texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_store, f"doc_id {kind}, n_bytes long, gif binary")
 
 
+_FRAME_NAMES = ("frame", "start_ms", "duration_ms", "width", "height", "disposal", "rgba", "histogram", "error")
+_FRAME_TYPES = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.string())
+
+
 def _frames(key: str):
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                data = batch.column("gif")[k].as_py()
-                rows, start, error = [], 0, None
-                if data is not None:
-                    try:
-                        for i, (f, canvas) in enumerate(compose(*decode(data))):
-                            rows.append((i, start, 10 * f.delay_cs, *f.samples.shape[::-1], f.disposal, canvas.tobytes(), histogram(canvas).tolist(), None))
-                            start += 10 * f.delay_cs
-                    except (ValueError, IndexError, struct.error) as e:
-                        rows.append((len(rows), start, None, None, None, None, None, None, str(e) or "broken"))
-                names = ["frame", "start_ms", "duration_ms", "width", "height", "disposal", "rgba", "histogram", "error"]
-                types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.string()]
-                columns = [pa.array([r[c] for r in rows], t) for c, t in enumerate(types)]
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(key)[k].as_py()] * len(rows), batch.column(key).type), *columns], [key, *names])
+                data, value = batch.column("gif")[k].as_py(), batch.column(key)[k].as_py()
+
+                def some(rows, value=value, batch=batch):
+                    columns = [pa.array([r[c] for r in rows], t) for c, t in enumerate(_FRAME_TYPES)]
+                    return pa.RecordBatch.from_arrays([pa.array([value] * len(rows), batch.column(key).type), *columns], [key, *_FRAME_NAMES])
+
+                rows, start, n, held = [], 0, 0, 0
+                try:
+                    for f, canvas in compose(*decode(data)) if data is not None else ():
+                        rows.append((n, start, 10 * f.delay_cs, *f.samples.shape[::-1], f.disposal, canvas.tobytes(), histogram(canvas).tolist(), None))
+                        start, n, held = start + 10 * f.delay_cs, n + 1, held + canvas.size
+                        if held > 1 << 22:
+                            yield some(rows)
+                            rows, held = [], 0
+                except BROKEN as e:
+                    rows.append((n, start, None, None, None, None, None, None, str(e) or "broken"))
+                if rows:
+                    yield some(rows)
 
     return run
 
@@ -337,15 +364,25 @@ def frames(media: DataFrame, key: str = "doc_id") -> DataFrame:
 def _digest(batches):
     for batch in batches:
         rows = []
-        for n, data in zip(batch.column("n_bytes").to_pylist(), batch.column("gif").to_pylist()):
-            payload, shown, count, ms = [], np.zeros(64, np.int64), 0, 0
-            for f, canvas in compose(*decode(data)):
-                payload.append(f.samples.tobytes())
-                shown += histogram(canvas)
-                count, ms = count + 1, ms + 10 * f.delay_cs
-            back = b"".join(payload)
+        for n, stored in zip(batch.column("n_bytes").to_pylist(), batch.column("gif")):
+            data = stored.as_py()
+            if data is None:
+                rows.append((n, *[None] * 6))
+                continue
+            file = (len(data), hashlib.sha256(data).hexdigest())
+            payload, shown, size, tail, count, ms = hashlib.sha256(), np.zeros(64, np.int64), 0, b"", 0, 0
+            try:
+                for f, canvas in compose(*decode(data)):
+                    samples = f.samples.tobytes()
+                    payload.update(samples)
+                    size, tail = size + len(samples), (tail + samples[-16:])[-16:]
+                    shown += histogram(canvas)
+                    count, ms = count + 1, ms + 10 * f.delay_cs
+            except BROKEN as e:
+                rows.append((n, None, None, None, *file, f"error={str(e) or 'broken'}"))
+                continue
             feature = f"frames={count};ms={ms};hist=" + ",".join(map(str, shown.tolist()))
-            rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature))
+            rows.append((n, size, payload.hexdigest(), zlib.crc32(tail), *file, feature))
         names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
         types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array([r[c] for r in rows], t) for c, t in enumerate(types)]], ["doc_id", *names])
