@@ -79,10 +79,52 @@ GPL3 = """    A program
 def test_public_texts(spark):
     want = {"MIT": MIT, "Apache-2.0": APACHE, "MPL-2.0": MPL, "ISC": ISC, "GPL-3.0-or-later": GPL3}
     rows = [(f"{name}{how}", change(text)) for name, text in want.items() for how, change in CHANGES.items()]
-    # the link on a line of its own or by https; another version is no known licence
-    rows += [("MPL-2.0 own line", MPL.replace("one at ", "one at\n")), ("MPL-2.0 tls", MPL.replace("http:", "https:")), (" none", MPL.replace("v. 2.0", "v. 1.1"))]
+    # the link on a line of its own or by https; another version has sentences that are known and fit no rule
+    rows += [("MPL-2.0 own line", MPL.replace("one at ", "one at\n")), ("MPL-2.0 tls", MPL.replace("http:", "https:")), (licenses.UNKNOWN, MPL.replace("v. 2.0", "v. 1.1")), (" none", "Words of no licence. More of them")]
     got = {r["name"]: r["licenses"] for r in licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()}
     assert got == {name: [x] if (x := name.split(" ")[0]) else [] for name, _ in rows}
 
 
 CHANGES = {"": lambda t: t, " crlf": lambda t: t.replace("\n", "\r\n"), " comment": lambda t: "".join(f" * {x}\n" for x in t.split("\n")), " twice": lambda t: "Notes\n\n" + t + "\n\n" + t}
+
+
+BSD = """Copyright (c) 2010, Google Inc.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+    * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+    * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+    * Neither the name of Google Inc. nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT...
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+
+
+def test_slots_and_order_of_rules(spark):
+    names_line = BSD[BSD.index("    * Neither") : BSD.index("THIS SOFTWARE")]
+    cases = {
+        "inc": (BSD, ["BSD-3-Clause"]),
+        "plain": (BSD.replace("Google Inc.", "Foo Bar"), ["BSD-3-Clause"]),
+        "two": (BSD.replace(names_line, "\n"), ["BSD-2-Clause"]),
+        "lgpl": (LGPL, ["LGPL-2.1-or-later"]),
+        "both": (MIT + "\n\n" + LGPL, ["MIT", "LGPL-2.1-or-later"]),
+        "null": (None, []),
+    }
+    got = {r["name"]: r["licenses"] for r in licenses.scan(spark.createDataFrame([(k, t) for k, (t, _) in cases.items()], "name string, text string")).collect()}
+    assert got == {k: want for k, (_, want) in cases.items()}

@@ -2,13 +2,19 @@
 
 A text is lower-cased, cut into sentences and each sentence reduced to its letters and digits. Sentences that are known
 become identifiers, others are skipped, and a licence is recognised where its rule's identifiers follow each other in
-the text's sequence. Texts are cut three times: at line ends, with lines joined, and with the lines of a paragraph joined,
+the text's sequence. Rules are tried in order, and one that fits takes its identifiers out of the sequence, so a later rule
+cannot use them again; a text whose known sentences fit no rule at all is ``UNKNOWN``. Some sentences have slots: whoever's
+name stands there, they are the same sentence.
+
+Texts are cut three times: at line ends, with lines joined, and with the lines of a paragraph joined,
 where lines without letters and digits and lines that are only a URL end a sentence. So notices on a line of their own,
-wrapped sentences, and wrapped paragraphs below a title or a copyright line are read. A "v." before a digit ends no
-sentence at line ends and in paragraphs. It is one narrow pass: no shuffle, no Python.
+wrapped sentences, and wrapped paragraphs below a title or a copyright line are read. A "v." or "inc." before a digit or a
+word that goes on ends no sentence at line ends and in paragraphs. It is one narrow pass: no shuffle, no Python.
 
 Defined results: a null or empty text has no identifiers and no licences. Repeated sentences repeat their identifier. A
-licence is named once; names are in the order of RULES. Rows are judged one by one; other columns are ignored.
+licence is named once; names are in the order of RULES (ties: what one cut found comes like what another did). Rows are judged
+one by one, repeated rows alike; very long texts are read whole. An empty table gives an empty one. Other columns are kept, but
+for license_sentences and licenses, which are made anew.
 """
 
 from __future__ import annotations
@@ -53,6 +59,20 @@ SENTENCES = {
     "mpl_copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/",
     "unlicense_free": "This is free and unencumbered software released into the public domain",
     "unlicense_grant": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "zlib_as_is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib_liability": "In no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib_grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "boost_notice": "Distributed under the Boost Software License, Version 1.0",
+    "boost_grant": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following',
+    "lgpl_free": "This library is free software",
+    "lgpl_terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "lgpl21_version": "either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3_terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl3_terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "gpl2_only_terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "gpl3_only_terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation",
+    "epl2_notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "artistic2_terms": "you can redistribute it and/or modify it under the terms of the Artistic License 2.0",
     "cc0_notice": "Licensed under CC0 1.0",
     "cc_by_notice": "Licensed under CC BY 4.0",
     "cc_by_sa_notice": "Licensed under CC BY-SA 4.0",
@@ -70,8 +90,18 @@ RULES = (
     ("MIT", ("mit_notice_2",)),
     ("MIT", ("mit_grant", "mit_notice_kept", "mit_as_is", "mit_liability")),
     ("ISC", ("isc_grant", "isc_as_is")),
-    ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_names", "bsd_as_is")),
+    ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is")),
+    ("Zlib", ("zlib_as_is", "zlib_liability", "zlib_grant")),
+    ("BSL-1.0", ("boost_grant",)),
+    ("BSL-1.0", ("boost_notice",)),
+    ("LGPL-2.1-or-later", ("lgpl_free", "lgpl_terms", "lgpl21_version")),
+    ("LGPL-3.0-or-later", ("lgpl_free", "lgpl3_terms")),
+    ("AGPL-3.0-or-later", ("gpl_free", "agpl3_terms")),
+    ("GPL-2.0-only", ("gpl_free", "gpl2_only_terms")),
+    ("GPL-3.0-only", ("gpl_free", "gpl3_only_terms")),
+    ("EPL-2.0", ("epl2_notice",)),
+    ("Artistic-2.0", ("gpl_free", "artistic2_terms")),
     ("GPL-3.0", ("gpl3_notice",)),
     ("GPL-3.0", ("gpl3_notice_2",)),
     ("GPL-3.0-or-later", ("gpl_free", "gpl3_terms", "gpl_hope", "gpl_hope_2", "gpl_more")),
@@ -95,10 +125,22 @@ MORE_SENTENCES = {
 }
 MORE_RULES = (("MPL-2.0", ("mpl_terms", "mpl_copy_tls")), ("MPL-2.0", ("mpl_terms", "mpl_copy_at")))
 
+#: Slots: what a normalised sentence may say instead, and how it is read.
+SLOTS = (
+    (r"\bneither the names? of \P{Cc}{1,200}? nor the names? of (?:its|their|any) contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"\bin no event shall \P{Cc}{1,200}? be liable for any claim", "in no event shall the authors or copyright holders be liable for any claim"),
+    (r"\bthis software is provided by \P{Cc}{1,200}? as is and any express", "this software is provided by the copyright holders and contributors as is and any express"),
+    (r"\bas is and the author disclaims all|\bas is and \P{Cc}{1,100}? disclaims? all", "as is and the author disclaims all"),
+)
+#: A licence whose sentences hold another's: where the first is found, the second one isn't named.
+HOLDS = {"BSD-3-Clause": "BSD-2-Clause"}
+#: The licence of known sentences that fit no rule.
+UNKNOWN = "LicenseRef-unknown"
+
 _STOP, _OTHER = r"[.:;!?]+\s+", r"[^\p{L}\p{N}\n]+"
 _URL_LINE = r"(?:^|\n)[^\p{L}\p{N}\n]*+https?://\S++[^\S\n]*+(?=\n|$)"
 _BLANK_LINES = r"\n[^\p{L}\p{N}]*\n"
-_VERSION = r"\bv\.\s+(?=[0-9])"
+_ABBREVIATED = r"\b(v|inc|ltd|corp|co)\.\s+(?=[0-9]|nor\b|and\b|or\b|be\b|as\b)"
 
 
 def normal_form(sentence: str) -> str:
@@ -114,9 +156,18 @@ def sentences(text: Column, joined: bool, paragraphs: bool = False) -> Column:
     if joined:
         text = F.translate(text, "\n\r", "  ")
     if paragraphs or not joined:
-        text = F.regexp_replace(text, _VERSION, "v ")
-    marked = F.regexp_replace(text, _STOP, "\n")
-    return F.split(F.regexp_replace(marked, _OTHER, " "), "\n")
+        text = F.regexp_replace(text, _ABBREVIATED, "$1 ")
+    marked = F.regexp_replace(F.regexp_replace(text, _STOP, "\n"), _OTHER, " ")
+
+    def filled(t: Column) -> Column:
+        out = t
+        for pattern, reading in SLOTS:
+            out = F.regexp_replace(out, pattern, reading)
+        some = F.contains(t, F.lit("neither the name")) | F.contains(t, F.lit("be liable for any claim")) | F.contains(t, F.lit("as is and"))
+        return F.when(some, out).otherwise(t)  # few texts have a sentence with a slot
+
+    # an array of one text, so the cuts above are made once for all that reads them
+    return F.split(F.element_at(F.transform(F.array(marked), filled), 1), "\n")
 
 
 def identifiers(found: Column) -> Column:
@@ -126,9 +177,16 @@ def identifiers(found: Column) -> Column:
 
 
 def matches(ids: Column) -> Column:
+    """Licences of a sequence, in the order of the rules; each rule takes what it used out of the sequence."""
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f" {' '.join(rule)} ").alias("run")) for name, rule in RULES + MORE_RULES])
     sequence = F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" "))
-    each = [F.when(F.contains(sequence, F.lit(f" {' '.join(rule)} ")), F.lit(name)) for name, rule in RULES + MORE_RULES]
-    return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+    def step(done: Column, rule: Column) -> Column:
+        taken = F.struct(F.replace(done["left"], rule["run"], F.lit(" | ")).alias("left"), F.concat(done["found"], F.array(rule["name"])).alias("found"))
+        return F.when(F.contains(done["left"], rule["run"]), taken).otherwise(done)
+
+    found = F.aggregate(rules, F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("found")), step, lambda done: done["found"])
+    return F.when(F.size(ids) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -136,9 +194,14 @@ def scan(docs: DataFrame) -> DataFrame:
     by_line, joined, in_paragraphs = (identifiers(sentences(F.col("text"), *how)) for how in ((False,), (True,), (True, True)))
     out = docs.drop("license_sentences", "licenses", "license_joined", "license_paragraphs").withColumn("license_sentences", by_line)
     out = out.withColumn("license_joined", joined).withColumn("license_paragraphs", in_paragraphs)
-    either = F.concat(*[matches(F.col(c)) for c in ("license_sentences", "license_joined", "license_paragraphs")])
+    cuts = ("license_sentences", "license_joined", "license_paragraphs")
+    either = F.concat(*[matches(F.col(c)) for c in cuts])
     order = F.array(*[F.lit(n) for n in dict.fromkeys(n for n, _ in RULES)])
-    return out.withColumn("licenses", F.array_intersect(order, either)).drop("license_joined", "license_paragraphs")
+    known = F.array_intersect(order, either)
+    for more, less in HOLDS.items():
+        known = F.when(F.array_contains(known, more), F.array_except(known, F.array(F.lit(less)))).otherwise(known)
+    some = F.greatest(*[F.size(c) for c in cuts]) > 0
+    return out.withColumn("licenses", F.when(some & (F.size(known) == 0), F.array(F.lit(UNKNOWN))).otherwise(known)).drop(*cuts[1:])
 
 
 def sql() -> str:
@@ -150,7 +213,7 @@ def sql() -> str:
     return f"""
 WITH k AS (SELECT MAP {{{known}}} AS m),
 i AS (SELECT doc_id, {cut.format(t="lower(coalesce(text, ''))")} AS a, {cut.format(t="translate(lower(coalesce(text, '')), chr(10) || chr(13), '  ')")} AS b FROM documents, k),
-h AS (SELECT doc_id, a, x.hits FROM i, LATERAL (SELECT flatten(list({hits})) AS hits FROM (VALUES (' ' || array_to_string(a, ' ') || ' '), (' ' || array_to_string(b, ' ') || ' ')) v(q)) x)
+h AS (SELECT doc_id, a, b, x.hits FROM i, LATERAL (SELECT flatten(list({hits})) AS hits FROM (VALUES (' ' || array_to_string(a, ' ') || ' '), (' ' || array_to_string(b, ' ') || ' ')) v(q)) x)
 SELECT doc_id, coalesce(array_to_string(a, ','), '') AS license_sentences,
-       coalesce(array_to_string(list_filter([{order}], lambda n: list_contains(hits, n)), ','), '') AS licenses FROM h
+       CASE WHEN len(a) + len(b) > 0 AND len(hits) = 0 THEN '{UNKNOWN}' ELSE coalesce(array_to_string(list_filter([{order}], lambda n: list_contains(hits, n)), ','), '') END AS licenses FROM h
 """
