@@ -22,7 +22,7 @@ POS_NAMES = {
     "num": "numeral",
 }
 STOP_WORDS = ("a", "an", "the", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "is", "are", "was", "were")
-#: Marks of technical notation, class by class.
+# Marks of technical notation that make a gloss hard to understand, class by class; a mark counts in each class that has it.
 TECHNICAL = (
     r"[0-9]{2,}",
     r"[+\-=]{2,}",
@@ -32,17 +32,27 @@ TECHNICAL = (
     r"[∞∂∇∫∮∬∭∮∯∰∱∲∳∧∨¬]",
     r"[≤≥≮≯≰≱∑∏∐√∛∜°′″‴⁗]",
 )
-#: (suffix, least length of the token, letters that go, letters that come); the first that fits is used.
+# What counts as notation when a gloss is rewritten, in upper and lower case.
+NOTATION = (
+    r"[0-9]{2,}|\([^)]+\)|[a-zA-Z][0-9]|[+\-=]|[∑∫παβγδεζηθικλμνξοπρστυφχψω]|[⁰¹²³⁴⁵⁶⁷⁸⁹]|[₀₁₂₃₄₅₆₇₈₉]|[→←↔⇒⇐⇔]"
+    r"|[∀∃∈∉⊂⊆⊃⊇]|[≠≈≡≪≫]|[∞∂∇∫∮∬∭∮∯∰∱∲∳]|[∧∨¬⇒⇔]|[∪∩∈∋⊆⊇⊂⊃⊄⊅⊈⊉]|[≤≥≮≯≰≱]|[∑∏∐∏]|[√∛∜]|[°′″‴⁗]\]"
+)
+# Fixed values: (suffix, least length of the token, letters that go, letters that come); the first that fits is used.
 SUFFIXES = (("ally", 5, 4, ""), ("ly", 5, 2, ""), ("ing", 6, 3, ""), ("ed", 5, 2, ""), ("ies", 4, 3, "y"), ("es", 4, 2, ""), ("s", 4, 1, ""))
-WORD = r"(?U)\w+"
+#: Letters, digits and underscores; combining marks end a word, as they are none of these.
+WORD = r"[\p{L}\p{N}_]+"
 
 
 def col(c: C) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: White space of Unicode, what (?U)\\s matches.
+_BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: C) -> Column:
-    return F.regexp_replace(col(c), r"(?U)\A\s+|\s+\z", "")
+    return F.btrim(col(c), F.lit(_BLANKS))
 
 
 def collapse(c: C) -> Column:
@@ -184,24 +194,38 @@ def similarity(a: C, b: C) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(F.lit(0.0))
 
 
+#: Characters of the classes of single ones, by the number of classes that have them.
+_SINGLE = [p for p in TECHNICAL if not p.endswith("}")]
+_IN_CLASSES = {n: "".join(sorted({c for p in _SINGLE for c in p[1:-1] if sum(c in q for q in _SINGLE) == n})) for n in (1, 2, 3)}
+
+
 def technical_marks(c: C) -> Column:
-    total = F.lit(0)
-    for pattern in TECHNICAL:
-        total = total + F.regexp_count(col(c), F.lit(pattern))
+    """Runs of digits and of operators, and each single mark."""
+    total = sum((F.regexp_count(col(c), F.lit(p)) for p in TECHNICAL if p not in _SINGLE), F.lit(0))
+    for n, marks in _IN_CLASSES.items():
+        if marks:  # what translating them away takes from the length
+            total = total + n * (F.length(col(c)) - F.length(F.translate(col(c), marks, "")))
     return total.cast("bigint")
 
 
 def is_helpful(gloss: C) -> Column:
     """Can a gloss be understood without looking further?"""
-    t = F.lower(strip(F.coalesce(col(gloss), F.lit(""))))
-    lettered = t.rlike(r"\p{L}")
-    few = F.regexp_count(t, F.lit(r"(?U)\S+")) <= 3
-    return (t != "") & (technical_marks(t) < 2) & (lettered | ~(few | (F.length(t) <= 10)))
+
+    def of(t: Column) -> Column:
+        few = F.regexp_count(t, F.lit(r"(?U)\S+")) <= 3
+        return (t != "") & (technical_marks(t) < 2) & (t.rlike(r"\p{L}") | ~(few | (F.length(t) <= 10)))
+
+    # an array of one text, so it is made once for all that reads it
+    return F.element_at(F.transform(F.array(F.lower(strip(F.coalesce(col(gloss), F.lit(""))))), of), 1)
+
+
+def notation_marks(c: C) -> Column:
+    return F.regexp_count(col(c), F.lit(NOTATION)).cast("bigint")
 
 
 def needs_context(gloss: C) -> Column:
-    """Three technical marks or more ask for the longer prompt."""
-    return technical_marks(F.lower(col(gloss))) >= 3
+    """Three marks of notation or more ask for the longer prompt."""
+    return F.coalesce(notation_marks(gloss) >= 3, F.lit(False))
 
 
 def sanity_reason(candidate: C, most_words: int) -> Column:

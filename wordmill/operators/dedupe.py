@@ -19,11 +19,10 @@ def keep_first(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 def keep_first_marked(rows: DataFrame, line: str, marker: str, order: list[str]) -> DataFrame:
     """Of equal lines that hold the marker word only the first; all others stay."""
-    marked = F.contains(F.lower(line), F.lit(marker))
-    key = F.lower(T.strip(line))
-    # rows without the marker are told apart by their place, so they don't meet in one group
-    w = Window.partitionBy(F.when(marked, key), F.when(~marked, F.struct(*order))).orderBy(*order)
-    return rows.withColumn("kept_place", F.row_number().over(w)).where("kept_place = 1").drop("kept_place")
+    # only marked lines are shuffled, and of these one a key and task
+    marked = rows.withColumn("is_marked", F.coalesce(F.contains(F.lower(line), F.lit(marker)), F.lit(False)))
+    first = marked.where("is_marked").groupBy(F.lower(T.strip(line)).alias("kept_key")).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("kept"))
+    return marked.where("not is_marked").drop("is_marked").unionByName(first.select("kept.*"))
 
 
 def keep_running_best(rows: DataFrame, by: list[str], score: str, order: list[str]) -> DataFrame:

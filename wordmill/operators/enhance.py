@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +13,10 @@ from ..functions import text as T
 from ..schemas import ENHANCED_WORDS, ENHANCEMENT_VERSION
 from .snapshot import with_accepted
 
-Synthesizer = Callable[[str, list[tuple[int, str, str]]], str | None]
+#: Makes a line from a word and its definitions (index, part of speech, sentence). If it takes a ``temperature``, that rises by try.
+Synthesizer = Callable[..., str | None]
+#: Temperature of the first try, what each further one adds, and the highest.
+TEMPERATURE, WARMER, WARMEST = 0.3, 0.2, 1.0
 
 
 def work_list(words: DataFrame, definitions: DataFrame, cache: DataFrame, most_words: int, limit: int = 0) -> DataFrame:
@@ -32,15 +36,28 @@ def work_list(words: DataFrame, definitions: DataFrame, cache: DataFrame, most_w
     return todo.join(lines, "word_key").withColumn("passes", passes)
 
 
+def _takes_temperature(make: Callable) -> bool:
+    try:
+        return "temperature" in inspect.signature(make).parameters
+    except (TypeError, ValueError):
+        return False
+
+
+def temperatures(tries: int) -> list[float]:
+    return [min(WARMEST, round(TEMPERATURE + WARMER * n, 6)) for n in range(tries)]
+
+
 def _synthesize(make: Synthesizer, tries: int):
+    warm = _takes_temperature(make)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             lines = []
             for word, defs in zip(pdf["word_key"], pdf["defs"]):
                 pairs = [(int(d["source_idx"]), d["pos"], d["source_first_sentence"]) for d in defs]
                 line = None
-                for _ in range(tries):
-                    line = make(word, pairs)
+                for heat in temperatures(tries):
+                    line = make(word, pairs, temperature=heat) if warm else make(word, pairs)
                     if line:
                         break
                 lines.append(line)
@@ -59,6 +76,35 @@ def enhance(words: DataFrame, definitions: DataFrame, cache: DataFrame, make: Sy
     return rows.select("word_key", "word_hash", F.lit(version).alias("enhancement_version"), F.col("line").alias("pocket_definition"), "source_pos_list", "source_definition_count", "enhanced_source", F.lit("accepted").alias("quality_status"), F.lit(now).cast("bigint").alias("updated_at")).to(ENHANCED_WORDS)
 
 
+#: Ways a gloss is rewritten: as it is, without its notation, or with what a search found.
+PLAIN, NOTATION, CONTEXT = "plain", "notation", "context"
+
+
+def rewrite_plan(glosses: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
+    """``glosses`` (word, definition_idx, gloss) with helpful, context, search_term and way.
+
+    A stored context is taken where there is one; the search term of glosses that are no help and have none says what to look for.
+    """
+    out = glosses.withColumn("helpful", T.is_helpful("gloss"))
+    out = out.join(contexts, ["word", "definition_idx"], "left") if contexts is not None else out.withColumn("context", F.lit(None).cast("string"))
+    missing = ~F.col("helpful") & F.col("context").isNull()
+    way = F.when(F.col("context").isNotNull(), CONTEXT).when(T.needs_context("gloss"), NOTATION).otherwise(PLAIN)
+    return out.withColumn("search_term", F.when(missing, T.search_term("gloss"))).withColumn("way", way)
+
+
+def rewrite_glosses(planned: DataFrame, make: Callable[[str, str, str | None, int], str | None], most_words: int) -> DataFrame:
+    """``planned`` with line: what ``make`` (gloss, way, context, most words) gives, without quotes and artifacts, or null."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            asked = zip(pdf["gloss"], pdf["way"], pdf["context"])
+            yield pdf.assign(line=[make(g, way, None if pd.isna(c) else c, most_words) for g, way, c in asked])
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in planned.schema.fields)
+    made = planned.mapInPandas(run, f"{columns}, line string")
+    return made.withColumn("line", F.nullif(T.strip_artifacts(F.btrim(T.strip("line"), F.lit('"'))), F.lit("")))
+
+
 def latest(cache: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The last row of each key by updated_at."""
     keys = keys or ["word_key", "word_hash", "enhancement_version"]

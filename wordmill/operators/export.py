@@ -63,3 +63,14 @@ def write_text(df: DataFrame, column: str, path: str, *order: str) -> None:
     """Sorted text. Parts are written in order of ranges, so their names in order give the whole file."""
     sorted_rows = df.repartitionByRange(*(order or (column,))).sortWithinPartitions(*(order or (column,)))
     sorted_rows.select(column).write.mode("overwrite").text(path)
+
+
+def write_json_lines(rows: DataFrame, path: str, order: str = "word") -> None:
+    """A JSON object a row, sorted over ranges; gzipped, as parts can be read side by side."""
+    rows.repartitionByRange(order).sortWithinPartitions(order).write.mode("overwrite").json(path, compression="gzip")
+
+
+def compact(df: DataFrame, path: str, columns: list[str] | None = None, files: int | None = None) -> None:
+    """A copy of a table with the columns that are needed and few files; ``files``: by the size Spark aims at, if not given."""
+    some = df.select(*columns) if columns else df
+    (some.coalesce(files) if files else some.hint("rebalance")).write.mode("overwrite").parquet(path)

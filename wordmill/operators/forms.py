@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.forms import form_label, form_of
+from .lineage import cut
+
 
 def form_links(definitions: DataFrame) -> DataFrame:
     """form_key, base_key, form_type of words all of whose definitions name a form; the first one decides.
@@ -17,18 +19,20 @@ def form_links(definitions: DataFrame) -> DataFrame:
     return per_word.where("n = n_refs and ref.base_key <> word_key").select(F.col("word_key").alias("form_key"), F.col("ref.base_key").alias("base_key"), F.col("ref.form_type").alias("form_type"))
 
 
-def resolve_chains(links: DataFrame, rounds: int = 4) -> DataFrame:
-    """``links`` with base_key at the end of its chain, and the number of hops to it.
+def resolve_chains(links: DataFrame) -> DataFrame:
+    """``links`` with base_key at the end of its chain, however long, and the number of hops to it.
 
-    Each round doubles the reach of every pointer: four joins follow chains of sixteen links. Words that lead into a
-    cycle get the cycle's smallest key, which is therefore a form of itself and left out.
+    Each round doubles the reach of every pointer and cuts the lineage, until none points at a form. Where there are cycles
+    that never comes; then pointers reach as far as there are links, so what still points at a form is in a cycle, or
+    leads into one. Such words get the cycle's smallest key, which is therefore a form of itself and left out.
     """
-    state = links.select("form_key", "base_key", "form_type", F.col("base_key").alias("at"), F.lit(1).alias("hops"), F.least("form_key", "base_key").alias("low"))
-    for _ in range(rounds):
+    state = cut(links.select("form_key", "base_key", "form_type", F.col("base_key").alias("at"), F.lit(1).cast("long").alias("hops"), F.least("form_key", "base_key").alias("low")))
+    n, reach = state.count(), 1
+    while reach < n and not state.join(state.select(F.col("form_key").alias("at")), "at", "left_semi").isEmpty():
         ahead = state.select(F.col("form_key").alias("n_key"), F.col("at").alias("n_at"), F.col("hops").alias("n_hops"), F.col("low").alias("n_low"))
         joined = state.join(ahead, F.col("at") == F.col("n_key"), "left")
-        state = joined.select("form_key", "base_key", "form_type", F.coalesce("n_at", "at").alias("at"), (F.col("hops") + F.coalesce("n_hops", F.lit(0))).alias("hops"), F.least("low", "n_low").alias("low"))
-    # what still points at a form after so many hops is in a cycle, and so is what it points at
+        state = cut(joined.select("form_key", "base_key", "form_type", F.coalesce("n_at", "at").alias("at"), (F.col("hops") + F.coalesce("n_hops", F.lit(0))).alias("hops"), F.least("low", "n_low").alias("low")))
+        reach *= 2
     cycle = state.select(F.col("form_key").alias("c_key"), F.col("low").alias("c_low"))
     ended = state.join(cycle, F.col("at") == F.col("c_key"), "left")
     return ended.select("form_key", F.coalesce("c_low", "at").alias("base_key"), "form_type", "hops").where("form_key <> base_key")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import BUILDER_VERSION, ENHANCEMENT_VERSION
+from .dedupe import keep_most
 
 
 def complete_runs(runs: DataFrame, n: int) -> DataFrame:
@@ -87,6 +88,28 @@ def ranked_results(results: DataFrame) -> DataFrame:
     return results.orderBy("rank")
 
 
+def top_results(results: DataFrame, n: int = 3) -> DataFrame:
+    """The first ``n`` results of each word and definition, by rank."""
+    return keep_most(results, ["word", "definition_idx"], ["rank"], n)
+
+
+def add_results(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored search results after new ones came: those of a word and definition take the place of what was stored for it."""
+    return stored.join(new.select("word", "definition_idx").distinct(), ["word", "definition_idx"], "left_anti").unionByName(new)
+
+
+def contexts(results: DataFrame, most: int = 3) -> DataFrame:
+    """word, definition_idx, context: titles and snippets of the first results, a line each."""
+    line = F.concat_ws(": ", F.nullif(F.trim("title"), F.lit("")), F.nullif(F.trim("snippet"), F.lit("")))
+    rows = top_results(results, most).withColumn("line", line).where("line <> ''")
+    return rows.groupBy("word", "definition_idx").agg(F.array_join(F.array_sort(F.collect_list(F.struct("rank", "line")))["line"], "\n").alias("context"))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report's row as one file of JSON."""
+    report.select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def search_metadata(results: DataFrame, now: int) -> DataFrame:
     """A row for each word and definition: numbers of results, and of those with a snippet."""
     return results.groupBy("word", "definition_idx").agg(F.array_sort(F.collect_set("source")).alias("search_engines"), F.count(F.lit(1)).alias("total_results"), F.count_if(F.length(F.trim("snippet")) > 0).alias("helpful_results")).withColumn("created_at", F.lit(now).cast("bigint"))

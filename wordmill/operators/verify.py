@@ -46,6 +46,11 @@ def flag(words: DataFrame, failed: DataFrame, word: str) -> DataFrame:
     return out.withColumn("reprocess", F.coalesce("hit", F.col("reprocess"))).withColumn("status", F.when(F.col("hit"), "pending").otherwise(F.col("status"))).select(*words.columns)
 
 
+def input_lines(definitions: DataFrame, words: DataFrame, n: int = 0) -> DataFrame:
+    """The definitions (word, idx) of words (word, status) that are done, the first ``n`` in order; 0: all."""
+    return sample(definitions.join(words.where("status = 'done'").select("word"), "word", "left_semi"), ["word", "idx"], n)
+
+
 def sample(lines: DataFrame, order: list[str], n: int) -> DataFrame:
     """The first ``n`` lines in order; 0: all."""
     return lines.orderBy(*order).limit(n) if n else lines.orderBy(*order)

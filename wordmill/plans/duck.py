@@ -27,7 +27,7 @@ def word_key(x: str) -> str:
 
 
 def words(x: str) -> str:
-    return rf"regexp_extract_all({x}, '[\p{{L}}\p{{N}}\p{{M}}_]+')"
+    return rf"regexp_extract_all({x}, '[\p{{L}}\p{{N}}_]+')"
 
 
 def word_count(x: str) -> str:
@@ -84,6 +84,12 @@ def technical(x: str) -> str:
     return "(" + " + ".join(f"len(regexp_extract_all({x}, '{p}'))" for p in T.TECHNICAL) + ")::BIGINT"
 
 
+def notation(x: str) -> str:
+    """Of its own: digits side by side, brackets with something in them, a letter before a digit, and each single sign."""
+    signs = "+=αβγδεζηθικλμνξοπρστυφχψω⁰¹²³⁴⁵⁶⁷⁸⁹₀₁₂₃₄₅₆₇₈₉→←↔⇒⇐⇔∀∃∈∉∋⊂⊆⊃⊇⊄⊅⊈⊉∪∩≠≈≡≪≫∞∂∇∑∏∐∫∮∬∭∯∰∱∲∳∧∨¬≤≥≮≯≰≱√∛∜-"
+    return rf"len(regexp_extract_all({x}, '\d\d+|\([^)]+\)|[A-Za-z]\d|[{signs}]|[°′″‴⁗]\]'))::BIGINT"
+
+
 def helpful(x: str) -> str:
     t = f"lower({strip(x)})"
     letter = rf"regexp_matches({t}, '\p{{L}}')"

@@ -110,7 +110,7 @@ _WORDS_SQL = f"""
 WITH d AS (SELECT source, doc_id, {D.first_sentence('text')} AS s FROM documents),
 h AS (SELECT DISTINCT source, {D.definition_hash('source', "'n'", 's')} AS h FROM d WHERE length(s) > 0)
 SELECT source AS word_key, count(*) AS n_definitions,
-       sha256(source || chr(0) || source || chr(0) || array_to_string(list_sort(list(h)), chr(0))) AS word_hash FROM h GROUP BY source"""
+       sha256(source || chr(0) || upper(source) || chr(0) || array_to_string(list_sort(list(h)), chr(0))) AS word_hash FROM h GROUP BY source"""
 
 
 def _document_definitions(t) -> DataFrame:
@@ -122,7 +122,7 @@ def _document_definitions(t) -> DataFrame:
 def word_hash(t):
     d = snapshot.source_definitions(_document_definitions(t))
     rolled = d.groupBy("word_key").agg(n_rows("n_definitions"), F.collect_list("source_hash").alias("hashes"))
-    return rolled.select("word_key", "n_definitions", H.hash_word("word_key", "word_key", "hashes").alias("word_hash"))
+    return rolled.select("word_key", "n_definitions", H.hash_word("word_key", F.upper("word_key"), "hashes").alias("word_hash"))
 
 
 @query(f"WITH w AS (SELECT unnest({D.words('lower(text)')}) AS w FROM documents) SELECT {D.stem('w')} AS stem, count(*) AS n FROM w GROUP BY 1")
@@ -144,7 +144,7 @@ def limit_words(t):
     return t.documents.select("doc_id", T.limit_words("text", 20).alias("line"))
 
 
-@query(f"SELECT doc_id, {D.helpful('text')} AS helpful, {D.technical('lower(text)')} >= 3 AS needs_context FROM documents")
+@query(f"SELECT doc_id, {D.helpful('text')} AS helpful, {D.notation('text')} >= 3 AS needs_context FROM documents")
 def quality_gate(t):
     return t.documents.select("doc_id", T.is_helpful("text").alias("helpful"), T.needs_context("text").alias("needs_context"))
 
@@ -183,10 +183,11 @@ def accept_line(t):
 # ------------------------------------------------------------ entries and gates
 
 
-@query("SELECT doc_id, coalesce(lang = 'en', true) AS kept FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS lang FROM documents)")
+@query("""WITH d AS (SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN 'English' WHEN 2 THEN 'French' END AS name, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE lang END AS code FROM documents)
+SELECT doc_id, name IS NULL AND code IS NULL OR coalesce(name = 'English', false) OR coalesce(code = 'en', false) AS kept FROM d""")
 def language_gate(t):
-    code = F.expr("CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END")
-    return t.documents.select("doc_id", entries.is_language(F.lit(None).cast("string"), code).alias("kept"))
+    name = F.expr("CASE doc_id % 5 WHEN 1 THEN 'English' WHEN 2 THEN 'French' END")
+    return t.documents.select("doc_id", entries.is_language(name, F.expr("CASE WHEN doc_id % 4 = 0 THEN NULL ELSE lang END")).alias("kept"))
 
 
 def _entry_lines(t) -> DataFrame:
@@ -217,10 +218,21 @@ def extract_entries(t):
     return rows.select("line_no", F.col("ordinal").cast("bigint").alias("ordinal"), "word", "pos", F.md5("gloss").alias("gloss_md5"))
 
 
-@query("SELECT count(*) FILTER (NOT contains(lower(text), 'idiot')) AS kept, count(*) FILTER (contains(lower(text), 'idiot')) AS dropped FROM documents")
+@query("SELECT doc_id, doc_id % 3 = 0 OR contains(lower(text), 'misspelling') AS dropped FROM documents")
 def gloss_gate(t):
-    hit = F.exists(F.array("text"), lambda g: F.contains(F.lower(g), F.lit("idiot")))
-    return t.documents.agg(F.count_if(~hit).alias("kept"), F.count_if(hit).alias("dropped"))
+    note = F.expr("CASE WHEN doc_id % 3 = 0 THEN 'A common MisSpelling of it.' ELSE 'A word.' END")
+    defs = F.array(*[F.struct(F.lit("noun").alias("pos"), g.alias("gloss")) for g in (F.col("text"), note)])
+    return t.documents.select("doc_id", entries.misspelling(defs).alias("dropped"))
+
+
+@query("SELECT p_partkey AS line_no, p_name AS word FROM part WHERE p_partkey % 3 <> 1 AND p_partkey % 7 NOT IN (2, 3)")
+def entry_gates(t):
+    """Entries that a tag calls misspelt, without a headword, or without definitions go."""
+    word = F.expr("CASE p_partkey % 7 WHEN 2 THEN '  ' ELSE p_name END")
+    tags = F.expr("CASE p_partkey % 3 WHEN 1 THEN array('rare', 'Misspelling') ELSE array('rare') END")
+    senses = F.array(F.struct(F.expr("CASE WHEN p_partkey % 7 <> 3 THEN p_type END").alias("gloss"), tags.alias("tags")))
+    lines = t.part.select(F.col("p_partkey").alias("line_no"), F.to_json(F.struct(word.alias("title"), senses.alias("senses"))).alias("value"))
+    return entries.gated(entries.parse(lines)).select("line_no", "word")
 
 
 # ------------------------------------------------------------ windows and keep rules
@@ -389,20 +401,33 @@ def form_of_detect(t):
     return found.select("p_partkey", F.col("ref.form_type").alias("form_type"), F.col("ref.base_key").alias("base_key"))
 
 
-#: Part p is a form of p / 3 (whole), so chains end at 0; parts of 50 to 59 name each other in a ring.
-_LINK = "CASE WHEN p_partkey BETWEEN 50 AND 58 THEN p_partkey + 1 WHEN p_partkey = 59 THEN 50 ELSE p_partkey // 3 END"
+#: Part p is a form of p / 3 (whole), so chains end at 0; parts of 50 to 59 name each other in a ring, those of 101 to 199 the one before.
+_LINK = "CASE WHEN p_partkey BETWEEN 50 AND 58 THEN p_partkey + 1 WHEN p_partkey = 59 THEN 50 WHEN p_partkey BETWEEN 101 AND 199 THEN p_partkey - 1 ELSE p_partkey // 3 END"
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT p_partkey AS f, {_LINK} AS b FROM part WHERE p_partkey > 2),
-c(f, place, hops) AS (SELECT f, b, 1 FROM e UNION ALL SELECT c.f, e.b, c.hops + 1 FROM c JOIN e ON c.place = e.f WHERE c.hops < 16),
+c(f, place, hops) AS (SELECT f, b, 1 FROM e UNION ALL SELECT c.f, e.b, c.hops + 1 FROM c JOIN e ON c.place = e.f WHERE c.hops < 150),
 ends AS (SELECT f, place FROM c WHERE place NOT IN (SELECT f FROM e)),
 rings AS (SELECT f FROM e WHERE f NOT IN (SELECT f FROM ends))
 SELECT 'k' || lpad(f::VARCHAR, 8, '0') AS form_key, 'k' || lpad(place::VARCHAR, 8, '0') AS base_key FROM ends
 UNION ALL SELECT 'k' || lpad(f::VARCHAR, 8, '0'), 'k00000050' FROM rings WHERE f <> 50""")
 def form_chain(t):
     key = lambda c: F.concat(F.lit("k"), F.lpad(F.expr(c).cast("string"), 8, "0"))
-    links = t.part.where("p_partkey > 2").select(key("p_partkey").alias("form_key"), key(_LINK.replace("//", "div")).alias("base_key"), F.lit("plural").alias("form_type"))
-    return forms.resolve_chains(links).select("form_key", "base_key")
+    lines = t.part.where("p_partkey > 2").select(key("p_partkey").alias("word_key"), F.lit(0).alias("source_idx"), F.concat(F.lit("plural of "), key(_LINK.replace("//", "div")), F.lit(".")).alias("source_first_sentence"))
+    return forms.resolve_chains(forms.form_links(lines)).select("form_key", "base_key")
+
+
+@query("""WITH d AS (SELECT conv_id, turn, conv_id % 3 = 0 OR turn % 2 = 0 AS ref FROM conversations)
+SELECT conv_id::VARCHAR AS form_key, 'w' || min(turn) AS base_key, 'past_tense' AS form_type FROM d GROUP BY conv_id HAVING bool_and(ref)""")
+def form_links(t):
+    line = F.expr("CASE WHEN conv_id % 3 = 0 OR turn % 2 = 0 THEN concat('Simple past of w', turn) ELSE 'A thing.' END")
+    return forms.form_links(t.conversations.select(F.col("conv_id").cast("string").alias("word_key"), F.col("turn").alias("source_idx"), line.alias("source_first_sentence")))
+
+
+@query("SELECT p_brand AS base_key, string_agg(p_partkey::VARCHAR || '/' || CASE p_partkey % 2 WHEN 0 THEN 'plural' ELSE 'dated' END, ',' ORDER BY p_partkey::VARCHAR) AS forms FROM part GROUP BY p_brand")
+def forms_of(t):
+    links = t.part.select(F.col("p_brand").alias("base_key"), F.col("p_partkey").cast("string").alias("form_key"), F.expr("CASE p_partkey % 2 WHEN 0 THEN 'plural' ELSE 'dated' END").alias("form_type"))
+    return forms.forms_of(links).select("base_key", F.array_join(F.transform("forms", lambda f: F.concat_ws("/", f["form_key"], f["form_type"])), ",").alias("forms"))
 
 
 _LABEL = "CASE p_partkey % 4 WHEN 0 THEN 'plural' WHEN 1 THEN 'alt_form' WHEN 2 THEN 'alt_spell' ELSE 'past_tense' END"
@@ -565,36 +590,10 @@ def extension_pairs(t):
 
 # ------------------------------------------------------------ checks
 
-_LINE = "CASE WHEN page_id % 4 = 0 THEN html WHEN page_id % 4 = 1 THEN url WHEN page_id % 4 = 2 THEN '...' ELSE regexp_replace(left(html, 300), '<[^>]*>', '{}') END"
+# whole texts of every row: raw pages, pages without tags, their addresses, documents, and a line of dots
 
 
 def _checked(t) -> DataFrame:
-    line = F.expr("CASE WHEN page_id % 4 = 0 THEN html WHEN page_id % 4 = 1 THEN url WHEN page_id % 4 = 2 THEN '...' ELSE regexp_replace(left(html, 300), '<[^>]*>?', ' ') END")
-    return verify.check_lines(t.pages.select("page_id", line.alias("line")), "line", 20)
-
-
-_CHECKED = f"WITH l AS (SELECT page_id, CASE WHEN page_id % 4 = 0 THEN html WHEN page_id % 4 = 1 THEN url WHEN page_id % 4 = 2 THEN '...' ELSE regexp_replace(left(html, 300), '<[^>]*>?', ' ', 'g') END AS line FROM pages), c AS (SELECT page_id, {D.reason('line', 20)} AS reason FROM l)"
-
-
-@query(f"{_CHECKED} SELECT page_id, reason, reason = 'ok' AS valid FROM c")
-def sanity_reason(t):
-    return _checked(t).select("page_id", "reason", "valid")
-
-
-@query(f"{_CHECKED} SELECT count(*) AS validated, count(*) FILTER (reason <> 'ok') AS failed, round(count(*) FILTER (reason = 'ok') / count(*), 6) AS hit_rate FROM c")
-def verify_rate(t):
-    return verify.hit_rate(_checked(t)).withColumn("hit_rate", F.round("hit_rate", 6))
-
-
-@query(f"{_CHECKED} SELECT DISTINCT page_id FROM c WHERE reason <> 'ok'")
-def reprocess_words(t):
-    return verify.to_reprocess(_checked(t), "page_id")
-
-
-# the same checks on whole texts of every row: raw pages, pages without tags, their addresses, documents, and a line of dots
-
-
-def _checked_whole(t) -> DataFrame:
     page, doc = F.col("page_id").cast("long").alias("id"), F.col("doc_id").cast("long").alias("id")
     lines = t.pages.select(F.lit("html").alias("part"), page, F.col("html").alias("line"))
     lines = lines.unionByName(t.pages.select(F.lit("page text").alias("part"), page, F.regexp_replace("html", "<[^>]*>?", " ").alias("line")))
@@ -604,26 +603,26 @@ def _checked_whole(t) -> DataFrame:
     return verify.check_lines(lines.unionByName(dots), "line", 20)
 
 
-_CHECKED_WHOLE = f"""WITH l AS (SELECT 'html' AS part, page_id::BIGINT AS id, html AS line FROM pages
+_CHECKED = f"""WITH l AS (SELECT 'html' AS part, page_id::BIGINT AS id, html AS line FROM pages
 UNION ALL SELECT 'page text', page_id::BIGINT, regexp_replace(html, '<[^>]*>?', ' ', 'g') FROM pages
 UNION ALL SELECT 'url', page_id::BIGINT, url FROM pages
 UNION ALL SELECT 'document', doc_id::BIGINT, text FROM documents
 UNION ALL SELECT 'dots', 0::BIGINT, '...'), c AS (SELECT part, id, {D.reason('line', 20)} AS reason FROM l)"""
 
 
-@query(f"{_CHECKED_WHOLE} SELECT part, id, reason, reason = 'ok' AS valid FROM c")
-def sanity_reason_whole(t):
-    return _checked_whole(t).select("part", "id", "reason", "valid")
+@query(f"{_CHECKED} SELECT part, id, reason, reason = 'ok' AS valid FROM c")
+def sanity_reason(t):
+    return _checked(t).select("part", "id", "reason", "valid")
 
 
-@query(f"{_CHECKED_WHOLE} SELECT count(*) AS validated, count(*) FILTER (reason <> 'ok') AS failed, round(count(*) FILTER (reason = 'ok') / count(*), 6) AS hit_rate FROM c")
-def verify_rate_whole(t):
-    return verify.hit_rate(_checked_whole(t)).withColumn("hit_rate", F.round("hit_rate", 6))
+@query(f"{_CHECKED} SELECT count(*) AS validated, count(*) FILTER (reason <> 'ok') AS failed, round(count(*) FILTER (reason = 'ok') / count(*), 6) AS hit_rate FROM c")
+def verify_rate(t):
+    return verify.hit_rate(_checked(t)).withColumn("hit_rate", F.round("hit_rate", 6))
 
 
-@query(f"{_CHECKED_WHOLE} SELECT DISTINCT part, id FROM c WHERE reason <> 'ok'")
-def reprocess_words_whole(t):
-    return _checked_whole(t).where("not valid").select("part", "id").distinct()
+@query(f"{_CHECKED} SELECT DISTINCT part, id FROM c WHERE reason <> 'ok'")
+def reprocess_words(t):
+    return _checked(t).where("not valid").select("part", "id").distinct()
 
 
 @query("SELECT c.c_custkey AS word, CASE WHEN o.k IS NOT NULL THEN 'pending' ELSE 'done' END AS status, o.k IS NOT NULL AS reprocess FROM customer c LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') o ON o.k = c.c_custkey")
@@ -744,3 +743,102 @@ def radix_edges(t):
 @query(f"WITH {_RADIX} SELECT prefix, (row_number() OVER (ORDER BY prefix) - 1)::INT AS node FROM r")
 def radix_nodes(t):
     return lexicon.numbered(lexicon.radix_nodes(lexicon.trie_nodes(_word_list(t)))).select("prefix", "node")
+
+
+# ------------------------------------------------------------ change sets, rewrites and files
+
+#: Customers are words that share an id by twos; status by rule, as in a change set of two extracts.
+_STATUS = "CASE WHEN c_custkey % 9 = 5 THEN 'new' WHEN c_custkey % 9 = 2 THEN 'deleted' WHEN c_custkey % 4 = 1 THEN 'changed' ELSE 'unchanged' END"
+_CHANGE = f"""WITH c AS (SELECT c_name AS word, c_custkey // 2 AS id, c_custkey % 9 AS k, {_STATUS} AS status FROM customer),
+w AS (SELECT word, id FROM c WHERE k <> 2), u AS (SELECT word, id FROM c WHERE status IN ('new', 'changed')), g AS (SELECT word, id FROM c WHERE k = 2)"""
+
+
+def _change_set(t) -> tuple[DataFrame, DataFrame]:
+    c = t.customer.select(F.col("c_name").alias("word"), F.expr("c_custkey div 2").alias("id"), F.expr("c_custkey % 9").alias("k"), F.expr(_STATUS).alias("word_status"))
+    words, prior = c.where("k <> 2").select("id", "word"), c.where("k <> 5").select("id", "word")
+    texts = words.select("id", F.concat(F.lit("d"), F.col("id").cast("string")).alias("definition")).distinct()
+    return delta.snapshot_changes(c.select(F.col("word").alias("word_key"), "word_status"), words, texts, prior)
+
+
+@query(f"{_CHANGE} SELECT 'upsert' AS op, word, id FROM u UNION ALL SELECT 'delete', word, NULL FROM g")
+def change_set_words(t):
+    return _change_set(t)[0]
+
+
+@query(f"{_CHANGE} SELECT DISTINCT 'upsert' AS op, id, 'd' || id AS definition FROM u UNION ALL SELECT DISTINCT 'delete', id, NULL FROM g WHERE id NOT IN (SELECT id FROM w)")
+def change_set_definitions(t):
+    return _change_set(t)[1]
+
+
+@query(f"{_CHANGE} SELECT DISTINCT 'INSERT OR REPLACE INTO definitions VALUES (' || id || ', ' || chr(39) || 'd' || id || chr(39) || ');' AS statement FROM u UNION ALL SELECT DISTINCT 'DELETE FROM definitions WHERE id=' || id || ';' FROM g WHERE id NOT IN (SELECT id FROM w)")
+def change_set_sql(t):
+    return delta.definition_sql(_change_set(t)[1], "definitions").select("statement")
+
+
+@query("""SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 THEN 'new ' || turn ELSE md5(text) END AS line FROM conversations
+WHERE conv_id NOT IN (SELECT conv_id FROM conversations WHERE conv_id % 3 = 0 AND turn % 2 = 0) OR turn % 2 = 0""")
+def whole_word_rewrite(t):
+    before = t.conversations.select("conv_id", "turn", F.md5("text").alias("line"))
+    returned = t.conversations.where("conv_id % 3 = 0 AND turn % 2 = 0").select("conv_id", "turn", F.concat(F.lit("new "), F.col("turn").cast("string")).alias("line"))
+    return verify.apply_rewrite(before, returned, ["conv_id", "turn"], "line")
+
+
+@query("SELECT r_name AS target, CASE WHEN r_name = 'ASIA' THEN 77 ELSE r_regionkey END::BIGINT AS extract_id, CASE WHEN r_name = 'ASIA' THEN 'v9' ELSE 'v1' END AS version FROM region")
+def publish_upsert(t):
+    published = t.region.select(F.col("r_name").alias("target"), F.col("r_regionkey").cast("long").alias("extract_id"), F.lit(1).cast("long").alias("published_at"), F.lit("v1").alias("version"))
+    return state.publish(published, "ASIA", 77, "v9", 5).select("target", "extract_id", "version")
+
+
+@query("SELECT conv_id, turn, md5(text) AS line FROM conversations WHERE conv_id % 4 <> 1")
+def verify_input(t):
+    lines = t.conversations.select(F.col("conv_id").alias("word"), F.col("turn").alias("idx"), F.md5("text").alias("line"))
+    words = t.conversations.select(F.col("conv_id").alias("word")).distinct().withColumn("status", F.expr("CASE WHEN word % 4 = 1 THEN 'pending' ELSE 'done' END"))
+    return verify.input_lines(lines, words).select(F.col("word").alias("conv_id"), F.col("idx").alias("turn"), "line")
+
+
+@query(f"""WITH s AS (SELECT c_custkey, {_STATUS} AS status FROM customer)
+SELECT c_custkey, CASE WHEN status = 'deleted' THEN NULL WHEN c_custkey % 6 = 0 THEN 'reused' WHEN c_custkey % 5 = 0 THEN 'regenerate' ELSE 'pending' END AS enhancement_action FROM s""")
+def action_after_run(t):
+    c = t.customer
+    snapshots = c.select("c_custkey", F.col("c_name").alias("word_key"), F.expr(_STATUS).alias("word_status"), F.expr("CASE WHEN c_custkey % 6 = 0 THEN 'reused' ELSE 'regenerate' END").alias("enhancement_action"))
+    words = c.select(F.col("c_name").alias("word_key"), F.md5("c_name").alias("word_hash"))
+    cache = c.where("c_custkey % 5 = 0").select(F.col("c_name").alias("word_key"), F.md5("c_name").alias("word_hash"), F.lit(enhance.ENHANCEMENT_VERSION).alias("enhancement_version"), F.lit("a line").alias("pocket_definition"), F.lit("accepted").alias("quality_status"), F.lit(1).cast("long").alias("updated_at"))
+    return enhance.after_run(snapshots, words, cache).select("c_custkey", "enhancement_action")
+
+
+@query("SELECT word, idx FROM (SELECT CASE WHEN r_regionkey % 2 = 0 THEN r_name ELSE r_name || '-' || r_regionkey END AS word, o_orderkey AS idx FROM orders JOIN region ON r_regionkey = o_orderkey % 5) WHERE regexp_matches(word, '^[A-Za-z]+$')")
+def legacy_pure(t):
+    word = F.expr("CASE WHEN r_regionkey % 2 = 0 THEN r_name ELSE concat(r_name, '-', r_regionkey) END")
+    words = t.region.select("r_regionkey", word.alias("word"), F.col("r_name").alias("raw"))
+    definitions = t.orders.join(words, F.col("r_regionkey") == F.col("o_orderkey") % 5).select("word", F.col("o_orderkey").alias("idx"), F.lit("noun").alias("pos"), F.col("raw").alias("definition"))
+    return export.legacy_pure(words, definitions)[1].select("word", "idx")
+
+
+@query("SELECT p_partkey, p_size AS n FROM part")
+def json_in_text(t):
+    found = T.json_in(F.concat(F.lit('Sure! {"n": '), F.col("p_size").cast("string"), F.lit("} is it.")))
+    return t.part.select("p_partkey", F.try_variant_get(found, "$.n", "int").alias("n"))
+
+
+@query("SELECT word, rank, title FROM (SELECT conv_id AS word, turn AS rank, md5(text) AS title, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations) WHERE r <= 3")
+def top_results(t):
+    results = t.conversations.select(F.col("conv_id").alias("word"), F.lit(0).alias("definition_idx"), F.col("turn").alias("rank"), F.md5("text").alias("title"))
+    return state.top_results(results, 3).select("word", "rank", "title")
+
+
+@query("SELECT DISTINCT lower(p_name) AS word FROM part")
+def lexicon_file(t):
+    """The words that the binary file of the radix tree gives back."""
+    words = t.part.select(F.lower("p_name").alias("word")).distinct()
+    data = lexicon.wtri_bytes(lexicon.radix_nodes(lexicon.trie_nodes(words)))
+    return t.spark.createDataFrame([(w,) for w in lexicon.wtri_words(data)], "word string")
+
+
+@query("""WITH w AS (SELECT DISTINCT lower(p_name) AS w FROM part), p AS (SELECT DISTINCT substr(w, 1, n) AS prefix FROM (SELECT w, unnest(range(0, length(w) + 1)) AS n FROM w)),
+c AS (SELECT substr(prefix, 1, length(prefix) - 1) AS up, count(*) AS n FROM p WHERE prefix <> '' GROUP BY 1),
+kept AS (SELECT prefix FROM p LEFT JOIN c ON up = prefix WHERE prefix = '' OR prefix IN (SELECT w FROM w) OR n >= 2),
+e AS (SELECT x.prefix, max(x.n) AS up FROM (SELECT prefix, unnest(range(0, length(prefix))) AS n FROM kept WHERE prefix <> '') x JOIN kept u ON u.prefix = substr(x.prefix, 1, x.n) GROUP BY 1)
+SELECT (SELECT count(*) FROM kept) AS node_count, (SELECT count(*) FROM e) AS edge_count, (SELECT sum(length(prefix) - up) FROM e)::BIGINT AS label_bytes""")
+def lexicon_stats(t):
+    words = t.part.select(F.lower("p_name").alias("word")).distinct()
+    return lexicon.trie_stats(lexicon.radix_nodes(lexicon.trie_nodes(words)))

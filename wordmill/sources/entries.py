@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +36,34 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(T.normalize_word_key("value").alias("word")).where("word <> ''")
 
 
-def file_facts(spark: SparkSession, path: str, most_bytes: int = 1 << 30) -> DataFrame:
-    """path, size, sha256, extract_key of files of at most ``most_bytes`` (a binary value can't be larger than 2 GB)."""
-    files = spark.read.format("binaryFile").load(path).where(F.col("length") <= most_bytes)
-    digest = F.sha2("content", 256)
-    return files.select("path", F.col("length").alias("file_size"), digest.alias("sha256"), F.concat(F.lit("sha256:"), F.substring(digest, 1, 16)).alias("extract_key"))
+#: Files beyond this are read in chunks; a binary value can't be larger than 2 GB.
+WHOLE_BYTES = 1 << 28
+
+
+def _digests(batches):
+    """SHA-256 of files that are read piece by piece; each path once, where its task runs."""
+    for pdf in batches:
+        found = []
+        for path in pdf["path"]:
+            scheme, _, rest = path.partition(":")
+            local = not rest or scheme == "file"
+            # names that Hadoop has for stores which Arrow names otherwise
+            fs, at = (pafs.LocalFileSystem(), "/" + (rest or path).lstrip("/")) if local else pafs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)
+            digest = hashlib.sha256()
+            with fs.open_input_stream(at, compression=None) as src:
+                while block := src.read(1 << 22):
+                    digest.update(block)
+            found.append(digest.hexdigest())
+        yield pdf.assign(sha256=found)
+
+
+def file_facts(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """path, file_size, sha256, extract_key of files of any size but empty ones, which Spark's reader skips. A file beyond ``whole_bytes`` is digested in pieces by a worker
+    that opens it itself."""
+    files = spark.read.format("binaryFile").load(path)
+    small = files.where(F.col("length") <= whole_bytes).select("path", F.col("length").alias("file_size"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole_bytes).select("path", F.col("length").alias("file_size")).mapInPandas(_digests, "path string, file_size long, sha256 string")
+    return small.union(large).withColumn("extract_key", F.concat(F.lit("sha256:"), F.substring("sha256", 1, 16)))
 
 
 def _step(key: str) -> str:
