@@ -106,7 +106,7 @@ def test_mcd_is_near_the_best_half():
     import pandas as pd
 
     x = np.random.default_rng(0).normal(size=(500, outliers.P))
-    sums = {"grp": 1, "n": 500, "scale": 1.0} | {f"s{i}": x[:, i].sum() for i in range(outliers.P)} | {f"s{i}_{j}": (x[:, i] * x[:, j]).sum() for i in range(outliers.P) for j in range(i, outliers.P)}
+    sums = {"grp": 1, "start": 0, "n": 500, "scale": 1.0} | {f"s{i}": x[:, i].sum() for i in range(outliers.P)} | {f"s{i}_{j}": (x[:, i] * x[:, j]).sum() for i in range(outliers.P) for j in range(i, outliers.P)}
     (out,) = outliers._solve(iter([pd.DataFrame([sums])]))
     inverse = np.linalg.inv(np.cov(x.T, bias=True) + np.diag(outliers.FLOOR**2))
     assert out["p0_1"][0] == pytest.approx(inverse[0, 1]) and out["m3"][0] == pytest.approx(x[:, 3].mean())
@@ -164,8 +164,8 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     """Groups over a block's size are compared block with block."""
     rows = [(i, " ".join(f"w{k}" for k in range(100) if k != i % 50) + f" own{i}") for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(minhash, "BUCKET_BLOCK", 7)
-    monkeypatch.setattr(minhash, "SET_BLOCK", 7)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", 7)
     got = minhash.near_duplicates(df, 3, 85).collect()
     assert sorted(((g["doc_id"], g["n_shingles"], g["component_id"]) for g in got), key=str) == slow_components(rows, 3, 85)
 
@@ -342,7 +342,7 @@ def test_licenses(spark, odd, empty):
     wrapped = mit.replace(" rights to ", "\nrights to ").replace("COPYRIGHT HOLDERS BE", "COPYRIGHT\nHOLDERS BE")
     rows = [(1, mit), (2, wrapped), (3, f"{S['mit_notice_kept']}. {S['mit_grant']}."), (4, "prose\nReleased under the MIT License."), (5, f"{S['bsd_grant']}: {S['bsd_source']}. {S['bsd_binary']}. {S['bsd_names']}. {S['bsd_as_is']}."), (6, "This Released under the MIT License too."), (7, "Licensed under CC BY-NC 4.0.\n" * 2)]
     got = {r["doc_id"]: r["licenses"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: ["MIT"], 2: ["MIT"], 3: [], 4: ["MIT"], 5: ["BSD-3-Clause"], 6: [], 7: ["CC-BY-NC-4.0"]}
+    assert got == {1: ["MIT"], 2: ["MIT"], 3: [licenses.UNKNOWN], 4: ["MIT"], 5: ["BSD-3-Clause"], 6: [], 7: ["CC-BY-NC-4.0"]}
     assert all(r["licenses"] == [] for r in licenses.scan(odd).collect()) and licenses.scan(empty).count() == 0
 
 

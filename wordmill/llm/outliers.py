@@ -298,6 +298,7 @@ def fit(thin: DataFrame, work: Workspace, small: int = 200) -> tuple[DataFrame,
         moving = state.count()
         if step > 1:
             work.drop(f"best-{step - 1}", f"bounded-{step - 1}", f"state-{step - 2}")
+    best = state if best is None else best  # without any group there was no step
     lowest = best.groupBy("grp").agg(F.min_by(F.struct(*_MEAN, *_INVERSE, "logdet"), F.struct("logdet", "start")).alias("e"))
     judges = work.keep(keys.join(lowest, "grp").select("pair_key", "estimate", "e.*"), "judge")
     n = judges.count()
