@@ -45,14 +45,14 @@ _U = np.uint64
 #: Hashes of the end token and of the start of a text, which no word has: words are mixed from bytes they hold.
 END, START = _U(0x243F6A8885A308D3), _U(0x13198A2E03707344)
 #: Pairs that a counting task buffers before it merges them.
-BUFFER = 3_000_000
+BUFFER = 2_000_000
 PAIR = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u8")])
 WORD = np.dtype([("word", "<u8"), ("count", "<u8"), ("before", "<u8"), ("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
 _SUMS = WORD.names[1:]
 #: What a context of two words or more gathered; its hash is stored beside.
 CONTEXT = np.dtype([("total", "<u8"), ("n1", "<u8"), ("n2", "<u8"), ("n3", "<u8")])
 #: Bytes of input a shard is made for, ranges of shards that blobs go to at first, and tables that a scoring task has mapped.
-SHARD_BYTES, FAN_OUT, MAPPED = 16 << 20, 256, 1024
+SHARD_BYTES, FAN_OUT, MAPPED = 8 << 20, 256, 1024
 
 
 def token_hashes(words: bw.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,9 +101,15 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> _U(32)) * _U(shards) >> _U(32)).astype(np.int64)
 
 
+def same_bits(shards: int) -> int:
+    """First bits of a hash that its shard tells."""
+    return max(0, shards.bit_length() - 1)
+
+
 def merge_pairs(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs with summed counts in the order of their hash, and the hashes."""
     rows = np.concatenate(parts) if parts else np.empty(0, PAIR)
+    parts.clear()  # not needed any more, and large
     hashes = pair_hashes(rows["left"], rows["right"])
     order = np.argsort(hashes, kind="stable")
     hashes, rows = hashes[order], rows[order]
@@ -118,6 +124,7 @@ def merge_pairs(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def merge_grams(parts: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams with summed counts in the order of the hash of their context and then of their own, and both hashes."""
     rows = np.concatenate(parts) if parts else np.empty(0, gram_dtype(k))
+    parts.clear()
     names = rows.dtype.names[:-1]
     context = context_hashes([rows[x] for x in names[:-1]])
     hashes = pair_hashes(context, rows[names[-1]])
@@ -181,12 +188,15 @@ def unpack_pairs(raw, dtype: np.dtype = PAIR) -> np.ndarray:
     return rows
 
 
-_LOW = _U((1 << 48) - 1)
+def _key48(hashes: np.ndarray, same: int) -> np.ndarray:
+    """48 bits of each hash after the first ``same`` ones, which a shard's hashes have in common. Hashes in order stay so, but
+    for one turn."""
+    return hashes << _U(same) >> _U(16)
 
 
-def pack_table(hashes: np.ndarray, columns: list[np.ndarray]) -> bytes:
-    """Numbers by hash, in the order of the hashes' last 48 bits."""
-    keys = hashes & _LOW
+def pack_table(hashes: np.ndarray, columns: list[np.ndarray], same: int = 0) -> bytes:
+    """Numbers by hash, in the order of their 48 bits."""
+    keys = _key48(hashes, same)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     columns = [c[order].astype("<u8") for c in columns]
@@ -202,7 +212,8 @@ def pack_table(hashes: np.ndarray, columns: list[np.ndarray]) -> bytes:
 class Table:
     """What :func:`pack_table` made, mapped."""
 
-    def __init__(self, raw, columns: int):
+    def __init__(self, raw, columns: int, same: int = 0):
+        self.same = same
         self.n, *many = np.frombuffer(raw, "<u8", columns + 1).tolist() if len(raw) else [0] * (columns + 1)
         at = 8 * (columns + 1)
         self.large = []
@@ -217,7 +228,7 @@ class Table:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of the hashes, or -1."""
-        keys = hashes & _LOW
+        keys = _key48(hashes, self.same)
         high, low = (keys >> _U(16)).astype("<u4"), (keys & _U(0xFFFF)).astype("<u2")
         out = np.full(len(keys), -1, np.int64)
         spot, left = np.searchsorted(self.high, high), np.arange(len(keys))
@@ -356,7 +367,7 @@ def _gram_shards(folder: str, shards: int, k: int, top: bool, per: int = 1):
             gathered["total"] = np.add.reduceat(n, first)
             for x in (1, 2, 3):
                 gathered[f"n{x}"] = np.add.reduceat((n == x if x < 3 else n >= x).astype(np.int64), first)
-            write_file(f"{folder}/contexts{k}-{shard:05d}", pack_table(context[first], [gathered[x] for x in CONTEXT.names]))
+            write_file(f"{folder}/contexts{k}-{shard:05d}", pack_table(context[first], [gathered[x] for x in CONTEXT.names], same_bits(shards)))
             if top:
                 last, place = np.unique(rows[rows.dtype.names[k - 1]], return_inverse=True)
                 words = np.zeros(len(last), WORD)
@@ -405,7 +416,7 @@ def _pair_shards(folder: str, shards: int, order: int = 2, per: int = 1):
                 passing.setdefault(shard, []).append(_words_of(raw))
         for shard in sorted({*parts, *passing}):
             rows, hashes = merge_pairs(parts.pop(shard, []))
-            write_file(f"{folder}/pairs-{shard:05d}", pack_table(hashes, [rows["n"]]))
+            write_file(f"{folder}/pairs-{shard:05d}", pack_table(hashes, [rows["n"]], same_bits(shards)))
             tallied = _tally(rows)
             if order > 2:  # these pairs tell of distinct predecessors; the words' counts came by themselves
                 tallied[0]["count"] = 0
@@ -418,14 +429,14 @@ def _pair_shards(folder: str, shards: int, order: int = 2, per: int = 1):
 _STATS = ("tokens", "vocabulary", "pairs", "c1", "c2", "c3", "c4", "b1", "b2", "b3", "b4")
 
 
-def _word_shards(folder: str):
+def _word_shards(folder: str, shards: int):
     def run(batches):
         parts: dict[int, list[np.ndarray]] = {}
         for shard, _, raw in _each_blob(batches):
             parts.setdefault(shard, []).append(_words_of(raw))
         for shard in sorted(parts):
             words = merge_words(parts.pop(shard))
-            write_file(f"{folder}/words-{shard:05d}", pack_table(words["word"], [words[x] for x in _SUMS]))
+            write_file(f"{folder}/words-{shard:05d}", pack_table(words["word"], [words[x] for x in _SUMS], same_bits(shards)))
             b = words["before"]
             known = words["count"] > 0
             # contexts give the counts of counts of pairs up to 2; 3 and 4 come from the pair shards' files
@@ -490,7 +501,8 @@ class Model:
     @functools.lru_cache(MAPPED)  # noqa: B019  the model lives as long as the worker's task
     def table(self, name: str, shard: int) -> Table:
         columns = len(_SUMS) if name == "words" else len(CONTEXT.names) if name.startswith("contexts") else 1
-        return Table(mapped(f"{self.folder}/{name}-{shard:05d}"), columns)
+        # shards of longer n-grams go by their context's hash, so their own ones have nothing in common
+        return Table(mapped(f"{self.folder}/{name}-{shard:05d}"), columns, 0 if name.startswith("grams") else same_bits(self.shards))
 
     def _numbers(self, name: str, keys: np.ndarray, owners: np.ndarray, columns: int) -> list[np.ndarray]:
         """The numbers that a kind of table has of each key, 0 where it has none; ``owners``: hashes that shards go by."""
@@ -577,7 +589,7 @@ def train(texts: DataFrame, work: Workspace, order: int = 2, shards: int | None
     for k in range(order, 2, -1):
         counted = sent(counted, k).mapInArrow(_gram_shards(folder, shards, k, k == order, per), _BLOBS)
     tallied = sent(counted, 2).mapInArrow(_pair_shards(folder, shards, order, per), _BLOBS)
-    stats = sent(tallied, 2).mapInArrow(_word_shards(folder), ", ".join(f"{c} long" for c in _STATS))
+    stats = sent(tallied, 2).mapInArrow(_word_shards(folder, shards), ", ".join(f"{c} long" for c in _STATS))
     sums = stats.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _STATS]).first().asDict()
     numbers = work.spark.range(shards).select(F.col("id").cast("int").alias("shard")).repartition(min(shards, 64), "shard")
     sums |= numbers.mapInArrow(_high_counts(folder), "c3 long, c4 long").agg(F.coalesce(F.sum("c3"), F.lit(0)).alias("c3"), F.coalesce(F.sum("c4"), F.lit(0)).alias("c4")).first().asDict()
@@ -591,7 +603,7 @@ def _score(folder: str, shards: int, stats: dict[str, int], order: int = 2):
     def run(batches):
         model = Model(folder, shards, stats, order)
         for batch in batches:
-            for part in bw.slices(batch, "text"):
+            for part in bw.slices(batch, "text", 1 << 20):
                 tokens, _, first = token_hashes(bw.split_words(*bw.text_buffers(part.column("text"))))
                 count, base, score = model.token_scores(tokens, *histories(tokens, first, order - 1))
                 at = first[:-1]
