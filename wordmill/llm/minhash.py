@@ -28,7 +28,7 @@ from .shared import Workspace, renamed
 
 _U = np.uint64
 #: Most rows of a group in a block: of signatures, and of texts, which their shingles bound by size too.
-BLOCK_ROWS, BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 256, 1 << 19
+BLOCK_ROWS, BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 1024, 1 << 19
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
@@ -308,11 +308,13 @@ def _components(docs: DataFrame, work: Workspace, shingle: int, percent: int, ba
     candidates = connected_components(alike, work, "candidates")
     work.drop("alike-first", "alike-sizes", "alike-rest")
 
-    named = candidates.join(classes.select("node", "rep", "n_shingles"), "node")
-    sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("shingles"))
+    # the centre of a candidate component is the text that meets most others in buckets, as what was copied is near to all copies
+    met = spots.join(shared, "bucket").groupBy("node").agg(F.sum("size").alias("met"))
+    named = work.keep(candidates.join(classes.select("node", "rep", "n_shingles"), "node").join(met, "node"), "met")
+    sizes = named.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("shingles"), F.max(F.struct("met", "node")).alias("most"))
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK_TEXTS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    sizes = work.keep(sizes.select("root", blocks.alias("blocks")), "sizes")
-    chosen = named.join(sizes, "root").select(F.col("root").alias("key"), "node", "rep", "blocks", (F.col("node") == F.col("root")).alias("is_center"))
+    sizes = work.keep(sizes.select("root", blocks.alias("blocks"), F.col("most.node").alias("center")), "sizes")
+    chosen = named.join(sizes, "root").select(F.col("root").alias("key"), "node", "rep", "blocks", (F.col("node") == F.col("center")).alias("is_center"))
     texts = docs.select(F.col("doc_id").alias("rep"), F.col("text").alias("payload"))
     columns = ["key", "node", "payload", "blocks", "is_center"]
     exact = chosen.where("rep is not null").join(texts, "rep").select(*columns)
@@ -325,7 +327,7 @@ def _components(docs: DataFrame, work: Workspace, shingle: int, percent: int, ba
     grouped = parts.join(lows, "root").select("node", "root", "low")
     both = classes.select("node", "rep").join(grouped, "node", "left")
     final = work.keep(both.select("node", F.coalesce("root", "node").alias("root"), F.when(F.col("root").isNotNull(), F.col("low")).otherwise(F.col("rep")).alias("low")), "named")
-    work.drop("classes", "candidates", "sizes", "exact-first", "exact-sizes", "exact-rest", "parts", "lows")
+    work.drop("classes", "candidates", "met", "sizes", "exact-first", "exact-sizes", "exact-rest", "parts", "lows")
     return described.select("doc_id", "n_shingles", "node", "digest"), final
 
 
