@@ -99,11 +99,10 @@ def _describe(shingle: int, bands: int, rows: int):
 
 
 def _groups(batch_iter, key: str):
-    """Record batches of a partition sorted by ``key``, cut at changes of the key."""
+    """Tables of a partition sorted by ``key``, cut at changes of the key. Batches are taken a block at a time, so a table has
+    not many more rows than its last key, or than a block."""
     held: list[pa.RecordBatch] = []
-    for batch in batch_iter:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(at, BLOCK_ROWS) for b in batch_iter for at in range(0, b.num_rows, BLOCK_ROWS)):
         held.append(batch)
         if held[0].column(key)[0] != batch.column(key)[-1]:
             table = pa.Table.from_batches(held).combine_chunks()
