@@ -65,7 +65,8 @@ class Phrases:
         text = np.searchsorted(offsets, self.starts, "right")
         self.linked = (breaks[self.starts[1:]] == breaks[self.ends[:-1]]) & (text[1:] == text[:-1])
         self.langs = sorted(set(langs))
-        of_text = np.array([self.langs.index(x) for x in langs], np.int64)
+        place = {lang: i for i, lang in enumerate(self.langs)}
+        of_text = np.array([place[x] for x in langs], np.int64)
         self.lang = of_text[text - 1]
         spelt, ends = self._bytes(self.starts, self.ends - self.starts)
         number = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(spelt)).dictionary_encode().indices.to_numpy() if len(text) else np.zeros(0, np.int64)
@@ -96,14 +97,14 @@ class Phrases:
         """The phrases of n words that begin at ``at``, with one blank between words."""
         words = (at[:, None] + np.arange(n)).ravel()
         lengths = self.ends[words] - self.starts[words] + 1
-        data, ends = bw_spread(self.data, self.starts[words], lengths)
+        data, ends = _spread(self.data, self.starts[words], lengths)
         keep = np.ones(len(data), bool)
         keep[ends[n::n] - 1] = False
         offsets = ends[::n] - np.arange(len(at) + 1)
         return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(data[keep]))
 
 
-def bw_spread(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spread(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of ``lengths`` - 1 bytes with a blank after each, and the place where each begins, and the end."""
     ends = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(lengths, out=ends[1:])

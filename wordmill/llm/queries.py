@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, gif, kneser_ney, langid, licenses, minhash, mixing, outliers, packing, periodic, pii, warc
+from . import collocations, gif, kneser_ney, langid, licenses, minhash, mixing, outliers, packing, periodic, pii, repair, warc
 from .shared import Workspace, documents
 
 
@@ -71,6 +71,12 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *outliers.COUNTS, "base_failed", "kept", F.round("distance2", 6).alias("distance2"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    shards = repair.write_shards(docs, Workspace(spark, "repair"))
+    return repair.read_documents(shards, docs.schema["doc_id"].dataType.simpleString())
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
@@ -79,6 +85,6 @@ def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(documents(spark, sf_dir), rewrite=True)
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op4_licenses": op4_licenses, "op5_langid": op5_langid, "op6_kneser_ney": op6_kneser_ney, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers, "op12_collocations": op12_collocations, "op13_periodic": op13_periodic}
+QUERIES = {"op1_pii": op1_pii, "op2_gif": op2_gif, "op4_licenses": op4_licenses, "op5_langid": op5_langid, "op6_kneser_ney": op6_kneser_ney, "op7_mixing": op7_mixing, "op8_packing": op8_packing, "op9_warc": op9_warc, "op3_minhash": op3_minhash, "op10_outliers": op10_outliers, "op11_repair": op11_repair, "op12_collocations": op12_collocations, "op13_periodic": op13_periodic}
 
 ORACLE_SQL: dict[str, str] = {"op3_minhash": minhash.SQL, "op4_licenses": licenses.sql(), "op7_mixing": mixing.SQL, "op9_warc": warc.SQL, "op12_collocations": collocations.SQL}
