@@ -60,7 +60,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archives(pages, Workspace(spark, "warc"))
     kind = pages.schema["page_id"].dataType
     return (
-        warc.read_chunks(files, with_data=False)
+        warc.read_chunks(files, with_data=False, own=True)
         .where("is_last")
         .select(F.col("record_id").cast(kind).alias("page_id"), F.col("payload_end").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
     )

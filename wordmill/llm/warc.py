@@ -12,7 +12,9 @@ table gives archives without records.
 
 The reader takes archives of other makers too, compressed or not: record identifiers of any form, records of any type, and
 revisits without a length, whose payload_end is null. An archive that is cut or broken gives the rows before the fault and a last row
-of record_type ``error`` that says what it met; other archives are read on.
+of record_type ``error`` that says what it met; other archives are read on. Errors of the store are none of these: they fail the task, which
+Spark tries again. Header lines, urls among them, are read whole; a header beyond ``MOST_HEADER`` bytes is a fault. Line ends in a url
+become a blank.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import hashlib
 import io
 import os
 import re
+import urllib.parse
 import uuid
 import zlib
 
@@ -43,9 +46,10 @@ def base32_sha1(digest: bytes) -> str:
 
 def _header(kind: str, page: str, url: str, length: int, digest: str, size: int, refers: str | None) -> bytes:
     clean = re.sub(r"[\r\n]+", " ", url)
+    page = urllib.parse.quote(page, safe="")  # an identifier may hold any character
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}>", f"WARC-Date: {_DATE}", f"WARC-Target-URI: {clean}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}", "Content-Type: application/http;msgtype=response", f"Content-Length: {length}"]
     if refers is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        lines += [f"WARC-Refers-To: <urn:page:{urllib.parse.quote(refers, safe='')}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode("utf-8", "surrogatepass")
 
 
@@ -95,19 +99,34 @@ def write_archives(pages: DataFrame, work: Workspace, least: int = 0, level: int
     return work.keep(files, "files")
 
 
-#: Longest line of a header that is taken in one piece.
+#: Bytes that are read of a line at once, and bytes of a record's header beyond which an archive counts as broken.
 _LINE = 1 << 16
+MOST_HEADER = 1 << 28
+
+
+def _header_line(stream, room: int) -> bytes:
+    """A whole line, however long; one beyond ``room`` is an error, never cut."""
+    pieces, held = [], 0
+    while piece := stream.readline(_LINE):
+        pieces.append(piece)
+        held += len(piece)
+        if held > room:
+            raise ValueError(f"header of more than {MOST_HEADER} bytes")
+        if piece.endswith(b"\n"):
+            break
+    return b"".join(pieces)
 
 
 def records(stream, chunk: int = CHUNK):
     """Rows of an archive: headers, chunk number, offset of the chunk's end, digest so far, last, bytes."""
-    while line := stream.readline(_LINE):
+    while line := _header_line(stream, MOST_HEADER):
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"no WARC record: {line[:40]!r}")
-        headers = {}
-        while (line := stream.readline(_LINE)) and line not in (b"\r\n", b"\n"):
+        headers, room = {}, MOST_HEADER
+        while (line := _header_line(stream, room)) and line not in (b"\r\n", b"\n"):
+            room -= len(line)
             name, _, value = line.decode("utf-8", "surrogateescape").partition(":")
             headers[name.strip().lower()] = value.strip()
         if "content-length" not in headers:
@@ -142,7 +161,7 @@ def _identifier(value: str | None) -> str | None:
     if not value:
         return None
     own = _ID.fullmatch(value)
-    return own[1] or None if own else value.strip("<>")
+    return urllib.parse.unquote(own[1]) or None if own else value.strip("<>")
 
 
 def _clean(value: str | None) -> str | None:
@@ -182,12 +201,12 @@ class _Members(io.RawIOBase):
                 return len(out)
 
 
-def _read(with_data: bool, chunk: int):
+def _read(with_data: bool, chunk: int, own: bool):
     def run(batches):
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist() if own else [None] * len(batch)):
                 fs, at = filesystem(path)
-                rows, held = [], 0
+                rows, held, n = [], 0, 0
                 try:
                     with fs.open_input_stream(at, compression=None) as raw:
                         plain = io.BufferedReader(raw, 1 << 16)
@@ -202,13 +221,17 @@ def _read(with_data: bool, chunk: int):
                             refers = _identifier(headers.get("warc-refers-to"))
                             rows.append((*map(_clean, (_identifier(headers.get("warc-record-id")), kind, refers, headers.get("warc-target-uri"))), number, end, value, last, data if with_data else None, None))
                             held += len(data) if with_data else 200
+                            n += last
                             if held > 1 << 22:
                                 yield _rows(rows)
                                 rows, held = [], 0
-                except (ValueError, EOFError, OSError, zlib.error) as e:
-                    if isinstance(e, FileNotFoundError):
-                        raise
+                # what a broken archive raises; errors of the store go up, so that Spark tries the task again
+                except (ValueError, EOFError, zlib.error) as e:
+                    if own:
+                        raise ValueError(f"{path}: record {n}: {e}") from e
                     rows.append((None, "error", None, None, None, None, None, False, None, _clean(str(e)) or type(e).__name__))
+                if own and n != expected:
+                    raise ValueError(f"{path}: {n} records, not {expected}")
                 if rows:
                     yield _rows(rows)
 
@@ -223,10 +246,13 @@ def _rows(rows):
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_CHUNK_TYPES)], [c for c, _ in _CHUNK_COLUMNS])
 
 
-def read_chunks(files: DataFrame, with_data: bool = True, chunk: int = CHUNK) -> DataFrame:
-    """The chunk table of archives (path): record_id, record_type, refers_to, url, chunk, payload_end, digest, is_last, data, error."""
+def read_chunks(files: DataFrame, with_data: bool = True, chunk: int = CHUNK, own: bool = False) -> DataFrame:
+    """The chunk table of archives (path): record_id, record_type, refers_to, url, chunk, payload_end, digest, is_last, data, error.
+
+    ``own``: ``files`` are what :func:`write_archives` gave (path, records); an archive that is broken or doesn't have that many records then
+    fails the task in place of an error row."""
     n = max(1, files.count())
-    return files.select("path").repartition(n, "path").mapInArrow(_read(with_data, chunk), ", ".join(" ".join(c) for c in _CHUNK_COLUMNS))
+    return files.select("path", *["records"] * own).repartition(n, "path").mapInArrow(_read(with_data, chunk, own), ", ".join(" ".join(c) for c in _CHUNK_COLUMNS))
 
 
 #: What :func:`write_archives` and :func:`read_chunks` give for the payloads, in DuckDB.
