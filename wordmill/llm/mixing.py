@@ -14,6 +14,9 @@ source of its own, last. Equal rows have equal hashes; they follow each other in
 is the same set of rows. Very long texts are counted whole; their copies are rows like others. An empty table gives an empty
 table. Other columns are kept by :func:`curriculum`, but for mix_position and mix_repeat, which it makes anew. There is one
 row a source in the windows that share the targets, which one task holds; documents are never in one.
+
+Texts are read once to count them; what the shares, slices and places are summed from is a thin table of ids, hashes and sizes, and
+:func:`schedule` needs nothing else. :func:`curriculum` returns texts: its second scan goes through two shuffles, by slice and by position.
 """
 
 from __future__ import annotations
@@ -21,11 +24,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import Workspace
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weight schedules by the rank of the source, repeating: (time, factor) knots of a line; here rising, falling and even.
 SCHEDULES = (((0.0, 0.5), (1.0, 1.5)), ((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)))
 #: Words of a source that a slice of the hash order holds about.
 SLICE_WORDS = 2_000_000
+#: Sources that are sent to all tasks (some 60 bytes each); beyond it, salts that a source's rows are dealt over.
+MOST_BROADCAST, SALTS = 1 << 16, 32
 
 
 def n_words(text: str = "text") -> Column:
@@ -86,6 +93,20 @@ def _demand_inverse(share: Column, rank: Column, schedules) -> Column:
     return F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0))
 
 
+def _with_shape(rows: DataFrame, shape: DataFrame, few: bool) -> DataFrame:
+    """``rows`` (source, slot_hash, ...) with their source's numbers and their slice. Sources that were counted to be few are
+    broadcast; else both sides are salted, so that the rows of one source go to several tasks."""
+    shape = shape.withColumnRenamed("source", "of_source")
+    if few:
+        joined = rows.join(F.broadcast(shape), F.col("source").eqNullSafe(F.col("of_source")))
+    else:
+        salted = shape.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("slot_hash"), F.lit(SALTS)).cast("int"))
+        joined = rows.join(salted, F.col("source").eqNullSafe(F.col("of_source")) & (F.col("salt") == F.col("of_salt"))).drop("salt", "of_salt")
+    unit = F.conv(F.substring("slot_hash", 1, 8), 16, 10).cast("double") / float(2**32)
+    return joined.drop("of_source").withColumn("slice", F.floor(unit * F.col("slices")).cast("int"))
+
+
 def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_repeats: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, rank, place, copies, taken and the columns ``carry`` for each row of
     ``docs`` (doc_id, text, source).
@@ -93,18 +114,20 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_repeats: in
     Place is where the document starts in its source's stream. Whole rounds of a source are taken as often as they
     fit its target, then documents in order as long as half of them or more lies under it.
     """
-    sized = docs.select("doc_id", "source", n_words().alias("size"), _hash().alias("slot_hash"), *carry)
-    per_source = docs.select("source", n_words().alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(per_source, weights, most_repeats)
+    work = Workspace(docs.sparkSession, "mixing")
+    columns = ["doc_id", "source", n_words().alias("size"), _hash().alias("slot_hash")]
+    # what all sums are made from, written once; texts are not in it
+    thin = work.keep(docs.select(*columns), "thin")
+    targets = source_targets(thin.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most_repeats)
     # so many slices of the hash's range that one has about SLICE_WORDS; they follow each other in the hash's order
     slices = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SLICE_WORDS)).cast("int")
-    shape = targets.withColumn("slices", slices).withColumnRenamed("source", "of_source")
-    spread = sized.join(shape, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    unit = F.conv(F.substring("slot_hash", 1, 8), 16, 10).cast("double") / float(2**32)
-    spread = spread.withColumn("slice", F.floor(unit * F.col("slices")).cast("int"))
-    slice_sizes = spread.groupBy("rank", "slice").agg(F.sum("size").alias("slice_size"))
+    shape = work.keep(targets.withColumn("slices", slices), "shape")
+    few = shape.count() <= MOST_BROADCAST
+    spread = _with_shape(docs.select(*columns, *carry) if carry else thin, shape, few)
+    slice_sizes = _with_shape(thin, shape, few).groupBy("rank", "slice").agg(F.sum("size").alias("slice_size"))
     earlier = Window.partitionBy("rank").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = slice_sizes.select("rank", "slice", F.coalesce(F.sum("slice_size").over(earlier), F.lit(0)).alias("slice_start"))
+    starts = work.keep(starts, "starts")  # a table of its own, so its size is known when the join with the documents is planned
     inside = Window.partitionBy("rank", "slice").orderBy("slot_hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = spread.join(starts, ["rank", "slice"]).withColumn("place", F.col("slice_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1)).cast("long")
