@@ -75,11 +75,9 @@ def file_digest(spark: SparkSession, path: str) -> tuple[str, int]:
     return found[0]["sha256"], found[0]["file_size"]
 
 
-def ingest(store: Store, path: str, partitions: int | None = None, now: int | None = None) -> int:
-    """The id of the extract of a file; a file whose content is in already isn't read again. ``partitions``: that lines are dealt
-    over before they are parsed; if not given, a gzipped file, which one task reads, is dealt over all cores."""
-    if partitions is None and path.endswith(".gz"):
-        partitions = store.spark.sparkContext.defaultParallelism
+def ingest(store: Store, path: str, now: int | None = None) -> int:
+    """The id of the extract of a file; a file whose content is in already isn't read again. Lines keep their exact numbers, and a gzipped file is
+    read by many tasks; a run that comes after one that was cut off finds the file's index of lines by its content."""
     now = int(time.time()) if now is None else now
     sha, size = file_digest(store.spark, path)
     done = store.runs().where((F.col("sha256") == sha) & (F.col("status") == "complete")).select("id").first()
@@ -95,7 +93,7 @@ def ingest(store: Store, path: str, partitions: int | None = None, now: int | No
 
     note("running")
     try:
-        kept = entries.gated(entries.parse(entries.read_lines(store.spark, path, partitions)))
+        kept = entries.gated(entries.parse(entries.read_lines(store.spark, path, f"{store.path('line_index')}/{sha}")))
         store.write_extract(kept, "entries", extract_id)
         kept = store.spark.read.schema(kept.schema).parquet(f"{store.path('entries')}/extract_id={extract_id}")
         store.write_extract(snapshot.source_definitions(entries.exploded(kept)), "source_definitions", extract_id)

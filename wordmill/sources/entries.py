@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import hashlib
 
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import lines
+from .files import filesystem
 
 # Names under which a field may be found, in the order in which they are tried.
 WORD_KEYS = ("word", "title", "headword", "lemma", "entry")
@@ -23,13 +24,19 @@ NESTED_KEYS = ("glosses", "definitions")
 DEFINITION = "struct<pos:string,gloss:string>"
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """line_no, value of text files, also gzipped. Numbers grow along each file and over files in their order.
+def read_lines(spark: SparkSession, path: str, index: str | None = None, first_line: int = 0) -> DataFrame:
+    """line_no, value of text files, also gzipped, from line ``first_line`` on. With ``index``, a folder, lines are numbered from 0 over the
+    files in order of their names, and each file, also a gzipped one, is read by many tasks (see :mod:`.lines`); an index that is there is used.
 
-    A gzipped file can't be split, so its lines are dealt out after they are numbered.
+    Without it Spark reads the files by size, one task a gzipped file: numbers grow along each file, but have gaps, and which file comes first
+    depends on their sizes.
     """
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value")
-    return lines.repartition(partitions, "line_no") if partitions else lines
+    if index is None:
+        return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value").where(F.col("line_no") >= first_line)
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{index}/index/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        lines.build_index(spark, path, index)
+    return lines.read_numbered(spark, index, first_line)
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
@@ -45,10 +52,7 @@ def _digests(batches):
     for pdf in batches:
         found = []
         for path in pdf["path"]:
-            scheme, _, rest = path.partition(":")
-            local = not rest or scheme == "file"
-            # names that Hadoop has for stores which Arrow names otherwise
-            fs, at = (pafs.LocalFileSystem(), "/" + (rest or path).lstrip("/")) if local else pafs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + rest)
+            fs, at = filesystem(path)
             digest = hashlib.sha256()
             with fs.open_input_stream(at, compression=None) as src:
                 while block := src.read(1 << 22):

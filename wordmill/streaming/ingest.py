@@ -1,30 +1,149 @@
-"""Entries that arrive as files in a folder, kept in a table as they come.
+"""Entries that arrive as files in a folder, and the words and definitions that they make, kept as they come.
 
-Each micro-batch is written whole under its number, so one that is run again after a failure replaces itself.
-Snapshots over the table are the same as those of one batch over all files; nothing depends on where a run stopped.
+:func:`stream_entries` keeps the entries of each micro-batch, whole under its number, so one that is run again after a failure replaces itself.
+:func:`stream_words` goes on to numbered definitions: for each word Spark's state holds the definitions it has had, the next number and
+the form that is shown, so a micro-batch is compared with nothing but the state of its own words. Within a micro-batch rows go in order of file name
+and line, so as long as files come in the order of their names, any cut of them into micro-batches gives what one batch over all
+files gives, numbers included.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from ..functions import hashing as H
+from ..functions import text as T
+from ..sources import entries, lines
+
+#: Lines of one file are numbered in the low bits, files that were modified together are told apart by name.
+LINES = "file string, line_no long, value string"
+
+
+def _file_lines(batches):
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            found: list[str] = []
+            number = 0
+            for line in lines.whole_file(path):
+                found.append(line)
+                if len(found) == 4096:
+                    yield _rows(path, number, found)
+                    number, found = number + len(found), []
+            if found:
+                yield _rows(path, number, found)
+
+
+def _rows(path: str, number: int, values: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(values)), pa.array(range(number, number + len(values)), pa.int64()), pa.array(values, pa.string())], ["file", "line_no", "value"])
 
-from ..sources import entries
+
+def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
+    """file, line_no (from 0 in each file), value of files as they arrive; a file is read by one task, plain or gzipped."""
+    # contents aren't asked for here, so Spark only lists the files
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", files_per_batch).load(folder).select("path")
+    return files.mapInArrow(_file_lines, LINES)
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
+    """Kept entries of lines (file, line_no, value), with the file."""
+    keyed = rows.select(F.struct("file", "line_no").alias("line_no"), "value")
+    return entries.gated(entries.parse(keyed))
 
 
 def stream_entries(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
     """Read all files that are there, batch after batch, then stop; start it again for those that came meanwhile."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder).select(F.col("_metadata.file_path").alias("file"), "value")
 
     def keep(batch: DataFrame, number: int) -> None:
-        # places in a file aren't known to a stream; the file and the line's text order rows the same way on each run
-        numbered = batch.select("file", "value", F.xxhash64("file", "value").alias("line_no"))
-        kept = entries.gated(entries.parse(numbered))
-        kept.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        _parsed(batch).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
-    return lines.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream_lines(spark, folder, files_per_batch).writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_entries(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table).drop("batch")
+
+
+# ------------------------------------------------------------ words by state
+
+_OUT = "kind string, word_key string, definition_key string, source_idx int, pos string, source_first_sentence string, source_hash string, normalized_source string, display_word string, language_code string"
+_NAMES = [c.split()[0] for c in _OUT.split(", ")]
+
+
+class WordState(StatefulProcessor):
+    """A word's definitions so far, the next number, and the form of lowest casing rank, the first of those."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "definition_key string", "source_idx int")
+        self.word = handle.getValueState("word", "next_idx int, casing_rank int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802
+        order = ["file", "line", "ordinal"]
+        merged: pd.DataFrame | None = None
+        for part in rows:  # of what a word has in a micro-batch, one row a definition and the best form are held
+            part = part if merged is None else pd.concat([merged, part])
+            part = part.sort_values(order, kind="stable")
+            first = part[part["source_first_sentence"].str.len() > 0].drop_duplicates("definition_key")
+            best = part.sort_values(["casing_rank", *order], kind="stable").head(1)
+            merged = pd.concat([first, best]).drop_duplicates(order)
+        if merged is None:
+            return
+        state = self.word.get() if self.word.exists() else None
+        next_idx, rank = (int(state[0]), int(state[1])) if state is not None else (0, 1 << 30)
+        out = []
+        for r in merged.sort_values(order, kind="stable").to_dict("records"):
+            if r["source_first_sentence"] and not self.seen.containsKey((r["definition_key"],)):
+                self.seen.updateValue((r["definition_key"],), (next_idx,))
+                out.append(("definition", key[0], r["definition_key"], next_idx, r["pos"], r["source_first_sentence"], r["source_hash"], r["normalized_source"], None, None))
+                next_idx += 1
+        best = merged.sort_values(["casing_rank", *order], kind="stable").iloc[0]
+        if int(best["casing_rank"]) < rank:
+            rank = int(best["casing_rank"])
+            out.append(("word", key[0], None, None, None, None, None, None, best["word"], best["lang_code"]))
+        self.word.update((next_idx, rank))
+        if out:
+            made = pd.DataFrame(out, columns=_NAMES)
+            made["source_idx"] = made["source_idx"].astype("Int32")
+            yield made
+
+    def close(self) -> None:
+        pass
+
+
+def stream_words(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
+    """Definitions and shown forms as files arrive, appended to ``table``; all that is there, then it stops. Needs the RocksDB state store, which
+    is set where the session names none."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in spark.conf.get(setting, ""):
+        spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = entries.exploded(_parsed(stream_lines(spark, folder, files_per_batch)))
+    sentence = T.first_sentence("gloss")
+    rows = rows.select(F.col("line_no.file").alias("file"), F.col("line_no.line_no").alias("line"), "ordinal", "word", F.coalesce("lang_code", F.lit("en")).alias("lang_code"), T.casing_rank("word").cast("int").alias("casing_rank"), T.normalize_word_key("word").alias("word_key"), "pos", F.coalesce(sentence, F.lit("")).alias("source_first_sentence"))
+    rows = rows.withColumn("source_hash", H.hash_definition("word", "pos", "source_first_sentence")).withColumn("definition_key", H.definition_key("source_hash"))
+    rows = rows.withColumn("normalized_source", T.normalize_for_hash("source_first_sentence")).withColumn("pos", T.normalize_pos("pos"))
+    made = rows.groupBy("word_key").transformWithStateInPandas(WordState(), _OUT, "Append", "none")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    return made.writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_definitions(spark: SparkSession, table: str) -> DataFrame:
+    """The definitions of :func:`stream_words`, as the batch's ``source_definitions``."""
+    return spark.read.parquet(table).where("kind = 'definition'").select("word_key", "definition_key", "source_idx", "pos", "source_first_sentence", "source_hash", "normalized_source")
+
+
+def read_words(spark: SparkSession, table: str) -> DataFrame:
+    """The words of :func:`stream_words`, as the batch's ``source_words``: the last form that was shown, and the hash of all definitions."""
+    rows = spark.read.parquet(table)
+    shown = rows.where("kind = 'word'").groupBy("word_key").agg(F.max_by(F.struct("display_word", "language_code"), "batch").alias("best")).select("word_key", "best.*")
+    hashes = rows.where("kind = 'definition'").groupBy("word_key").agg(F.collect_list("source_hash").alias("hashes"))
+    digest = F.when(F.col("hashes").isNull(), F.lit("")).otherwise(H.hash_word("word_key", "display_word", "hashes"))
+    return shown.join(hashes, "word_key", "left").select("word_key", "display_word", "language_code", digest.alias("word_hash"), T.is_pure_alpha("word_key").alias("is_pure_alpha"))
