@@ -158,7 +158,7 @@ def test_lexicon_artifact(store, tmp_path):
     build.export_current(store)
     manifest = build.write_lexicon(store, str(tmp_path / "lex"))
     data = (tmp_path / "lex" / "lexicon.trie").read_bytes()
-    assert lexicon.wtri_words(data) == ["apple", "blue", "run"] and manifest["node_count"] == 4 and manifest["edge_count"] == 3
+    assert list(lexicon.Wtri(data).words()) == ["apple", "blue", "run"] and manifest["node_count"] == 4 and manifest["edge_count"] == 3
 
 
 def test_delta_brings_prior_to_new(spark):

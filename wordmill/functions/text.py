@@ -208,12 +208,35 @@ def technical_marks(c: C) -> Column:
     return total.cast("bigint")
 
 
+def _guarded(pattern: str, first: str) -> str:
+    """The pattern behind a look at the next character: ``first`` has all below U+0100 that it may begin with. A class of many other
+    characters costs a comparison for each of them, which most characters of a text needn't pay."""
+    return rf"(?={first}|[^\x00-\xFF])(?:{pattern})"
+
+
+def _near(marks: str) -> str:
+    return "".join(sorted({c for c in marks if 0x80 <= ord(c) <= 0xFF}))
+
+
+def _at_least(t: Column, pattern: str, n: int) -> Column:
+    """Does the pattern fit ``n`` times or more? The text is read up to the last of these; patterns match one character at least."""
+    return F.size(F.split(t, pattern, n + 1)) > n
+
+
+def _several_marks(t: Column) -> Column:
+    """Two technical marks or more: a mark of two classes, or two of what counts once. No mark counts as part of a run."""
+    runs = [p for p in TECHNICAL if p not in _SINGLE]
+    twice = "".join(marks for n, marks in _IN_CLASSES.items() if n > 1)
+    either = _guarded("|".join([*runs, f"[{_IN_CLASSES[1]}]"]), rf"[0-9+\-={_near(_IN_CLASSES[1])}]")
+    return t.rlike(f"[{twice}]") | _at_least(t, either, 2)
+
+
 def is_helpful(gloss: C) -> Column:
     """Can a gloss be understood without looking further?"""
 
     def of(t: Column) -> Column:
-        few = F.regexp_count(t, F.lit(r"(?U)\S+")) <= 3
-        return (t != "") & (technical_marks(t) < 2) & (t.rlike(r"\p{L}") | ~(few | (F.length(t) <= 10)))
+        many = _at_least(t, r"(?U)\s+", 3)  # blanks inside, so four words
+        return (t != "") & (t.rlike(r"\p{L}") | (many & (F.length(t) > 10))) & ~_several_marks(t)
 
     # an array of one text, so it is made once for all that reads it
     return F.element_at(F.transform(F.array(F.lower(strip(F.coalesce(col(gloss), F.lit(""))))), of), 1)
@@ -225,7 +248,11 @@ def notation_marks(c: C) -> Column:
 
 def needs_context(gloss: C) -> Column:
     """Three marks of notation or more ask for the longer prompt."""
-    return F.coalesce(notation_marks(gloss) >= 3, F.lit(False))
+    # what is in brackets is a mark; after the last closing one each opening one would be followed to the end of the text, to no use
+    t = col(gloss)
+    tail = F.substring_index(t, ")", -1)
+    head = F.when(F.contains(tail, F.lit("(")), F.concat(F.left(t, F.length(t) - F.length(tail)), F.translate(tail, "(", "\n"))).otherwise(t)
+    return F.coalesce(_at_least(head, _guarded(NOTATION, rf"[a-zA-Z][0-9]|[0-9(+\-={_near(NOTATION)}]"), 3), F.lit(False))
 
 
 def sanity_reason(candidate: C, most_words: int) -> Column:

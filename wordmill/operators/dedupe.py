@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .ordered import running
 
 
 def keep_first(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
@@ -26,9 +27,15 @@ def keep_first_marked(rows: DataFrame, line: str, marker: str, order: list[str])
 
 
 def keep_running_best(rows: DataFrame, by: list[str], score: str, order: list[str]) -> DataFrame:
-    """Rows whose score is above all earlier ones of the same group."""
-    before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("best_before", F.max(score).over(before)).where(F.col("best_before").isNull() | (F.col(score) > F.col("best_before"))).drop("best_before")
+    """Rows whose score is above all earlier ones of the same group, however many rows a group has. Of rows that are equal in ``by`` and
+    ``order`` none is earlier than the others."""
+    # the best score up to each row is that of earlier rows unless the row itself is the first to reach it
+    keyed = rows.withColumn("running_key", F.struct(*by))
+    reached = running(keyed, "running_key", order, F.col(score), "running_best", "max")
+    first = Window.partitionBy("running_key", "running_best").orderBy(*order)
+    at_best = reached.where(F.col(score) == F.col("running_best")).withColumn("place", F.rank().over(first)).where("place = 1").drop("place")
+    none_yet = reached.where(F.col("running_best").isNull())
+    return at_best.unionByName(none_yet).select(*rows.columns)
 
 
 def keep_most(rows: DataFrame, by: list[str], order: list[str], most: int) -> DataFrame:

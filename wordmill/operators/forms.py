@@ -24,34 +24,31 @@ def form_links(definitions: DataFrame) -> DataFrame:
 def resolve_chains(links: DataFrame) -> DataFrame:
     """``links`` with base_key at the end of its chain, however long, and the number of hops to it.
 
-    Pointers reach twice as far with each round, until none points at a form. A pointer that has arrived leaves the rounds, as does one that
-    only has to join one that has arrived; a round writes and reads what still moves. Where there are cycles some never arrive;
-    their pointers reach as far as there were links, so they lead into a cycle. Such words get the cycle's smallest
-    key, which is therefore a form of itself and left out.
+    Pointers reach twice as far with each round. One that stands at no form, or at a form that has arrived, has arrived and leaves the rounds;
+    a round writes what still moves. As all forms on the way of a moving one that are as far from the end move too, some arrive in each round, unless
+    what is left leads into cycles. Such words get their cycle's smallest key, which is therefore a form of itself and left out.
     """
     work = Scratch(links.sparkSession, "chains")
-    state = ["form_key", "form_type", "at", "hops"]
     moving = work.keep(links.select("form_key", "form_type", F.col("base_key").alias("at"), F.lit(1).cast("long").alias("hops"), F.least("form_key", "base_key").alias("low")), "links")
-    done, n, rounds = [], None, 0
+    arrived, before, rounds = [], None, 0
     while True:
-        ahead = moving.select(F.col("form_key").alias("n_key"), F.col("at").alias("n_at"), F.col("hops").alias("n_hops"), F.col("low").alias("n_low"))
-        stepped = work.keep(moving.join(ahead, F.col("at") == F.col("n_key"), "left"), f"round-{rounds}")
-        ended, moves = stepped.where("n_key is null").select(*state), stepped.where("n_key is not null")
-        if done:  # where a pointer stands that ends in a later round may be a form that arrived before; its end is known
-            known = functools.reduce(DataFrame.unionByName, done).select(F.col("form_key").alias("d_key"), F.col("at").alias("d_at"), F.col("hops").alias("d_hops"))
-            ended = ended.join(known, F.col("at") == F.col("d_key"), "left").select("form_key", "form_type", F.coalesce("d_at", "at").alias("at"), (F.col("hops") + F.coalesce("d_hops", F.lit(0))).alias("hops"))
-            ended = work.keep(ended, f"done-{rounds}")
-        done.append(ended)
-        left = moves.count()
-        n = left if n is None else n
+        ahead = lambda df, done: df.select(F.col("form_key").alias("n_key"), F.col("at").alias("n_at"), F.col("hops").alias("n_hops"), F.col("low").alias("n_low"), F.lit(done).alias("n_done"))
+        known = functools.reduce(DataFrame.unionByName, [ahead(moving, False), *(ahead(df, True) for df in arrived)])
+        stepped = moving.join(known, F.col("at") == F.col("n_key"), "left").select(
+            "form_key", "form_type", F.coalesce("n_at", "at").alias("at"), (F.col("hops") + F.coalesce("n_hops", F.lit(0))).alias("hops"), F.least("low", "n_low").alias("low"), F.col("n_low").alias("ahead_low"), F.coalesce("n_done", F.lit(True)).alias("done")
+        )
+        stepped = work.keep(stepped, f"round-{rounds}")
+        moving = stepped.where("not done")
+        left = moving.count()
+        if left != before:
+            arrived.append(stepped.where("done"))
         if not left:
             break
-        if 1 << rounds > n:  # what is ahead lies in the cycle, and its own pointer has been all around it
-            done.append(moves.select("form_key", "form_type", F.col("n_low").alias("at"), "hops"))
+        if left == before and 1 << rounds > left:  # what is ahead lies in the cycle, and its own pointer has been all around it
+            arrived.append(moving.withColumn("at", F.col("ahead_low")))
             break
-        moving = moves.select("form_key", "form_type", F.col("n_at").alias("at"), (F.col("hops") + F.col("n_hops")).alias("hops"), F.least("low", "n_low").alias("low"))
-        rounds += 1
-    return functools.reduce(DataFrame.unionByName, done).select("form_key", F.col("at").alias("base_key"), "form_type", "hops").where("form_key <> base_key")
+        before, rounds = left, rounds + 1
+    return functools.reduce(DataFrame.unionByName, arrived).select("form_key", F.col("at").alias("base_key"), "form_type", "hops").where("form_key <> base_key")
 
 
 def forms_notes(links: DataFrame) -> DataFrame:

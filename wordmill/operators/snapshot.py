@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions import text as T
 from ..schemas import ENHANCEMENT_VERSION
+from .lineage import Scratch
+from .ordered import running
 
 
 def display_forms(rows: DataFrame, key: str, form: str, order: list[str], *more: str) -> DataFrame:
@@ -16,21 +18,28 @@ def display_forms(rows: DataFrame, key: str, form: str, order: list[str], *more:
     return rows.groupBy(key).agg(best.alias("best")).select(key, "best.*")
 
 
+def first_of_each(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    return rows.groupBy(*by).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("kept")).select("kept.*")
+
+
 def index_definitions(rows: DataFrame, key: str, unique: str, order: list[str], index: str = "source_idx") -> DataFrame:
-    """The first row of each (key, unique) in ``order``, numbered from 0 in each key."""
-    first = Window.partitionBy(key, unique).orderBy(*order)
-    place = Window.partitionBy(key).orderBy(*order)
-    kept = rows.withColumn("first_place", F.row_number().over(first)).where("first_place = 1").drop("first_place")
-    return kept.withColumn(index, F.row_number().over(place) - 1)
+    """The first row of each (key, unique) in ``order``, numbered from 0 in each key, however many rows one key has: keys, numbers and order
+    are scanned over ranges, and the rows, which were written once, take their number by (key, unique)."""
+    work = Scratch(rows.sparkSession, "indexed")
+    first = work.keep(first_of_each(rows, [key, unique], order), "first")
+    numbers = running(first.select(key, unique, *order), key, order, F.lit(1).cast("long"), index)
+    numbers = numbers.select(F.col(key).alias("n_key"), F.col(unique).alias("n_unique"), (F.col(index) - 1).alias(index))
+    return first.join(numbers, F.col(key).eqNullSafe(F.col("n_key")) & F.col(unique).eqNullSafe(F.col("n_unique"))).select(*rows.columns, index)
 
 
-def source_definitions(definitions: DataFrame) -> DataFrame:
-    """From definitions (line_no, ordinal, word, pos, gloss): key, hash, sentence and place of each different one."""
+def source_definitions(definitions: DataFrame, numbers: bool = True) -> DataFrame:
+    """From definitions (line_no, ordinal, word, pos, gloss): key, hash, sentence and place of each different one; without ``numbers`` no place."""
     sentence = T.first_sentence("gloss")
     rows = definitions.withColumn("source_first_sentence", sentence).where(F.length("source_first_sentence") > 0)
     rows = rows.withColumn("word_key", T.normalize_word_key("word")).withColumn("source_hash", H.hash_definition("word", "pos", "source_first_sentence")).withColumn("definition_key", H.definition_key("source_hash"))
-    rows = index_definitions(rows, "word_key", "definition_key", ["line_no", "ordinal"])
-    return rows.select("word_key", "definition_key", F.col("source_idx").cast("int").alias("source_idx"), T.normalize_pos("pos").alias("pos"), "source_first_sentence", "source_hash", T.normalize_for_hash("source_first_sentence").alias("normalized_source"))
+    order, place = ["line_no", "ordinal"], [F.col("source_idx").cast("int").alias("source_idx")] * numbers
+    rows = index_definitions(rows, "word_key", "definition_key", order) if numbers else first_of_each(rows, ["word_key", "definition_key"], order)
+    return rows.select("word_key", "definition_key", *place, T.normalize_pos("pos").alias("pos"), "source_first_sentence", "source_hash", T.normalize_for_hash("source_first_sentence").alias("normalized_source"))
 
 
 def source_words(entries: DataFrame, definitions: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import delta, enhance, export, forms, lexicon, snapshot, state
 from ..sources import entries
+from ..sources.files import filesystem, write_file
 
 
 class Store:
@@ -186,16 +186,13 @@ def report(store: Store) -> DataFrame:
 
 
 def write_lexicon(store: Store, folder: str) -> dict:
-    """The word list, the WTRI file, its JavaScript module and a manifest in a local folder."""
+    """The WTRI file, its JavaScript module and a manifest in a folder of any file system."""
     (new_id,) = store.latest(1)
     words, _ = exported(store, new_id, "pure")
-    kept = lexicon.radix_nodes(lexicon.trie_nodes(words)).cache()
-    data = lexicon.wtri_bytes(kept)
-    manifest = {"format": "WTRI", "version": lexicon.VERSION, "extract_id": new_id, "bytes": len(data), "sha256": hashlib.sha256(data).hexdigest()} | lexicon.trie_stats(kept).first().asDict()
-    kept.unpersist()
-    at = Path(folder)
-    at.mkdir(parents=True, exist_ok=True)
-    (at / "lexicon.trie").write_bytes(data)
-    (at / "lexicon.js").write_text(lexicon.js_module(data))
-    (at / "manifest.json").write_text(json.dumps(manifest, indent=2))
+    fs, at = filesystem(folder)
+    fs.create_dir(at, recursive=True)
+    told = lexicon.write_wtri(lexicon.radix_of_words(words), f"{folder}/lexicon.trie")
+    manifest = {"format": "WTRI", "version": lexicon.VERSION, "extract_id": new_id} | told
+    lexicon.write_js_module(f"{folder}/lexicon.trie", f"{folder}/lexicon.js")
+    write_file(f"{folder}/manifest.json", json.dumps(manifest, indent=2).encode())
     return manifest

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import forms as FM
 from ..functions import hashing as H
 from ..functions import text as T
-from ..operators import dedupe, delta, enhance, export, forms, lexicon, lookup, snapshot, state, verify
+from ..operators import dedupe, delta, enhance, export, forms, lexicon, lineage, lookup, snapshot, state, verify
 from ..sources import entries
 from . import duck as D
 
@@ -120,7 +120,7 @@ def _document_definitions(t) -> DataFrame:
 
 @query(_WORDS_SQL)
 def word_hash(t):
-    d = snapshot.source_definitions(_document_definitions(t))
+    d = snapshot.source_definitions(_document_definitions(t), numbers=False)
     rolled = d.groupBy("word_key").agg(n_rows("n_definitions"), F.collect_list("source_hash").alias("hashes"))
     return rolled.select("word_key", "n_definitions", H.hash_word("word_key", F.upper("word_key"), "hashes").alias("word_hash"))
 
@@ -737,12 +737,12 @@ def trie_nodes(t):
 e AS (SELECT u.prefix, any_value(u.terminal) AS terminal, max(u.k) AS k FROM u JOIN r ON r.prefix = substr(u.prefix, 1, u.k::INT) GROUP BY u.prefix)
 SELECT prefix, terminal, substr(prefix, 1, k::INT) AS parent, substr(prefix, k::INT + 1) AS label FROM e""")
 def radix_edges(t):
-    return lexicon.radix_edges(lexicon.radix_nodes(lexicon.trie_nodes(_word_list(t))))
+    return lexicon.radix_edges(lexicon.radix_of_words(_word_list(t)))
 
 
 @query(f"WITH {_RADIX} SELECT prefix, (row_number() OVER (ORDER BY prefix) - 1)::INT AS node FROM r")
 def radix_nodes(t):
-    return lexicon.numbered(lexicon.radix_nodes(lexicon.trie_nodes(_word_list(t)))).select("prefix", "node")
+    return lexicon.numbered(lexicon.radix_of_words(_word_list(t))).select("prefix", F.col("node").cast("int").alias("node"))
 
 
 # ------------------------------------------------------------ change sets, rewrites and files
@@ -829,9 +829,22 @@ def top_results(t):
 @query("SELECT DISTINCT lower(p_name) AS word FROM part")
 def lexicon_file(t):
     """The words that the binary file of the radix tree gives back."""
-    words = t.part.select(F.lower("p_name").alias("word")).distinct()
-    data = lexicon.wtri_bytes(lexicon.radix_nodes(lexicon.trie_nodes(words)))
-    return t.spark.createDataFrame([(w,) for w in lexicon.wtri_words(data)], "word string")
+    path = _part_file(t, F.lower("p_name"))
+    return lexicon.file_words(t.spark, path, 1 << 16)
+
+
+def _part_file(t, word) -> str:
+    work = lineage.Scratch(t.spark, "lexicon")
+    lexicon.write_wtri(lexicon.radix_of_words(t.part.select(word.alias("word"))), f"{work.path}/part.trie", 1 << 16)
+    return f"{work.path}/part.trie"
+
+
+@query(f"""WITH w AS ({_WORD_LIST}), p AS (SELECT DISTINCT lower(unnest(string_split(p_name, ' '))) AS w FROM part)
+SELECT w AS word, w IN (SELECT w FROM p) AS valid FROM w""")
+def lexicon_lookup(t):
+    """All words of documents against the file of the words in part names."""
+    path = _part_file(t, F.explode(F.split(F.lower("p_name"), " ")))
+    return lexicon.in_file(_word_list(t).distinct(), path)
 
 
 @query("""WITH w AS (SELECT DISTINCT lower(p_name) AS w FROM part), p AS (SELECT DISTINCT substr(w, 1, n) AS prefix FROM (SELECT w, unnest(range(0, length(w) + 1)) AS n FROM w)),
@@ -841,4 +854,4 @@ e AS (SELECT x.prefix, max(x.n) AS up FROM (SELECT prefix, unnest(range(0, lengt
 SELECT (SELECT count(*) FROM kept) AS node_count, (SELECT count(*) FROM e) AS edge_count, (SELECT sum(length(prefix) - up) FROM e)::BIGINT AS label_bytes""")
 def lexicon_stats(t):
     words = t.part.select(F.lower("p_name").alias("word")).distinct()
-    return lexicon.trie_stats(lexicon.radix_nodes(lexicon.trie_nodes(words)))
+    return lexicon.trie_stats(lexicon.radix_of_words(words))

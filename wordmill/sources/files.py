@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import mmap
+import os
+import tempfile
+import uuid
+
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
@@ -26,3 +31,28 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     if not found and not fs.globStatus(pattern):
         raise FileNotFoundError(path)
     return sorted(found)
+
+
+def write_file(path: str, data: bytes) -> None:
+    """Write a whole file under its name at once, so that a task that is tried again just replaces it."""
+    fs, at = filesystem(path)
+    fs.create_dir(os.path.dirname(at), recursive=True)
+    part = f"{at}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(part, compression=None) as out:
+        out.write(data)
+    fs.move(part, at)
+
+
+def mapped(path: str) -> mmap.mmap:
+    """A file in memory, without reading it: mapped where its store is mounted, else from a copy without a name, which goes when it isn't
+    used any more."""
+    fs, at = filesystem(path)
+    if isinstance(fs, pafs.LocalFileSystem):
+        with open(at, "rb") as f:
+            return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    with tempfile.TemporaryFile() as copy:
+        with fs.open_input_stream(at, compression=None) as src:
+            while block := src.read(1 << 22):
+                copy.write(block)
+        copy.flush()
+        return mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ)
