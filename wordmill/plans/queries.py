@@ -16,7 +16,8 @@ from ..functions import forms as FM
 from ..functions import hashing as H
 from ..functions import text as T
 from ..operators import dedupe, delta, enhance, export, forms, lexicon, lineage, lookup, snapshot, state, verify
-from ..sources import entries
+from ..sources import entries, lines
+from ..streaming import ingest
 from . import duck as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -235,18 +236,51 @@ def entry_gates(t):
     return entries.gated(entries.parse(lines)).select("line_no", "word")
 
 
+# ------------------------------------------------------------ files of lines, and streams of them
+
+
+def _entry_files(t, work: lineage.Scratch) -> str:
+    """Documents as gzipped files of JSON entries, in the order of doc_id over the files and in each."""
+    entry = F.struct("doc_id", F.col("source").alias("word"), F.lit("en").alias("lang_code"), F.lit("n").alias("pos"), F.col("text").alias("meaning"))
+    rows = t.documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows.select(F.to_json(entry).alias("value")).write.option("compression", "gzip").text(f"{work.path}/in")
+    return f"{work.path}/in"
+
+
+@query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, doc_id, md5(text) AS text_md5 FROM documents")
+def numbered_lines(t):
+    """Lines of gzipped files, read by a task for each quarter of a megabyte of them, with their numbers over all files."""
+    work = lineage.Scratch(t.spark, "lines")
+    lines.build_index(t.spark, _entry_files(t, work), f"{work.path}/lines", 1 << 18)
+    rows = lines.read_numbered(t.spark, f"{work.path}/lines")
+    entry = F.from_json("value", "doc_id long, meaning string")
+    return rows.select("line_no", entry.alias("e")).select("line_no", "e.doc_id", F.md5("e.meaning").alias("text_md5"))
+
+
 # ------------------------------------------------------------ windows and keep rules
 
 
-@query(f"""
+
+_SOURCE_IDX = f"""
 WITH d AS (SELECT source, doc_id, {D.first_sentence('text')} AS s FROM documents),
 h AS (SELECT *, substr({D.definition_hash('source', "'n'", 's')}, 1, 16) AS k FROM d WHERE length(s) > 0),
 f AS (SELECT *, row_number() OVER (PARTITION BY source, k ORDER BY doc_id) AS r FROM h)
-SELECT source AS word_key, k AS definition_key, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1)::INT AS source_idx FROM f WHERE r = 1""")
+SELECT source AS word_key, k AS definition_key, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1)::INT AS source_idx FROM f WHERE r = 1"""
+
+
+@query(_SOURCE_IDX)
 def source_idx(t):
     return snapshot.source_definitions(_document_definitions(t)).select("word_key", "definition_key", "source_idx")
 
 
+@query(_SOURCE_IDX)
+def stream_source_idx(t):
+    """The same numbers from files that a stream takes one by one, by the state of each word."""
+    work = lineage.Scratch(t.spark, "stream")
+    ingest.stream_words(t.spark, _entry_files(t, work), f"{work.path}/words", f"{work.path}/checkpoint", 1).awaitTermination()
+    return ingest.read_definitions(t.spark, f"{work.path}/words").select("word_key", "definition_key", "source_idx")
+
+
 @query("SELECT lang, min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY lang, text")
 def keep_first(t):
     return dedupe.keep_first(t.documents, ["lang", "text"], ["doc_id"]).select("lang", "doc_id", F.md5("text").alias("text_md5"))
