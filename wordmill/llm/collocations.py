@@ -32,7 +32,7 @@ LEAST_COUNT, MOST_WORDS, TOP = 10, 3, 2000
 #: A candidate goes if an extension has this share of its occurrences, in percent.
 SHARE = 50
 #: Text that a task counts before it makes rows, in bytes.
-SLICE = 1 << 21
+SLICE = 1 << 20
 #: Bits of the filter: for each frequent phrase, and in all (1 GB); files that they are dealt over.
 BITS, MOST_BITS, FILES = 16, 1 << 33, 64
 #: A language's candidates are cut to its first ones in so many parts before they meet.
