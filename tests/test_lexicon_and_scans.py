@@ -106,7 +106,8 @@ def hot(spark):
 
 @pytest.mark.parametrize("ranges", ["2", "13", "400"])
 @pytest.mark.parametrize("how", ["sum", "max"])
-def test_running_over_ranges_is_a_window_by_key(spark, hot, ranges, how):
+def test_running_over_ranges_is_a_window_by_key(spark, hot, ranges, how, monkeypatch):
+    monkeypatch.setattr(ordered, "KEY_ROWS", 1000)
     spark.conf.set("spark.sql.shuffle.partitions", ranges)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -121,7 +122,9 @@ def test_running_over_ranges_is_a_window_by_key(spark, hot, ranges, how):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_a_word_with_half_of_the_rows(spark, hot):
+@pytest.mark.parametrize("most", [100, 1 << 20])
+def test_a_word_with_half_of_the_rows(spark, hot, most, monkeypatch):
+    monkeypatch.setattr(ordered, "KEY_ROWS", most)
     rows = lambda d: sorted(map(repr, d.collect()))
     w = Window.partitionBy("k")
     got = snapshot.index_definitions(hot.na.fill(-1, ["v"]), "k", "v", ["i"], "n")

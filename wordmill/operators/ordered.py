@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .lineage import Scratch
 
 RANGE, PLACE = "range_no", "range_place"
+#: Rows of one key that a window by key may sort in a task; a key with more is scanned over ranges.
+KEY_ROWS = 1 << 20
 _LOW = (1 << 33) - 1
 
 
@@ -48,7 +50,11 @@ def running(df: DataFrame, key: str, order: list[str], value: Column, result: st
     """
     if how not in ("sum", "max"):
         raise ValueError(how)
-    work, agg = Scratch(df.sparkSession, "running"), {"sum": F.sum, "max": F.max}[how]
+    agg = {"sum": F.sum, "max": F.max}[how]
+    if (df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) <= KEY_ROWS:  # no key is too large for a task
+        whole_key = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(result, agg(value).over(whole_key))
+    work = Scratch(df.sparkSession, "running")
     ranged = in_ranges(df.withColumn(result, value), [key, *order], work, "ranged")
     here = Window.partitionBy(RANGE, key).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
     # what each range has of its first and of its last key: the two rows that later ranges may need
