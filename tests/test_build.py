@@ -7,7 +7,8 @@ import time
 import pytest
 
 from wordmill.operators import delta, lexicon, snapshot
-from wordmill.plans import build
+from wordmill import schemas as S
+from wordmill.plans import build, config
 from wordmill.sources import entries
 from wordmill.streaming import ingest as streaming
 
@@ -161,6 +162,20 @@ def test_lexicon_artifact(store, tmp_path):
     assert list(lexicon.Wtri(data).words()) == ["apple", "blue", "run"] and manifest["node_count"] == 4 and manifest["edge_count"] == 3
 
 
+def test_settings_drive_a_build(spark, tmp_path):
+    rows = [entry("run", "verb", "To move on two feet. More.", "To manage.", "To flow."), entry("apple", "noun", "A round fruit that grows on trees.")]
+    text = f'state = "{tmp_path}/state"\ninput = "{write(tmp_path / "in.jsonl.gz", rows)}"\noutput = "{tmp_path}/out"\nmax_defs = 2\nmax_words = 3\nmax_retry_count = 2\n'
+
+    def make(word, defs, attempt=0):
+        return f"{len(defs)} {word}"
+
+    told = build.run(spark, config.parse(text), make, now=5)
+    assert (told["new_words"], told["enhanced"], told["words"], told["lexicon"]["node_count"]) == (2, 2, 2, 3)
+    made = build.Store(spark, f"{tmp_path}/state").read("enhanced_words", S.ENHANCED_WORDS)
+    assert {r["word_key"]: (r["pocket_definition"], r["source_definition_count"]) for r in made.collect()} == {"run": ("2 run", 2), "apple": ("1 apple", 1)}
+    assert (tmp_path / "out" / "manifest.json").exists()
+
+
 def test_delta_brings_prior_to_new(spark):
     prior = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id long, definition string")
     new = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d"), (3, "n")], "id long, definition string")

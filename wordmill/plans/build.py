@@ -17,6 +17,7 @@ from .. import schemas as S
 from ..operators import delta, enhance, export, forms, lexicon, snapshot, state
 from ..sources import entries
 from ..sources.files import filesystem, write_file
+from .config import Settings
 
 
 class Store:
@@ -75,7 +76,18 @@ def file_digest(spark: SparkSession, path: str) -> tuple[str, int]:
     return found[0]["sha256"], found[0]["file_size"]
 
 
-def ingest(store: Store, path: str, now: int | None = None) -> int:
+def run(spark: SparkSession, settings: Settings, make: enhance.Synthesizer, limit: int = 0, now: int | None = None) -> dict:
+    """A whole build by its settings: the input is ingested, missing lines are made with so many words and tries, and words, definitions and the
+    lexicon's files are written."""
+    store = Store(spark, settings.state)
+    ingest(store, settings.input, now, settings.max_defs)
+    told = plan_update(store)
+    told |= enhance_changed(store, make, settings.max_total_words, limit, now=now, tries=max(1, settings.max_retry_count))
+    told |= export_current(store)
+    return told | {"lexicon": write_lexicon(store, settings.output)}
+
+
+def ingest(store: Store, path: str, now: int | None = None, max_defs: int = 0) -> int:
     """The id of the extract of a file; a file whose content is in already isn't read again. Lines keep their exact numbers, and a gzipped file is
     read by many tasks; a run that comes after one that was cut off finds the file's index of lines by its content."""
     now = int(time.time()) if now is None else now
@@ -94,6 +106,8 @@ def ingest(store: Store, path: str, now: int | None = None) -> int:
     note("running")
     try:
         kept = entries.gated(entries.parse(entries.read_lines(store.spark, path, f"{store.path('line_index')}/{sha}")))
+        if max_defs > 0:
+            kept = kept.withColumn("defs", F.slice("defs", 1, max_defs))
         store.write_extract(kept, "entries", extract_id)
         kept = store.spark.read.schema(kept.schema).parquet(f"{store.path('entries')}/extract_id={extract_id}")
         store.write_extract(snapshot.source_definitions(entries.exploded(kept)), "source_definitions", extract_id)
@@ -119,7 +133,7 @@ def plan_update(store: Store) -> dict:
     return {"extract_id": new_id, "prior_extract_id": prior_id} | snapshot.plan_report(rows, new, prior).first().asDict()
 
 
-def enhance_changed(store: Store, make: enhance.Synthesizer, most_words: int = 25, limit: int = 0, dry_run: bool = False, now: int | None = None) -> dict:
+def enhance_changed(store: Store, make: enhance.Synthesizer, most_words: int = 25, limit: int = 0, dry_run: bool = False, now: int | None = None, tries: int = 1) -> dict:
     """Make the missing lines of the latest extract; returns numbers made and reused."""
     (new_id,) = store.latest(1)
     words, definitions = store.extract("source_words", S.SOURCE_WORDS, new_id), store.extract("source_definitions", S.SOURCE_DEFINITIONS, new_id)
@@ -128,7 +142,7 @@ def enhance_changed(store: Store, make: enhance.Synthesizer, most_words: int = 2
     if dry_run:
         return {"to_do": enhance.work_list(words, definitions, cache, most_words, limit).count(), "reused": reused}
     before = cache.count()
-    store.append(enhance.enhance(words, definitions, cache, make, most_words, int(time.time()) if now is None else now, limit), "enhanced_words")
+    store.append(enhance.enhance(words, definitions, cache, make, most_words, int(time.time()) if now is None else now, limit, tries), "enhanced_words")
     cache = store.read("enhanced_words", S.ENHANCED_WORDS)
     snaps = store.extract("word_snapshots", S.WORD_SNAPSHOTS, new_id)
     store.write_extract(enhance.after_run(snaps, words, cache), "word_snapshots_done", new_id)

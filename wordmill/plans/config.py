@@ -30,6 +30,8 @@ def parse(text: str) -> Settings:
         found = json.loads(text) if text.lstrip().startswith("{") else tomllib.loads(text)
     except ValueError as e:
         raise ValueError(f"settings can't be read: {e}") from e
+    if "max_words" in found:  # the setting's old name
+        found.setdefault("max_total_words", found.pop("max_words"))
     known = {f.name: f.type for f in fields(Settings) if f.name not in ("models", "more")}
     given = {k: v for k, v in found.items() if k in known}
     for k, v in given.items():
