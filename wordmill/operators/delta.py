@@ -50,7 +50,8 @@ def sharing(ids: DataFrame, words: DataFrame) -> DataFrame:
     return words.join(ids.select("id").distinct(), "id", "left_semi")
 
 
-def definition_sql(changes: DataFrame, table: str) -> DataFrame:
+def definition_sql(changes: DataFrame, table: str, more: list[str] | None = None) -> DataFrame:
+    """op, id, statement, and what columns of the changes ``more`` names."""
     text = sql_literal("definition")
     key = F.col("id").cast("string")
     line = (
@@ -59,10 +60,11 @@ def definition_sql(changes: DataFrame, table: str) -> DataFrame:
         .when(F.col("op") == "update", F.concat(F.lit(f"UPDATE {table} SET definition="), text, F.lit(" WHERE id="), key, F.lit(";")))
         .otherwise(F.concat(F.lit(f"DELETE FROM {table} WHERE id="), key, F.lit(";")))
     )
-    return changes.select("op", "id", line.alias("statement"))
+    return changes.select("op", "id", line.alias("statement"), *(more or []))
 
 
-def word_sql(changes: DataFrame, table: str) -> DataFrame:
+def word_sql(changes: DataFrame, table: str, more: list[str] | None = None) -> DataFrame:
+    """op, word, statement, and what columns of the changes ``more`` names."""
     word = sql_literal("word")
     key = F.col("id").cast("string")
     line = (
@@ -71,7 +73,7 @@ def word_sql(changes: DataFrame, table: str) -> DataFrame:
         .when(F.col("op") == "update", F.concat(F.lit(f"UPDATE {table} SET id="), key, F.lit(" WHERE word="), word, F.lit(";")))
         .otherwise(F.concat(F.lit(f"DELETE FROM {table} WHERE word="), word, F.lit(";")))
     )
-    return changes.select("op", "word", line.alias("statement"))
+    return changes.select("op", "word", line.alias("statement"), *(more or []))
 
 
 def delta_meta(word_ops: DataFrame, definition_ops: DataFrame, mode: str = "delta") -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import delta, enhance, export, forms, lexicon, snapshot, state
+from ..operators import delta, enhance, export, forms, lexicon, load, snapshot, state
+from ..operators.buckets import BucketTable
 from ..sources import entries
 from ..sources.files import filesystem, write_file
 from .config import Settings
@@ -50,10 +51,9 @@ class Store:
     def append(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").parquet(self.path(table))
 
-    def replace(self, df: DataFrame, table: str) -> None:
-        """Replace a small table that ``df`` may be computed from."""
-        rows = df.collect()
-        self.spark.createDataFrame(rows, df.schema).write.mode("overwrite").parquet(self.path(table))
+    def published(self) -> BucketTable:
+        """What each target has; upserted in place."""
+        return BucketTable(self.spark, self.path("published_state"), S.PUBLISHED_STATE, ["target"], 1)
 
     def runs(self) -> DataFrame:
         return state.last_status(self.read("extract_runs", S.EXTRACT_RUNS), "id", "completed_at")
@@ -173,7 +173,7 @@ def publish_plan(store: Store, target: str = "d1") -> tuple[dict, DataFrame, Dat
     """Meta (mode skip, full or delta, and counts) and the statements for definitions and words, against what the
     target has."""
     (new_id,) = store.latest(1)
-    has = store.read("published_state", S.PUBLISHED_STATE).where(F.col("target") == target).agg(F.max("extract_id")).first()[0]
+    has = store.published().read().where(F.col("target") == target).agg(F.max("extract_id")).first()[0]
     mode = "skip" if has == new_id else "full" if has is None else "delta"
     words, definitions = exported(store, new_id, "pure")
     old_words, old_definitions = exported(store, new_id if mode == "skip" else has, "pure")
@@ -182,14 +182,23 @@ def publish_plan(store: Store, target: str = "d1") -> tuple[dict, DataFrame, Dat
     return meta, delta.definition_sql(definition_ops, "definitions"), delta.word_sql(word_ops, "words")
 
 
+def write_load(store: Store, folder: str, target: str = "d1", size: int = load.CHUNK) -> dict:
+    """The statements of :func:`publish_plan` as numbered chunks below ``folder``, which :func:`load.send` sends; meta with their numbers."""
+    meta, definitions, words = publish_plan(store, target)
+    rows = load.chunks(definitions, "definitions", ["id", "statement"], size).unionByName(load.chunks(words, "words", ["word", "statement"], size))
+    return meta | load.write_chunks(rows, folder)
+
+
 def mark_published(store: Store, target: str, version: str, now: int | None = None) -> None:
     (new_id,) = store.latest(1)
-    old = store.read("published_state", S.PUBLISHED_STATE)
-    store.replace(state.publish(old, target, new_id, version, int(time.time()) if now is None else now), "published_state")
+    row = (target, new_id, int(time.time()) if now is None else now, version)
+    published = store.published()
+    published.upsert(store.spark.createDataFrame([row], S.PUBLISHED_STATE))
+    published.vacuum()
 
 
 def status(store: Store) -> dict:
-    return state.pipeline_status(store.runs(), store.read("published_state", S.PUBLISHED_STATE)).first().asDict()
+    return state.pipeline_status(store.runs(), store.published().read()).first().asDict()
 
 
 def report(store: Store) -> DataFrame:

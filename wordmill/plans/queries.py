@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import forms as FM
 from ..functions import hashing as H
 from ..functions import text as T
-from ..operators import dedupe, delta, enhance, export, forms, lexicon, lineage, lookup, snapshot, state, verify
+from ..operators import dedupe, delta, enhance, export, forms, lexicon, lineage, load, lookup, snapshot, state, verify
+from ..operators.buckets import BucketTable
 from ..sources import entries, lines
 from ..streaming import ingest
 from . import duck as D
@@ -889,3 +890,35 @@ SELECT (SELECT count(*) FROM kept) AS node_count, (SELECT count(*) FROM e) AS ed
 def lexicon_stats(t):
     words = t.part.select(F.lower("p_name").alias("word")).distinct()
     return lexicon.trie_stats(lexicon.radix_of_words(words))
+
+
+# ------------------------------------------------------------ tables upserted in place, and loading
+
+
+@query("""WITH r AS (SELECT l_orderkey, max(l_extendedprice) AS v FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT o_orderkey, coalesce(v, o_totalprice) AS value FROM orders LEFT JOIN r ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P' OR o_orderstatus IS NULL""")
+def upsert_buckets(t):
+    """Orders in buckets; returned lines give an order their highest price, in place, and pending orders go."""
+    plain = t.orders.select("o_orderkey", F.col("o_totalprice").alias("value"))
+    table = BucketTable(t.spark, lineage.Scratch(t.spark, "buckets").path, plain.schema, ["o_orderkey"])
+    table.upsert(plain)
+    returned = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").alias("value"))
+    table.upsert(returned.join(plain, "o_orderkey", "left_semi"), ["value"])
+    gone = t.orders.where("o_orderstatus = 'P'").select("o_orderkey", F.lit(None).cast("double").alias("value"), F.lit(True).alias("gone"))
+    table.upsert(gone, deletes="gone")
+    table.vacuum()
+    return table.read()
+
+
+@query(f"""WITH d AS (SELECT 'definitions' AS part, 'INSERT INTO definitions VALUES (' || conv_id || ', ' || {D.literal('text')} || ');' AS statement, row_number() OVER (ORDER BY conv_id, turn, md5(text)) - 1 AS n FROM conversations),
+w AS (SELECT 'words' AS part, 'INSERT INTO words VALUES (' || c_custkey || ', ' || {D.literal('c_name')} || ');' AS statement, row_number() OVER (ORDER BY c_custkey) - 1 AS n FROM customer),
+s AS (SELECT * FROM d UNION ALL SELECT * FROM w)
+SELECT part, n // 5000 AS chunk, count(*) AS n_statements, md5(string_agg(statement, chr(10) ORDER BY n)) AS chunk_md5 FROM s GROUP BY 1, 2""")
+def load_chunks(t):
+    """Chunks of a whole load as their files give them back."""
+    insert = F.lit("insert").alias("op")
+    definitions = delta.definition_sql(t.conversations.select(insert, F.struct("conv_id", "turn", F.md5("text")).alias("place"), F.col("conv_id").alias("id"), F.col("text").alias("definition")), "definitions", ["place"])
+    words = delta.word_sql(t.customer.select(insert, F.col("c_custkey").alias("id"), F.col("c_name").alias("word")), "words", ["id"])
+    path = f"{lineage.Scratch(t.spark, 'load').path}/chunks"
+    load.write_chunks(load.chunks(definitions, "definitions", ["place"]).unionByName(load.chunks(words, "words", ["id"])), path)
+    return load.read_chunks(t.spark, path).select("part", "chunk", F.size("statements").cast("long").alias("n_statements"), F.md5(F.array_join("statements", "\n")).alias("chunk_md5"))
