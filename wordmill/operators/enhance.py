@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import inspect
+import json
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import ENHANCED_WORDS, ENHANCEMENT_VERSION
+from ..sources.files import filesystem, write_file
 from .snapshot import with_accepted
 
 #: Makes a line from a word and its definitions (index, part of speech, sentence). If it takes a ``temperature``, that rises by try.
@@ -47,30 +52,110 @@ def temperatures(tries: int) -> list[float]:
     return [min(WARMEST, round(TEMPERATURE + WARMER * n, 6)) for n in range(tries)]
 
 
-def _synthesize(make: Synthesizer, tries: int):
-    warm = _takes_temperature(make)
+#: Calls after which a task stores what came; at most that many are asked again after it is lost.
+_LOT = 16
+
+
+class Answers:
+    """Answers as they come, in a folder that all tasks share, by bucket of their key: a task that is tried again, or a run after one that
+    failed, asks only for what isn't there. The folder's first use fixes the number of buckets."""
+
+    def __init__(self, folder: str, buckets: int = 64):
+        self.folder = folder.rstrip("/")
+        fs, at = filesystem(f"{self.folder}/_buckets")
+        if fs.get_file_info(at).type == pafs.FileType.NotFound:
+            write_file(f"{self.folder}/_buckets", str(buckets).encode())
+        with fs.open_input_stream(at, compression=None) as f:
+            self.buckets = int(f.read())
+
+    def dealt(self, todo: DataFrame, keys: list[str]) -> DataFrame:
+        """Rows with their bucket, a task a bucket."""
+        named = todo.withColumn("answer_bucket", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
+        return named.repartitionById(self.buckets, "answer_bucket")
+
+    def known(self, bucket: int) -> dict[tuple[str, ...], str]:
+        """All answers of a bucket, which is a bucket's share of what there is to ask."""
+        fs, at = filesystem(f"{self.folder}/{bucket}")
+        out = {}
+        for info in fs.get_file_info(pafs.FileSelector(at, allow_not_found=True)):
+            if info.base_name.endswith(".json"):
+                with fs.open_input_stream(info.path, compression=None) as f:
+                    out |= {tuple(key): line for key, line in json.loads(f.read())}
+        return out
+
+    def keep(self, bucket: int, answers: list[tuple[tuple[str, ...], str]]) -> None:
+        if answers:
+            write_file(f"{self.folder}/{bucket}/{uuid.uuid4().hex}.json", json.dumps(answers).encode())
+
+    def clear(self) -> None:
+        """Forget all, once what came of it is stored."""
+        fs, at = filesystem(self.folder)
+        if fs.get_file_info(at).type != pafs.FileType.NotFound:
+            fs.delete_dir(at)
+
+
+def _all(pool: ThreadPoolExecutor | None, ask: Callable, items: list) -> tuple[list, BaseException | None]:
+    """What ``ask`` gives for each item, None for one that failed, and the first failure."""
+
+    def one(item):
+        try:
+            return ask(*item), None
+        except Exception as e:  # told to the caller, once what came is stored
+            return None, e
+
+    got = list(pool.map(one, items) if pool else map(one, items))
+    return [line for line, _ in got], next((e for _, e in got if e is not None), None)
+
+
+def _synthesize(make: Synthesizer, tries: int, answers: Answers | None = None, at_once: int = 1):
+    """Asks ``at_once`` calls at a time within a task; with ``answers`` each lot of calls is stored before the next one is asked."""
+    warm, lot_size = _takes_temperature(make), max(_LOT, at_once)
+
+    def ask(word: str, pairs: list) -> str | None:
+        for heat in temperatures(tries):
+            line = make(word, pairs, temperature=heat) if warm else make(word, pairs)
+            if line:
+                return line
+        return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            lines = []
-            for word, defs in zip(pdf["word_key"], pdf["defs"]):
-                pairs = [(int(d["source_idx"]), d["pos"], d["source_first_sentence"]) for d in defs]
-                line = None
-                for heat in temperatures(tries):
-                    line = make(word, pairs, temperature=heat) if warm else make(word, pairs)
-                    if line:
-                        break
-                lines.append(line)
-            yield pdf[["word_key", "word_hash", "source_pos_list"]].assign(source_definition_count=[len(d) for d in pdf["defs"]], line=lines)
+        bucket, known = None, {}
+        pool = ThreadPoolExecutor(at_once) if at_once > 1 else None
+        try:
+            for pdf in batches:
+                if answers and len(pdf) and bucket is None:
+                    bucket = int(pdf["answer_bucket"].iloc[0])
+                    known = answers.known(bucket)
+                keys = list(zip(pdf["word_key"], pdf["word_hash"]))
+                lines = [known.get(key) for key in keys]
+                items = [(word, [(int(d["source_idx"]), d["pos"], d["source_first_sentence"]) for d in defs]) for word, defs in zip(pdf["word_key"], pdf["defs"])]
+                missing = [i for i, line in enumerate(lines) if line is None]
+                for start in range(0, len(missing), lot_size):
+                    lot = missing[start : start + lot_size]
+                    came, failure = _all(pool, ask, [items[i] for i in lot])
+                    for i, line in zip(lot, came):
+                        lines[i] = line
+                    if answers:
+                        answers.keep(bucket, [(keys[i], line) for i, line in zip(lot, came) if line])
+                    if failure is not None:
+                        raise failure
+                yield pdf[["word_key", "word_hash", "source_pos_list"]].assign(source_definition_count=[len(d) for d in pdf["defs"]], line=lines)
+        finally:
+            if pool:
+                pool.shutdown()
 
     return run
 
 
-def enhance(words: DataFrame, definitions: DataFrame, cache: DataFrame, make: Synthesizer, most_words: int, now: int, limit: int = 0, tries: int = 1, version: str = ENHANCEMENT_VERSION) -> DataFrame:
-    """New cache rows. Words for which ``make`` gives nothing, or more than one and a half times the budget, get none."""
+def enhance(words: DataFrame, definitions: DataFrame, cache: DataFrame, make: Synthesizer, most_words: int, now: int, limit: int = 0, tries: int = 1, version: str = ENHANCEMENT_VERSION, answers: Answers | None = None, at_once: int = 1) -> DataFrame:
+    """New cache rows. Words for which ``make`` gives nothing, or more than one and a half times the budget, get none. With ``answers``, what
+    came before a failure isn't asked again; a task asks ``at_once`` words at a time."""
     todo = work_list(words, definitions, cache, most_words, limit)
     passed = todo.where("passes").select("word_key", "word_hash", "source_pos_list", F.size("defs").alias("source_definition_count"), F.col("defs")[0]["source_first_sentence"].alias("line"), F.lit("passthrough").alias("enhanced_source"))
-    made = todo.where("not passes").select("word_key", "word_hash", "source_pos_list", "defs").mapInPandas(_synthesize(make, tries), "word_key string, word_hash string, source_pos_list array<string>, source_definition_count int, line string")
+    asked = todo.where("not passes").select("word_key", "word_hash", "source_pos_list", "defs")
+    if answers:
+        asked = answers.dealt(asked, ["word_key", "word_hash"])
+    made = asked.mapInPandas(_synthesize(make, tries, answers, at_once), "word_key string, word_hash string, source_pos_list array<string>, source_definition_count int, line string")
     made = made.withColumn("line", T.accept_line("line", most_words)).where("line is not null").withColumn("enhanced_source", F.lit("llm"))
     rows = passed.unionByName(made)
     return rows.select("word_key", "word_hash", F.lit(version).alias("enhancement_version"), F.col("line").alias("pocket_definition"), "source_pos_list", "source_definition_count", "enhanced_source", F.lit("accepted").alias("quality_status"), F.lit(now).cast("bigint").alias("updated_at")).to(ENHANCED_WORDS)

@@ -133,8 +133,9 @@ def plan_update(store: Store) -> dict:
     return {"extract_id": new_id, "prior_extract_id": prior_id} | snapshot.plan_report(rows, new, prior).first().asDict()
 
 
-def enhance_changed(store: Store, make: enhance.Synthesizer, most_words: int = 25, limit: int = 0, dry_run: bool = False, now: int | None = None, tries: int = 1) -> dict:
-    """Make the missing lines of the latest extract; returns numbers made and reused."""
+def enhance_changed(store: Store, make: enhance.Synthesizer, most_words: int = 25, limit: int = 0, dry_run: bool = False, now: int | None = None, tries: int = 1, at_once: int = 1) -> dict:
+    """Make the missing lines of the latest extract; returns numbers made and reused. Answers are stored as they come, so a run that failed
+    midway goes on where it was."""
     (new_id,) = store.latest(1)
     words, definitions = store.extract("source_words", S.SOURCE_WORDS, new_id), store.extract("source_definitions", S.SOURCE_DEFINITIONS, new_id)
     cache = store.read("enhanced_words", S.ENHANCED_WORDS)
@@ -142,7 +143,9 @@ def enhance_changed(store: Store, make: enhance.Synthesizer, most_words: int = 2
     if dry_run:
         return {"to_do": enhance.work_list(words, definitions, cache, most_words, limit).count(), "reused": reused}
     before = cache.count()
-    store.append(enhance.enhance(words, definitions, cache, make, most_words, int(time.time()) if now is None else now, limit, tries), "enhanced_words")
+    answers = enhance.Answers(store.path("answers"))
+    store.append(enhance.enhance(words, definitions, cache, make, most_words, int(time.time()) if now is None else now, limit, tries, answers=answers, at_once=at_once), "enhanced_words")
+    answers.clear()
     cache = store.read("enhanced_words", S.ENHANCED_WORDS)
     snaps = store.extract("word_snapshots", S.WORD_SNAPSHOTS, new_id)
     store.write_extract(enhance.after_run(snaps, words, cache), "word_snapshots_done", new_id)
