@@ -42,4 +42,4 @@ def test_one_beginning_of_ten_thousand(spark):
 def test_no_rows_and_no_pairs(spark):
     assert dedupe.extension_pairs(spark.createDataFrame([], "g int, k long, t string"), "g", "k", "t").count() == 0
     pairs, members = dedupe.extension_classes(spark.createDataFrame([(1, 1, "x"), (1, 2, "x"), (2, 3, "x y")], "g int, k long, t string"), "g", "k", "t")
-    assert pairs.count() == 0 and members.select("extended").distinct().count() == 2
+    assert pairs.count() == 0 and members.select("class").distinct().count() == 2

@@ -1,7 +1,8 @@
 """Texts that begin with other texts of their group, found in sorted order: all that begin with a text follow it at once.
 
-What two neighbours have in common is all that the scan needs, so texts are read once, for its length, and the rest runs over numbers:
-a stack holds the beginnings that are still open. A range starts with those that earlier ranges leave open, which are told by one row a range.
+Rows are dealt over ranges and sorted, which is the only time that texts are shuffled; what goes on is each one's length and what it has in
+common with the one before. A stack of these numbers holds the beginnings that are open. A range starts with those that earlier ranges
+leave open, which are told by one row a range.
 """
 
 from __future__ import annotations
@@ -10,63 +11,93 @@ import os
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import ordered as O
 from .lineage import Scratch
 
 #: Pairs that a task gathers before it hands them on.
 _PAIRS = 1 << 16
+_AT = ["range_no", "range_place"]
 
 
-def beginnings(texts: DataFrame, stretch: float = 1.0) -> DataFrame:
-    """group, base, extended: for each row of ``texts`` (group, text, base, extended) with an ``extended`` all rows of its group with a ``base``
-    whose text it begins with and is more than ``stretch`` times as long as. (group, text) tells the rows apart; base and extended are
-    longs or null, of which the result has pairs. A text in the midst of n open beginnings takes n steps."""
+def beginnings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members) of ``texts`` (group, text, key, whole_length): members are (group, key, class, length, whole_length), where rows of equal
+    group and text have one class, and pairs (base, extended) are the classes whose texts the texts of other classes begin with. A
+    class is paired with itself if one of its rows has a whole_length above its length. Texts aren't empty and no column is null."""
     work = Scratch(texts.sparkSession, "beginnings")
-    ranged = O.in_ranges(texts, ["group", "text"], work, "texts")
-    steps = work.keep(_by_range(_with_last(ranged)).mapInArrow(_in_common, _STEPS), "steps")
-    work.drop("texts")
-    ends = work.keep(_by_range(steps).mapInPandas(_left_open, _ENDS), "ends")
-    # one row a range: what it leaves open of its own, and how short a beginning has to be to outlast it
-    carried = ends.groupBy(F.lit(0).alias("all")).applyInPandas(_carry, f"{O.RANGE} int, lengths array<int>, bases array<long>")
-    opened = carried.select(O.RANGE, F.posexplode(F.arrays_zip("lengths", "bases")).alias("at", "open"))
-    opened = opened.select(F.lit(None).cast("string").alias("group"), F.col("open.lengths").alias("length"), F.lit(None).cast("int").alias("common"), F.col("open.bases").alias("base"), F.lit(None).cast("long").alias("extended"), O.RANGE, (F.col("at").cast("long") - (1 << 40)).alias(O.PLACE))
-    return _by_range(steps.unionByName(opened)).mapInPandas(_paired(stretch), "group string, base long, extended long")
-
-
-_STEPS = f"group string, length int, common int, base long, extended long, {O.RANGE} int, {O.PLACE} long"
-_ENDS = f"{O.RANGE} int, outlasts int, lengths array<int>, bases array<long>"
+    kind = texts.schema["key"].dataType.simpleString()
+    order = ["group", "text", "key"]  # copies of one text may be in many ranges
+    sorted_ = texts.select("group", "text", "key", "whole_length").repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = f"group string, key {kind}, length int, common int, whole_length int, range_no int, range_place long, border string"
+    steps = work.keep(sorted_.mapInArrow(_steps, schema), "steps")
+    # one row a range: its first text and its last, and what the first has in common with the last of the range before
+    ends = steps.where("border is not null").groupBy("range_no").agg(*[f(F.struct("group", F.col("border").alias("text")), "range_place").alias(n) for f, n in ((F.min_by, "first"), (F.max_by, "last"))])
+    ends = ends.withColumn("before", F.lag("last").over(Window.orderBy("range_no")))
+    met = work.keep(ends.select("range_no", F.col("before.group").alias("g"), F.col("before.text").alias("t"), F.col("first.group").alias("group"), F.col("first.text").alias("text")).mapInPandas(_met, "range_no int, met int"), "met")
+    rows = steps.where("length is not null").drop("border").join(met, "range_no").withColumn("common", F.coalesce("common", "met")).drop("met")
+    left = work.keep(_by_range(rows.select("length", "common", *_AT)).mapInPandas(_left_open, "range_no int, outlasts int, lengths array<int>, classes array<long>"), "left")
+    carried = left.groupBy(F.lit(0).alias("all")).applyInPandas(_carry, "range_no int, lengths array<int>, classes array<long>")
+    opened = carried.select("range_no", F.posexplode(F.arrays_zip("lengths", "classes")).alias("at", "open"))
+    opened = opened.select("range_no", (F.col("at").cast("long") - (1 << 40)).alias("range_place"), F.col("open.lengths").alias("length"), F.col("open.classes").alias("class"))
+    found = _by_range(rows.withColumn("class", F.lit(None).cast("long")).unionByName(opened, allowMissingColumns=True))
+    found = work.keep(found.mapInArrow(_paired, f"group string, key {kind}, class long, length int, whole_length int, base long, extended long"), "found")
+    return found.where("base is not null").select("base", "extended").distinct(), found.where("base is null").select("group", "key", "class", "length", "whole_length")
 
 
 def _by_range(rows: DataFrame) -> DataFrame:
     """A task for each range, in order of place."""
-    n = rows.agg(F.max(O.RANGE)).first()[0]
-    return rows.repartitionById((n or 0) + 1, O.RANGE).sortWithinPartitions(O.RANGE, O.PLACE)
+    n = rows.agg(F.max("range_no")).first()[0]
+    return rows.repartitionById((n or 0) + 1, "range_no").sortWithinPartitions(*_AT)
 
 
-def _with_last(ranged: DataFrame) -> DataFrame:
-    """Rows with the last one of the range before, at place -1; one row a range goes through a window."""
-    lasts = ranged.groupBy(O.RANGE).agg(F.max_by(F.struct("group", "text"), O.PLACE).alias("last"))
-    lasts = lasts.withColumn(O.RANGE, F.lead(O.RANGE).over(Window.orderBy(O.RANGE))).where(f"{O.RANGE} is not null")
-    none = F.lit(None).cast("long")
-    return ranged.unionByName(lasts.select("last.group", "last.text", none.alias("base"), none.alias("extended"), O.RANGE, F.lit(-1).cast("long").alias(O.PLACE)))
+def _class(range_no: int, place: int) -> int:
+    """A class is named by the place of its first row."""
+    return range_no << 33 | place
 
 
-def _in_common(batches):
-    """Each text's length and what it has in common with the one before; -1 where its group begins."""
-    group = text = None
+def _steps(batches):
+    """Each text's length and what it has in common with the one before (null for a range's first; -1 where a group begins); the texts themselves
+    only of the first row, and of the last one in a row of its own without a length."""
+    at, place, group, text, schema = TaskContext.get().partitionId(), 0, None, None, None
+    names = ["group", "key", "length", "common", "whole_length", "range_no", "range_place", "border"]
     for batch in batches:
-        lengths, common, keep = [], [], []
-        for g, t, place in zip(batch["group"].to_pylist(), batch["text"].to_pylist(), batch[O.PLACE].to_pylist()):
-            keep.append(place >= 0)
+        n = len(batch)
+        if not n:
+            continue
+        lengths, common, border = [], [], [None] * n
+        for i, (g, t) in enumerate(zip(batch["group"].to_pylist(), batch["text"].to_pylist())):
+            if text is None:
+                common.append(None)
+                border[i] = t
+            else:
+                common.append(len(os.path.commonprefix((text, t))) if g == group else -1)
             lengths.append(len(t))
-            common.append(len(os.path.commonprefix((text, t))) if text is not None and g == group else -1)
             group, text = g, t
-        columns = [batch["group"], pa.array(lengths, pa.int32()), pa.array(common, pa.int32()), *(batch[c] for c in ("base", "extended", O.RANGE, O.PLACE))]
-        names = ["group", "length", "common", "base", "extended", O.RANGE, O.PLACE]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names).filter(pa.array(keep, pa.bool_()))
+        columns = [batch["group"], batch["key"], pa.array(lengths, pa.int32()), pa.array(common, pa.int32()), batch["whole_length"], pa.array([at] * n, pa.int32()), pa.array(range(place, place + n), pa.int64()), pa.array(border, pa.string())]
+        out = pa.RecordBatch.from_arrays(columns, names)
+        schema, place = out.schema, place + n
+        yield out
+    if schema is not None:
+        last = {"group": group, "range_no": at, "range_place": place, "border": text}
+        yield pa.RecordBatch.from_arrays([pa.array([last.get(f.name)], f.type) for f in schema], schema=schema)
+
+
+def _met(batches):
+    for pdf in batches:
+        both = zip(pdf["g"], pdf["t"], pdf["group"], pdf["text"])
+        yield pd.DataFrame({"range_no": pdf["range_no"], "met": [len(os.path.commonprefix((t, text))) if g == group and t is not None else -1 for g, t, group, text in both]})
+
+
+def _step(stack: list[tuple[int, int]], length: int, common: int, name: int) -> bool:
+    """Close what the text doesn't begin with and open the text itself, unless the one before was the same; is it new?"""
+    while stack and stack[-1][0] > common:
+        stack.pop()
+    if stack and stack[-1][0] == length:
+        return False
+    stack.append((length, name))
+    return True
 
 
 def _left_open(batches):
@@ -74,58 +105,64 @@ def _left_open(batches):
     at, outlasts, stack = None, None, []
 
     def row():
-        return pd.DataFrame({O.RANGE: [at], "outlasts": [outlasts], "lengths": [[n for n, _ in stack]], "bases": [[b for _, b in stack]]})
+        return pd.DataFrame({"range_no": [at], "outlasts": [outlasts], "lengths": [[n for n, _ in stack]], "classes": [[c for _, c in stack]]})
 
     for pdf in batches:
-        for no, length, common, base in zip(pdf[O.RANGE], pdf["length"], pdf["common"], pdf["base"].astype("Int64")):
+        for no, place, length, common in zip(*(pdf[c].tolist() for c in (*_AT, "length", "common"))):
             if no != at:
                 if at is not None:
                     yield row()
                 at, outlasts, stack = no, common, []
             outlasts = min(outlasts, common)
-            while stack and stack[-1][0] > common:
-                stack.pop()
-            if not pd.isna(base):
-                stack.append((length, int(base)))
+            _step(stack, length, common, _class(no, place))
     if at is not None:
         yield row()
 
 
-def _carry(ends: pd.DataFrame) -> pd.DataFrame:
-    """What each range finds open: the first text of a range begins with what is at most as long as it has in common with the one before, and
-    of what a range finds open, that outlasts it which all its texts have in common."""
+def _carry(left: pd.DataFrame) -> pd.DataFrame:
+    """What each range finds open: of what the range before found, all that its texts have in common outlasts it, and what it leaves open of its own
+    comes on top. A text that a range found open and has again isn't opened twice: the first class of its length counts."""
     out, found = [], []
-    for no, outlasts, lengths, bases in ends.sort_values(O.RANGE)[[O.RANGE, "outlasts", "lengths", "bases"]].itertuples(index=False):
-        out.append((no, [n for n, _ in found], [b for _, b in found]))
-        found = [(n, b) for n, b in found if n <= outlasts] + [(int(n), int(b)) for n, b in zip(lengths, bases)]
-    return pd.DataFrame(out, columns=[O.RANGE, "lengths", "bases"])
-
-
-def _paired(stretch: float):
-    def run(batches):
-        at, stack, found = None, [], []
-
-        def out():
-            return pd.DataFrame(found, columns=["group", "base", "extended"]).astype({"base": "int64", "extended": "int64"})
-
-        for pdf in batches:
-            for no, place, group, length, common, base, extended in zip(pdf[O.RANGE], pdf[O.PLACE], pdf["group"], pdf["length"], pdf["common"], pdf["base"].astype("Int64"), pdf["extended"].astype("Int64")):
-                if no != at:
-                    at, stack = no, []
-                if place >= 0:
-                    while stack and stack[-1][0] > common:
-                        stack.pop()
-                    if not pd.isna(extended):
-                        for n, b in stack:
-                            if length <= n * stretch:
-                                break  # the rest is longer still
-                            found.append((group, b, int(extended)))
-                            if len(found) >= _PAIRS:
-                                yield out()
-                                found = []
-                if not pd.isna(base):
-                    stack.append((length, int(base)))
-        if found:
-            yield out()
-
-    return run
+    for no, outlasts, lengths, classes in left.sort_values("range_no")[["range_no", "outlasts", "lengths", "classes"]].itertuples(index=False):
+        out.append((no, [n for n, _ in found], [c for _, c in found]))
+        found = [(n, c) for n, c in found if n <= outlasts]
+        known = {n for n, _ in found}  # open texts are beginnings of one text, so equal lengths are equal texts
+        found = sorted(found + [(int(n), int(c)) for n, c in zip(lengths, classes) if n not in known])
+    return pd.DataFrame(out, columns=["range_no", "lengths", "classes"])
+
+
+def _paired(batches):
+    """Rows with their class, and rows of pairs (base, extended) that have nothing else."""
+    at, stack, own = None, [], None
+    names = ["group", "key", "class", "length", "whole_length", "base", "extended"]
+    for batch in batches:
+        keep, classes, pairs = [], [], []
+        kinds = {"group": pa.string(), "key": batch["key"].type, "length": pa.int32(), "whole_length": pa.int32()}
+
+        def told(pairs=pairs, kinds=kinds):
+            columns = [pa.nulls(len(pairs), kinds.get(c, pa.int64())) for c in names[:5]]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([b for b, _ in pairs], pa.int64()), pa.array([e for _, e in pairs], pa.int64())], names)
+
+        for no, place, length, common, whole, name in zip(*(batch[c].to_pylist() for c in (*_AT, "length", "common", "whole_length", "class"))):
+            if no != at:
+                at, stack, own = no, [], None
+            keep.append(place >= 0)
+            if place < 0:
+                stack.append((length, name))
+                classes.append(None)
+                continue
+            if _step(stack, length, common, _class(no, place)):
+                pairs += [(base, stack[-1][1]) for _, base in stack[:-1]]
+            this = stack[-1][1]
+            classes.append(this)
+            if whole > length and own != this:
+                pairs.append((this, this))
+                own = this
+            if len(pairs) >= _PAIRS:
+                yield told()
+                pairs.clear()
+        none = pa.nulls(len(batch), pa.int64())
+        columns = [batch["group"], batch["key"], pa.array(classes, pa.int64()), batch["length"], batch["whole_length"], none, none]
+        yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
+        if pairs:
+            yield told()

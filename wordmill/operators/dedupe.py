@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .beginnings import beginnings
-from .lineage import Scratch
 from .ordered import running
 
 
@@ -80,35 +79,25 @@ def similar_pairs(rows: DataFrame, group: str, key: str, text: str, threshold: f
 
 
 def extension_classes(rows: DataFrame, group: str, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Pairs (group, base, extended) of classes of texts where one definition extends another, and the members (group, key, base, base_length, extended:
-    the class of its text as a beginning, that one's length, and its class as a whole; no base for an empty beginning). A class is named by a number for equal texts of a group.
+    """Classes of texts that are equal but for dots at their end: pairs (base, extended) where one's text begins with the other's, and the
+    members (group, key, class, length: that of the text without these dots, whole_length).
 
-    A base that is another's part before ``;`` or its first sentence is a beginning of it as well, so beginnings are all there is to find.
+    A base that is another's part before ``;`` or its first sentence is a beginning of it as well, so beginnings are all there is to find;
+    and as no base ends with a dot, it's a beginning of a text if it's one of the text without its last dots.
     """
-    work = Scratch(rows.sparkSession, "extensions")
-    named = rows.select(F.col(group).alias("group"), F.col(key).alias("key"), T.without_dots(text).alias("b"), T.strip(text).alias("e")).where("group is not null and key is not null and e is not null")
-    digests = named.select("group", "key", F.when(F.col("b") != "", F.sha2("b", 256)).alias("b_digest"), F.sha2("e", 256).alias("e_digest"), F.length("b").alias("base_length"))
-    # a text's own digest stands for it until classes have numbers, which are made once
-    parts = named.select("group", F.explode(F.array(F.struct(F.col("b").alias("text"), (F.col("b") != "").alias("is_base"), F.lit(False).alias("is_whole")), F.struct(F.col("e").alias("text"), F.lit(False).alias("is_base"), F.lit(True).alias("is_whole")))).alias("part")).select("group", "part.*")
-    # the sort key of texts is the texts themselves; groups are compared as strings
-    texts = parts.groupBy("group", F.sha2("text", 256).alias("digest")).agg(F.any_value("text").alias("text"), F.bool_or("is_base").alias("is_base"), F.bool_or("is_whole").alias("is_whole")).where("is_base or is_whole")
-    texts = work.keep(texts.withColumn("number", F.monotonically_increasing_id()), "classes")
-    found = beginnings(texts.select(F.col("group").cast("string").alias("group"), "text", F.when(F.col("is_base"), F.col("number")).alias("base"), F.when(F.col("is_whole"), F.col("number")).alias("extended")), 1.1)
-    pairs = found.select(F.col("group").cast(rows.schema[group].dataType).alias(group), "base", "extended")
-    numbers = texts.select("group", "digest", "number")
-    as_base = numbers.select("group", F.col("digest").alias("b_digest"), F.col("number").alias("base"))
-    whole = numbers.select("group", F.col("digest").alias("e_digest"), F.col("number").alias("extended"))
-    members = digests.join(as_base, ["group", "b_digest"], "left").join(whole, ["group", "e_digest"])
-    return pairs, members.select(F.col("group").alias(group), F.col("key").alias(key), "base", "base_length", "extended")
+    named = rows.select(F.col(group).cast("string").alias("group"), F.col(key).alias("key"), T.without_dots(text).alias("text"), F.length(T.strip(text)).alias("whole_length"))
+    pairs, members = beginnings(named.where("group is not null and key is not null and text <> ''"))
+    return pairs, members.select(F.col("group").cast(rows.schema[group].dataType).alias(group), F.col("key").alias(key), "class", "length", "whole_length")
 
 
 def extension_pairs(rows: DataFrame, group: str, key: str, text: str) -> DataFrame:
     """(base, extended, merged) of one group where one definition extends another; no pair of unrelated rows is built. Rows of no group, key
     or text are in no pair. As a text begins with its base, that's only put before it where blanks come first and it is one sentence."""
     pairs, members = extension_classes(rows, group, key, text)
-    bases = members.where("base is not null").select(F.col("base").alias("b"), F.col(key).alias("base"), "base_length")
-    wholes = members.select(F.col("extended").alias("e"), F.col(key).alias("extended"))
-    found = pairs.select(group, F.col("base").alias("b"), F.col("extended").alias("e")).join(bases, "b").join(wholes, "e").where("base <> extended").select(group, "base", "base_length", "extended")
+    bases = members.select(F.col("class").alias("b"), F.col(key).alias("base"), F.col("length").alias("base_length"))
+    wholes = members.select(group, F.col("class").alias("e"), F.col(key).alias("extended"), "whole_length")
+    met = pairs.select(F.col("base").alias("b"), F.col("extended").alias("e")).join(bases, "b").join(wholes, "e")
+    found = met.where((F.col("base") != F.col("extended")) & (F.col("whole_length") > F.col("base_length") * 1.1)).select(group, "base", "base_length", "extended")
     texts = rows.select(group, F.col(key).alias("extended"), F.col(text).alias("whole"))
     e = T.strip("whole")
     as_it_is = (F.left("whole", F.lit(1)) == F.left(e, F.lit(1))) | F.contains("whole", F.lit(";")) | (F.size(T.sentences("whole")) >= 2)
