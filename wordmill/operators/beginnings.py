@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -35,10 +34,10 @@ def beginnings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     # one row a range: its first text and its last, and what the first has in common with the last of the range before
     ends = steps.where("border is not null").groupBy("range_no").agg(*[f(F.struct("group", F.col("border").alias("text")), "range_place").alias(n) for f, n in ((F.min_by, "first"), (F.max_by, "last"))])
     ends = ends.withColumn("before", F.lag("last").over(Window.orderBy("range_no")))
-    met = work.keep(ends.select("range_no", F.col("before.group").alias("g"), F.col("before.text").alias("t"), F.col("first.group").alias("group"), F.col("first.text").alias("text")).mapInPandas(_met, "range_no int, met int"), "met")
+    met = work.keep(ends.select("range_no", F.col("before.group").alias("g"), F.col("before.text").alias("t"), F.col("first.group").alias("group"), F.col("first.text").alias("text")).mapInArrow(_met, "range_no int, met int"), "met")
     rows = steps.where("length is not null").drop("border").join(met, "range_no").withColumn("common", F.coalesce("common", "met")).drop("met")
-    left = work.keep(_by_range(rows.select("length", "common", *_AT)).mapInPandas(_left_open, "range_no int, outlasts int, lengths array<int>, classes array<long>"), "left")
-    carried = left.groupBy(F.lit(0).alias("all")).applyInPandas(_carry, "range_no int, lengths array<int>, classes array<long>")
+    left = work.keep(_by_range(rows.select("length", "common", *_AT)).mapInArrow(_left_open, "range_no int, outlasts int, lengths array<int>, classes array<long>"), "left")
+    carried = left.coalesce(1).sortWithinPartitions("range_no").mapInArrow(_carry, "range_no int, lengths array<int>, classes array<long>")
     opened = carried.select("range_no", F.posexplode(F.arrays_zip("lengths", "classes")).alias("at", "open"))
     opened = opened.select("range_no", (F.col("at").cast("long") - (1 << 40)).alias("range_place"), F.col("open.lengths").alias("length"), F.col("open.classes").alias("class"))
     found = _by_range(rows.withColumn("class", F.lit(None).cast("long")).unionByName(opened, allowMissingColumns=True))
@@ -85,9 +84,10 @@ def _steps(batches):
 
 
 def _met(batches):
-    for pdf in batches:
-        both = zip(pdf["g"], pdf["t"], pdf["group"], pdf["text"])
-        yield pd.DataFrame({"range_no": pdf["range_no"], "met": [len(os.path.commonprefix((t, text))) if g == group and t is not None else -1 for g, t, group, text in both]})
+    for batch in batches:
+        both = zip(*(batch[c].to_pylist() for c in ("g", "t", "group", "text")))
+        met = [len(os.path.commonprefix((t, text))) if g == group and t is not None else -1 for g, t, group, text in both]
+        yield pa.RecordBatch.from_arrays([batch["range_no"], pa.array(met, pa.int32())], ["range_no", "met"])
 
 
 def _step(stack: list[tuple[int, int]], length: int, common: int, name: int) -> bool:
@@ -105,10 +105,11 @@ def _left_open(batches):
     at, outlasts, stack = None, None, []
 
     def row():
-        return pd.DataFrame({"range_no": [at], "outlasts": [outlasts], "lengths": [[n for n, _ in stack]], "classes": [[c for _, c in stack]]})
+        columns = [pa.array([at], pa.int32()), pa.array([outlasts], pa.int32()), pa.array([[n for n, _ in stack]], pa.list_(pa.int32())), pa.array([[c for _, c in stack]], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["range_no", "outlasts", "lengths", "classes"])
 
-    for pdf in batches:
-        for no, place, length, common in zip(*(pdf[c].tolist() for c in (*_AT, "length", "common"))):
+    for batch in batches:
+        for no, place, length, common in zip(*(batch[c].to_pylist() for c in (*_AT, "length", "common"))):
             if no != at:
                 if at is not None:
                     yield row()
@@ -119,16 +120,19 @@ def _left_open(batches):
         yield row()
 
 
-def _carry(left: pd.DataFrame) -> pd.DataFrame:
-    """What each range finds open: of what the range before found, all that its texts have in common outlasts it, and what it leaves open of its own
-    comes on top. A text that a range found open and has again isn't opened twice: the first class of its length counts."""
-    out, found = [], []
-    for no, outlasts, lengths, classes in left.sort_values("range_no")[["range_no", "outlasts", "lengths", "classes"]].itertuples(index=False):
-        out.append((no, [n for n, _ in found], [c for _, c in found]))
-        found = [(n, c) for n, c in found if n <= outlasts]
-        known = {n for n, _ in found}  # open texts are beginnings of one text, so equal lengths are equal texts
-        found = sorted(found + [(int(n), int(c)) for n, c in zip(lengths, classes) if n not in known])
-    return pd.DataFrame(out, columns=["range_no", "lengths", "classes"])
+def _carry(batches):
+    """What each range finds open, by ranges in their order: of what the range before found, all that its texts have in common outlasts it, and what
+    it leaves open of its own comes on top. A text that a range found open and has again isn't opened twice: the first class of its length counts."""
+    found: list[tuple[int, int]] = []
+    for batch in batches:
+        opened = []
+        for no, outlasts, lengths, classes in zip(*(batch[c].to_pylist() for c in ("range_no", "outlasts", "lengths", "classes"))):
+            opened.append((no, found))
+            found = [(n, c) for n, c in found if n <= outlasts]
+            known = {n for n, _ in found}  # open texts are beginnings of one text, so equal lengths are equal texts
+            found = sorted(found + [(n, c) for n, c in zip(lengths, classes) if n not in known])
+        columns = [pa.array([no for no, _ in opened], pa.int32()), pa.array([[n for n, _ in f] for _, f in opened], pa.list_(pa.int32())), pa.array([[c for _, c in f] for _, f in opened], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["range_no", "lengths", "classes"])
 
 
 def _paired(batches):
