@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
-from wordmill.operators import dedupe
+from wordmill.operators import beginnings, dedupe
 
 
 def brute(df, spark):
@@ -15,8 +15,10 @@ def brute(df, spark):
     return sorted(tuple(r) for r in both.select("g", "i", "j", T.merge_extension("s", "u")).collect())
 
 
-@pytest.mark.parametrize("ranges", [1, 4, 13])
-def test_extensions_are_all_pairs(spark, ranges):
+@pytest.mark.parametrize("ranges, head, head_rows", [(1, 64, 1 << 16), (4, 64, 1 << 16), (13, 64, 2), (13, 1, 12), (7, 2, 1)])
+def test_extensions_are_all_pairs(spark, ranges, head, head_rows, monkeypatch):
+    monkeypatch.setattr(beginnings, "HEAD", head)
+    monkeypatch.setattr(beginnings, "HEAD_ROWS", head_rows)
     r = random.Random(ranges)
     texts = ["".join(r.choices(["a", "b", ".", "; ", ". ", "é", "\U0001f600", " "], k=r.randint(0, 9))) for _ in range(150)]
     texts += ["", " ", "...", "a", "a", "a" * 40, "a" * 20, "x....", "x....", None]

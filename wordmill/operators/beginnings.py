@@ -18,6 +18,8 @@ from .lineage import Scratch
 
 #: Pairs that a task gathers before it hands them on.
 _PAIRS = 1 << 16
+#: Characters by which texts are dealt over ranges, and rows that may have the same ones and be sorted by one task.
+HEAD, HEAD_ROWS = 64, 1 << 16
 _AT = ["range_no", "range_place"]
 
 
@@ -27,8 +29,7 @@ def beginnings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     class is paired with itself if one of its rows has a whole_length above its length. Texts aren't empty and no column is null."""
     work = Scratch(texts.sparkSession, "beginnings")
     kind = texts.schema["key"].dataType.simpleString()
-    order = ["group", "text", "key"]  # copies of one text may be in many ranges
-    sorted_ = texts.select("group", "text", "key", "whole_length").repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_ = _sorted(texts.select("group", "text", "key", "whole_length"), work)
     schema = f"group string, key {kind}, length int, common int, whole_length int, range_no int, range_place long, border string"
     steps = work.keep(sorted_.mapInArrow(_steps, schema), "steps")
     # one row a range: its first text and its last, and what the first has in common with the last of the range before
@@ -45,6 +46,20 @@ def beginnings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found.where("base is not null").select("base", "extended").distinct(), found.where("base is null").select("group", "key", "class", "length", "whole_length")
 
 
+def _sorted(texts: DataFrame, work: Scratch) -> DataFrame:
+    """Rows in ranges of (group, text, key), sorted. Spark samples what it deals by and brings that to the driver, so that's the first characters;
+    only texts whose first characters very many rows have, by count, are dealt by all of them and their key, as copies are."""
+    head = texts.withColumn("head", F.left("text", F.lit(HEAD)))
+    counts = head.groupBy("group", "head").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAD_ROWS)
+    common = work.keep(counts.select("group", "head", F.lit(True).alias("is_common")), "heads")
+    if common.isEmpty():
+        dealt = head.repartitionByRange("group", "head")
+    else:
+        told = head.join(common, ["group", "head"], "left")
+        dealt = told.repartitionByRange(F.col("group"), F.col("head"), F.when(F.col("is_common"), F.col("text")), F.when(F.col("is_common"), F.col("key")))
+    return dealt.select(*texts.columns).sortWithinPartitions("group", "text", "key")
+
+
 def _by_range(rows: DataFrame) -> DataFrame:
     """A task for each range, in order of place."""
     n = rows.agg(F.max("range_no")).first()[0]
