@@ -2,17 +2,19 @@
 
 :func:`stream_entries` keeps the entries of each micro-batch, whole under its number, so one that is run again after a failure replaces itself.
 :func:`stream_words` goes on to numbered definitions: for each word Spark's state holds the definitions it has had, the next number and
-the form that is shown, so a micro-batch is compared with nothing but the state of its own words. Within a micro-batch rows go in order of file name
-and line, so as long as files come in the order of their names, any cut of them into micro-batches gives what one batch over all
-files gives, numbers included.
+the form that is shown, so a micro-batch is compared with nothing but the state of its own words. Micro-batches take files in order of their names,
+whenever each was modified, and within one rows go in order of file name and line; so as long as no file comes whose name is before one that an
+earlier run took, any cut of them into micro-batches gives what one batch over all files gives, numbers included.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +23,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions import hashing as H
 from ..functions import text as T
 from ..sources import entries, lines
+from ..sources.files import filesystem, list_files, write_file
 
 #: Lines of one file are numbered in the low bits, files that were modified together are told apart by name.
 LINES = "file string, line_no long, value string"
@@ -51,6 +54,31 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) -
     return files.mapInArrow(_file_lines, LINES)
 
 
+def _turns(folder: str) -> list[list[str]]:
+    """The files of each turn that a run has written to ``folder``, in order."""
+    fs, at = filesystem(folder)
+    found = []
+    for info in sorted(fs.get_file_info(pafs.FileSelector(at, allow_not_found=True)), key=lambda i: i.base_name):
+        if info.base_name.endswith(".txt"):
+            with fs.open_input_stream(info.path, compression=None) as f:
+                found.append(f.read().decode().splitlines())
+    return found
+
+
+def _lines_by_name(spark: SparkSession, folder: str, turns: str, files_per_batch: int) -> DataFrame:
+    """As :func:`stream_lines`, in order of the files' names. Spark takes files as they were modified, which tasks that write at the same time leave to
+    chance; so it is handed lists of ``files_per_batch`` names each, which are written to ``turns`` one after the other."""
+    known = _turns(turns)
+    taken = {path for turn in known for path in turn}
+    names = [path for path, _ in list_files(spark, folder) if path not in taken]
+    filesystem(turns)[0].create_dir(filesystem(turns)[1], recursive=True)
+    for n, start in enumerate(range(0, len(names), files_per_batch), len(known)):
+        write_file(f"{turns}/{n:09d}.txt", "\n".join(names[start : start + files_per_batch]).encode())
+        time.sleep(0.002)  # file times have milliseconds
+    lists = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(turns)
+    return lists.select(F.col("value").alias("path")).repartition(files_per_batch).mapInArrow(_file_lines, LINES)
+
+
 def _parsed(rows: DataFrame) -> DataFrame:
     """Kept entries of lines (file, line_no, value), with the file."""
     keyed = rows.select(F.struct("file", "line_no").alias("line_no"), "value")
@@ -117,12 +145,12 @@ class WordState(StatefulProcessor):
 
 
 def stream_words(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
-    """Definitions and shown forms as files arrive, appended to ``table``; all that is there, then it stops. Needs the RocksDB state store, which
-    is set where the session names none."""
+    """Definitions and shown forms of files as they arrive, by name, appended to ``table``; all that is there, then it stops. What is taken when is
+    written beside ``checkpoint``. Needs the RocksDB state store, which is set where the session names none."""
     setting = "spark.sql.streaming.stateStore.providerClass"
     if "RocksDB" not in spark.conf.get(setting, ""):
         spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    rows = entries.exploded(_parsed(stream_lines(spark, folder, files_per_batch)))
+    rows = entries.exploded(_parsed(_lines_by_name(spark, folder, f"{checkpoint.rstrip('/')}-turns", files_per_batch)))
     sentence = T.first_sentence("gloss")
     rows = rows.select(F.col("line_no.file").alias("file"), F.col("line_no.line_no").alias("line"), "ordinal", "word", F.coalesce("lang_code", F.lit("en")).alias("lang_code"), T.casing_rank("word").cast("int").alias("casing_rank"), T.normalize_word_key("word").alias("word_key"), "pos", F.coalesce(sentence, F.lit("")).alias("source_first_sentence"))
     rows = rows.withColumn("source_hash", H.hash_definition("word", "pos", "source_first_sentence")).withColumn("definition_key", H.definition_key("source_hash"))
