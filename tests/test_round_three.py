@@ -1,12 +1,27 @@
+import datetime
 import gzip
 import json
 import os
 
 from wordmill.operators import snapshot
+from wordmill.plans import queries as Q
 from wordmill.sources import entries
 from wordmill.streaming import ingest
 
 
+def tables(spark, folder, **rows):
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_results_within_the_first_second_are_recent(spark, tmp_path):
+    start = datetime.datetime(2024, 1, 20)
+    rows = [(i, start + datetime.timedelta(microseconds=n)) for i, n in enumerate((-1, 0, 1, 500_000, 1_000_000))]
+    folder = tables(spark, tmp_path, events=(rows, "event_id long, ts timestamp_ntz"))
+    assert sorted(r["event_id"] for r in Q.QUERIES["recent_results"](spark, folder).collect()) == [2, 3, 4]
+
+
 def test_a_stream_takes_files_by_name_whenever_they_were_modified(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
