@@ -273,6 +273,14 @@ def accept_line(line: C, most_words: int) -> Column:
     return F.when((s != "") & (word_count(s) <= most_words * 1.5), s)
 
 
+def made_line(line: C, most_words: int) -> Column:
+    """As ``accept_line``, for a line that may quote something itself: only one pair of quotes around all of it goes."""
+    s = strip(line)
+    wrapped = (F.length(s) >= 2) & F.startswith(s, F.lit('"')) & F.endswith(s, F.lit('"'))
+    s = F.when(wrapped, strip(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s)
+    return F.when((s != "") & (word_count(s) <= most_words * 1.5), s)
+
+
 def search_term(gloss: C) -> Column:
     return F.nullif(F.regexp_extract(col(gloss), r"\A([A-Za-z][A-Za-z0-9\s-]+)", 1), F.lit(""))
 

@@ -156,7 +156,7 @@ def enhance(words: DataFrame, definitions: DataFrame, cache: DataFrame, make: Sy
     if answers:
         asked = answers.dealt(asked, ["word_key", "word_hash"])
     made = asked.mapInPandas(_synthesize(make, tries, answers, at_once), "word_key string, word_hash string, source_pos_list array<string>, source_definition_count int, line string")
-    made = made.withColumn("line", T.accept_line("line", most_words)).where("line is not null").withColumn("enhanced_source", F.lit("llm"))
+    made = made.withColumn("line", T.made_line("line", most_words)).where("line is not null").withColumn("enhanced_source", F.lit("llm"))
     rows = passed.unionByName(made)
     return rows.select("word_key", "word_hash", F.lit(version).alias("enhancement_version"), F.col("line").alias("pocket_definition"), "source_pos_list", "source_definition_count", "enhanced_source", F.lit("accepted").alias("quality_status"), F.lit(now).cast("bigint").alias("updated_at")).to(ENHANCED_WORDS)
 
