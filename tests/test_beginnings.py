@@ -45,3 +45,18 @@ def test_no_rows_and_no_pairs(spark):
     assert dedupe.extension_pairs(spark.createDataFrame([], "g int, k long, t string"), "g", "k", "t").count() == 0
     pairs, members = dedupe.extension_classes(spark.createDataFrame([(1, 1, "x"), (1, 2, "x"), (2, 3, "x y")], "g int, k long, t string"), "g", "k", "t")
     assert pairs.count() == 0 and members.select("class").distinct().count() == 2
+
+
+def test_long_texts_with_the_same_first_characters_are_dealt_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(beginnings, "HEAD_CHARS", 50_000)
+    r = random.Random(5)
+    tails = [f"{r.random()}" for _ in range(60)]
+    rows = [("g", i, "h" * 64 + t, 0) for i, t in enumerate([t * 200 for t in tails] + [t * 200 + " on" for t in tails])]
+    df = spark.createDataFrame(rows, "group string, key long, text string, whole_length int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranges = beginnings._sorted(df, beginnings.Scratch(spark, "test")).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(ranges) > 1
+    assert dedupe.extension_pairs(df, "group", "key", "text").count() == 0  # none is a tenth longer than its base

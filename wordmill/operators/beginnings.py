@@ -18,8 +18,8 @@ from .lineage import Scratch
 
 #: Pairs that a task gathers before it hands them on.
 _PAIRS = 1 << 16
-#: Characters by which texts are dealt over ranges, and rows that may have the same ones and be sorted by one task.
-HEAD, HEAD_ROWS = 64, 1 << 16
+#: Characters by which texts are dealt over ranges, and rows, and characters of these rows, that may have the same ones and be sorted by one task.
+HEAD, HEAD_ROWS, HEAD_CHARS = 64, 1 << 16, 1 << 25
 _AT = ["range_no", "range_place"]
 
 
@@ -48,9 +48,9 @@ def beginnings(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _sorted(texts: DataFrame, work: Scratch) -> DataFrame:
     """Rows in ranges of (group, text, key), sorted. Spark samples what it deals by and brings that to the driver, so that's the first characters;
-    only texts whose first characters very many rows have, by count, are dealt by all of them and their key, as copies are."""
+    only texts whose first characters very many rows or very long ones have, by count, are dealt by all of them and their key, as copies are."""
     head = texts.withColumn("head", F.left("text", F.lit(HEAD)))
-    counts = head.groupBy("group", "head").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAD_ROWS)
+    counts = head.groupBy("group", "head").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).where((F.col("n") > HEAD_ROWS) | (F.col("chars") > HEAD_CHARS))
     common = work.keep(counts.select("group", "head", F.lit(True).alias("is_common")), "heads")
     if common.isEmpty():
         dealt = head.repartitionByRange("group", "head")
