@@ -171,3 +171,13 @@ def test_any_cut_of_the_stream_is_the_batch(spark, tmp_path, many_entries, cuts)
     plain = lambda df: sorted(map(repr, df.collect()))
     assert plain(streaming.read_definitions(spark, table)) == plain(defs) and defs.count() > 60
     assert plain(streaming.read_words(spark, table)) == plain(words)
+
+
+def test_a_task_reads_only_its_part_of_the_index(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"stretch": range(10), "window": [bytes(9)] * 10}), tmp_path / "i.parquet", row_group_size=3)
+    for place in range(10):
+        with open(tmp_path / "i.parquet", "rb") as f:
+            assert lines._index_row(f, place)["stretch"] == place

@@ -33,6 +33,8 @@ STRETCH = 1 << 25
 BLOCK = 64
 
 _STRETCHES = "file string, file_no int, size long, gzipped boolean, stretch int, begin long"
+#: Bytes of a row group of the index, which is what a task reads of it; a hundred rows at least, as Parquet's writer counts.
+GROUP = 1 << 20
 INDEX = "file string, file_no int, stretch int, gzipped boolean, start_bit long, end_bit long, last boolean, window binary, first_line long, n_lines long"
 
 
@@ -276,7 +278,7 @@ def build_index(spark: SparkSession, path: str, folder: str, stretch: int = STRE
     inside = Window.partitionBy("file_no").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     numbered = found.withColumn("inside", F.coalesce(F.sum("n_lines").over(inside), F.lit(0))).join(per_file, "file_no")
     names = [c.split()[0] for c in INDEX.split(", ")]
-    numbered.withColumn("first_line", F.col("file_first") + F.col("inside")).select(*names).write.mode("overwrite").parquet(f"{folder}/index")
+    numbered.withColumn("first_line", F.col("file_first") + F.col("inside")).select(*names).write.mode("overwrite").option("parquet.block.size", GROUP).parquet(f"{folder}/index")
     for name in ("starts", "stretches", "maps", "carried", "windows", "counted"):
         at = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/work/{name}")
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -286,6 +288,17 @@ def build_index(spark: SparkSession, path: str, folder: str, stretch: int = STRE
 # ------------------------------------------------------------ data source
 
 
+def _index_row(f, place: int) -> dict:
+    """A row of a file of the index, without the groups of rows before and after its own."""
+    table = pq.ParquetFile(f)
+    for group in range(table.num_row_groups):
+        n = table.metadata.row_group(group).num_rows
+        if place < n:
+            return table.read_row_group(group).slice(place, 1).to_pylist()[0]
+        place -= n
+    raise IndexError(place)
+
+
 class Stretch(InputPartition):
     """A row of the index, by its file of the table and place there; the window is read by the task."""
 
@@ -315,7 +328,7 @@ class _LinesReader(DataSourceReader):
             return
         fs, _ = filesystem(f"{self.folder}/index")
         with fs.open_input_file(partition.part) as f:
-            row = pq.read_table(f).slice(partition.row, 1).to_pylist()[0]
+            row = _index_row(f, partition.row)
         read = _reader(row["file"])
         lines, number, left = _Lines(_before(read, row)), row["first_line"], row["n_lines"]
 
