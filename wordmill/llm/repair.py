@@ -12,7 +12,9 @@ rules, the number of ids that each one stands for, and the symbols. :class:`Shar
 lengths of its symbols, and only those that hold them are expanded.
 
 Ids are those of the tokenizer's library for the whole text. Words of ``[^\\x20\\x09-\\x0D]+`` are encoded each by itself and known ones are
-looked up; that gives the same ids only with a tokenizer that treats words apart, which is why :func:`encoder` takes no other one.
+looked up; that gives the same ids only with a tokenizer that treats words apart, which is why :class:`Encoder` takes no other one. One that
+lower-cases and tells letters from marks gets words of ASCII and letters up to U+00FF in lower case and without the marks after them, which
+leaves fewer of them.
 
 Defined results: a null or empty text has one token, the end id. Documents of the same doc_id (null first) follow each other by a hash of their
 text, equal rows in any order. A very long text lies in one shard, which is as large as it has to be; the task that writes or reads it holds some
@@ -22,11 +24,14 @@ so a task that runs again replaces what it wrote.
 
 from __future__ import annotations
 
+import functools
 import io
 import json
 import os
+import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -58,12 +63,69 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: What a tokenizer does before its model, for which words of ASCII may be taken apart by :func:`_pieces`.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_IS_LETTER, _IS_OTHER = np.zeros(256, bool), np.zeros(256, bool)
+_IS_LETTER[97:123] = _IS_LETTER[0x80:] = True
+_IS_OTHER[[*b"0123456789'"]] = True
+#: Letters in lower case up to U+00FF, of which none is composed with another, and the characters that
+#: stand for their bytes in the vocabulary where these aren't the bytes' own.
+_LETTERS = re.compile(rb"(?:[a-z]|\xC3[\x9F-\xB6\xB8-\xBF])+")
+_CHARACTERS = [(chr(b), chr(256 + i)) for i, b in enumerate([*range(33), *range(127, 161), 173]) if b in (0x9F, 0xA0, 0xAD)]
+#: Words of letters alone that go to the tokenizer as one text, and bytes of text whose words are told apart at once.
+_JOINED, _SLICE = 512, 1 << 20
+
+
+def _takes_apart(told: dict) -> bool:
+    normalizer, splits = told.get("normalizer") or {}, told.get("pre_tokenizer") or {}
+    split, *rest = splits.get("pretokenizers") or [{}]
+    as_bytes = len(rest) == 1 and rest[0].get("type") == "ByteLevel" and not rest[0]["add_prefix_space"] and not rest[0]["use_regex"]
+    return as_bytes and normalizer.get("normalizers") == _NORMALIZER and split.get("type") == "Split" and split.get("pattern") == {"Regex": _PATTERN}
+
+
+def _pieces(words: bw.Words, apart: bool) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of words that are encoded by themselves, in order, and where each text ends in them. With ``apart`` a word of ASCII and of
+    letters up to U+00FF is in lower case, and letters followed by marks alone are two pieces, as the tokenizer has them; all other words are
+    pieces as they are."""
+    sizes = words.ends - words.starts
+    solid = words.data[~bw.IS_SPACE[words.data]]
+    starts, ends = np.concatenate([[0], np.cumsum(sizes)]), words.first[1:]
+    if apart and len(sizes):
+
+        def inside(which: np.ndarray) -> np.ndarray:
+            """How many of a word's bytes."""
+            before = np.zeros(len(solid) + 1, np.int32)
+            np.cumsum(which, out=before[1:])
+            return np.diff(before[starts])
+
+        lead = np.flatnonzero(solid == 0xC3)
+        lead = lead[lead + 1 < len(solid)]
+        lead = lead[(solid[lead + 1] != 0x97) & (solid[lead + 1] != 0xB7)]
+        wide = solid >= 0x80
+        wide[lead] = wide[lead + 1] = False  # bytes of other characters are left
+        plain = inside(wide) == 0
+        upper = lead[solid[lead + 1] < 0x9F] + 1
+        low = bw.TO_LOWER[solid]
+        low[upper] += 32
+        solid = np.where(np.repeat(plain, sizes), low, solid)
+        is_letter = _IS_LETTER[solid]
+        later = is_letter.copy()  # letters after something else in a word
+        later[1:] &= ~is_letter[:-1]
+        later[starts[:-1]] = False
+        n = inside(is_letter)
+        cut = plain & (n > 0) & (n < sizes) & is_letter[starts[:-1]] & (inside(later) == 0) & (inside(_IS_OTHER[solid]) == 0)
+        ends = ends + np.concatenate([[0], np.cumsum(cut)])[ends]
+        starts = np.sort(np.concatenate([starts, (starts[:-1] + n)[cut]]))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(solid))]), ends
+
+
 class Encoder:
-    """Texts to ids, word by word; ids of words are kept."""
+    """Texts to ids, piece by piece; ids of pieces are kept."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
@@ -73,22 +135,78 @@ class Encoder:
             raise ValueError(f"{path}: words aren't told apart by white space that is dropped")
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        # ids of words as bytes; words that are still in use go on to the next generation
+        # an added token is found in a word before all else, so none may be in a word that is taken apart or in lower case
+        self.added = [t["content"].encode() for t in told.get("added_tokens", [])]
+        self.apart = _takes_apart(told) and all(not t.isalpha() for t in self.added)
+        if self.apart:  # letters in lower case pass all that comes before the model as they are, but for the characters that stand for their bytes
+            self.letters = Tokenizer.from_file(path)
+            self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        # ids of pieces as bytes; pieces that are still in use go on to the next generation
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.held = 0
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.encode().split() for t in texts]  # bytes are split at the six separators alone
+    def _encode(self, pieces: list[bytes]):
+        """Each piece and its ids."""
+        if self.apart:
+            fits = _LETTERS.fullmatch
+            letters, others = [], []
+            for w in pieces:
+                (letters if fits(w) else others).append(w)
+            pieces = others
+            for i in range(0, len(letters), _JOINED):
+                run = letters[i : i + _JOINED]
+                text = b" ".join(run).decode("latin-1")
+                for byte, character in _CHARACTERS:
+                    text = text.replace(byte, character)
+                e = self.letters.encode(text, add_special_tokens=False)
+                raw, ends = np.array(e.ids, "<u4").tobytes(), (4 * np.cumsum(np.bincount(e.word_ids, minlength=len(run)))).tolist()
+                yield from zip(run, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+        yield from zip(pieces, (array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode() for w in pieces], add_special_tokens=False)))
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
         if self.held > _KEPT:
             self.known, self.older, self.held = {}, self.known, 0
         known, older = self.known, self.older
-        missing = list(set().union(*split).difference(known))
-        fresh = [w for w in missing if w not in older]
-        known.update(zip(fresh, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False))))
+        missing = [w for w in pieces if w not in known]
+        known.update(self._encode([w for w in missing if w not in older]))
         known.update((w, older[w]) for w in missing if w in older)
         self.held += sum(map(len, missing)) + 170 * len(missing)
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+        return [known[w] for w in pieces]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, with ``end_id`` after each if there is one, and where each text ends in them."""
+        words = bw.split_words(*bw.text_buffers(texts))
+        lower = words.data.tobytes().lower()
+        apart = self.apart and not any(t.lower() in lower for t in self.added)
+        pieces, ends = _pieces(words, apart)
+        found = pieces.dictionary_encode()
+        ids = self._ids(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+        which = found.indices.to_numpy()
+        if end_id is not None:
+            which = np.insert(which, ends, len(ids))
+            ends = ends + np.arange(1, len(ends) + 1)
+            ids.append(np.array([end_id], "<u4").tobytes())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        n = sizes[which]
+        to = np.concatenate([[0], np.cumsum(n)])
+        kind = np.int32 if max(to[-1], sizes.sum()) < 1 << 31 else np.int64  # half the bytes where they do
+        place = (np.cumsum(sizes, dtype=kind) - sizes)[which] - to[:-1].astype(kind)
+        place = np.repeat(place, n)
+        place += np.arange(len(place), dtype=kind)
+        return np.frombuffer(b"".join(ids), "<u4")[place], to[ends]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
+        flat, ends = self.encode(pa.array(texts, pa.large_string()))
+        return np.split(flat, ends[:-1])
+
+
+@functools.lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder, which its tasks share with the ids that it keeps."""
+    return Encoder(path)
 
 
 # ------------------------------------------------------------ grammar
@@ -231,8 +349,8 @@ class Shard:
 
 def _write(folder: str, path: str, end_id: int, shard_tokens: int, least: int):
     def run(batches):
-        encode = Encoder(path)
-        base, partition = max(encode.size, end_id + 1), TaskContext.get().partitionId()
+        made = encoder(path)
+        base, partition = max(made.size, end_id + 1), TaskContext.get().partitionId()
         ids, tokens, kind, n_files = [], [], None, 0
 
         def flush():
@@ -245,15 +363,15 @@ def _write(folder: str, path: str, end_id: int, shard_tokens: int, least: int):
         held = 0
         for batch in batches:
             kind = batch.column("doc_id").type
-            for some in bw.slices(batch, "text"):
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                for doc_id, found in zip(some.column("doc_id").to_pylist(), encode(texts)):
-                    if held and held + len(found) + 1 > shard_tokens:
+            for some in bw.slices(batch, "text", _SLICE):
+                flat, ends = made.encode(some.column("text"), end_id)
+                for doc_id, a, b in zip(some.column("doc_id").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
+                    if held and held + b - a > shard_tokens:
                         yield flush()
                         ids, tokens, held, n_files = [], [], 0, n_files + 1
                     ids.append(doc_id)
-                    tokens.append(np.append(found, np.uint32(end_id)))
-                    held += len(found) + 1
+                    tokens.append(flat[a:b])
+                    held += b - a
         if ids:
             yield flush()
 
