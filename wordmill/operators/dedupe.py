@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .alike import Workspace, candidates
 from .beginnings import beginnings
 from .ordered import running
 
@@ -47,34 +48,30 @@ def keep_most(rows: DataFrame, by: list[str], order: list[str], most: int) -> Da
     return rows.withColumn("kept_place", F.row_number().over(w)).where(F.col("kept_place") <= most).drop("kept_place")
 
 
-#: Rare words that a pair has to share before it is compared.
-_RARE = 3
+#: Candidates up to which the words that they are confirmed on are looked up by a broadcast.
+_FEW = 500_000
 
 
 def similar_pairs(rows: DataFrame, group: str, key: str, text: str, threshold: float) -> DataFrame:
     """Pairs i < j of one group whose Jaccard similarity of words, without stop words, reaches the threshold.
 
-    Exact, by prefix filtering: two sets that are as similar share k words among the rarest ``n - ceil(t * n) + k``
-    of each (all they share if that is less), so only rows that share so many rare words are compared. Equal sets
-    (copies) are compared once, as one class.
+    Exact. Equal sets (copies) are compared once, as one class; candidates come from blocks of classes (see :mod:`.alike`) and are
+    confirmed on their words. Words are stored once; only their hashes are shuffled, and the words of candidates.
     """
-    sets = rows.select(group, F.col(key).alias("k"), T.content_words(text).alias("words")).where(F.size("words") > 0)
-    sets = sets.withColumn("words", F.array_sort("words")).withColumn("class", F.xxhash64(group, "words"))
-    classes = sets.groupBy(group, "class").agg(F.first("words").alias("words"))
-    spread = classes.select(group, "class", F.size("words").alias("n"), F.explode("words").alias("word"))
-    frequency = spread.groupBy(group, "word").agg(F.count(F.lit(1)).alias("df"))
-    place = Window.partitionBy(group, "class").orderBy("df", "word")
-    prefix = spread.join(frequency, [group, "word"]).withColumn("place", F.row_number().over(place)).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + _RARE)
-    a = prefix.select(group, "word", F.col("class").alias("a"), F.col("n").alias("na"))
-    b = prefix.select(group, "word", F.col("class").alias("b"), F.col("n").alias("nb"))
-    met = a.join(b, [group, "word"]).where((F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * threshold) & (F.col("nb") >= F.col("na") * threshold))
-    shared = F.least(F.lit(_RARE), F.min(F.ceil(F.least("na", "nb") * threshold - 1e-9)))
-    met = met.groupBy(group, "a", "b").agg(F.count(F.lit(1)).alias("n"), shared.alias("least_n")).where("n >= least_n").select(group, "a", "b")
-    left, right = (classes.select(group, F.col("class").alias(c), F.col("words").alias(f"w{c}")) for c in "ab")
+    work = Workspace(rows.sparkSession, "similar-pairs")
+    sets = rows.where(F.col(group).isNotNull()).select(group, F.col(key).alias("k"), F.sort_array(T.content_words(text)).alias("words"))
+    # stored, as words would be made again for each use of them
+    sets = work.keep(sets, "sets").where(F.size("words") > 0).withColumn("class", F.xxhash64(group, "words"))
+    members = work.keep(sets.select(group, "class", "k", F.transform("words", lambda w: F.hash(group, w)).alias("hashes")), "members")
+    met = work.keep(candidates(members, group, work, threshold), "met")
+    touched = met.select(group, F.col("a").alias("class")).union(met.select(group, F.col("b").alias("class"))).distinct()
+    found = sets.join(F.broadcast(touched) if met.count() <= _FEW else touched, [group, "class"], "left_semi").groupBy(group, "class").agg(F.first("words").alias("words"))
+    left, right = (found.select(group, F.col("class").alias(c), F.col("words").alias(f"w{c}")) for c in "ab")
     alike = met.join(left, [group, "a"]).join(right, [group, "b"]).withColumn("similarity", T.similarity("wa", "wb")).where(F.col("similarity") >= threshold).select(group, "a", "b", "similarity")
-    within = classes.select(group, F.col("class").alias("a"), F.col("class").alias("b"), F.lit(1.0).alias("similarity"))
+    copies = members.groupBy(group, "class").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    within = copies.select(group, F.col("class").alias("a"), F.col("class").alias("b"), F.lit(1.0).alias("similarity"))
     both = alike.union(alike.select(group, F.col("b"), F.col("a"), "similarity")).union(within)
-    i, j = sets.select(group, F.col("class").alias("a"), F.col("k").alias("i")), sets.select(group, F.col("class").alias("b"), F.col("k").alias("j"))
+    i, j = (members.select(group, F.col("class").alias(c), F.col("k").alias(k)) for c, k in ("ai", "bj"))
     return both.join(i, [group, "a"]).join(j, [group, "b"]).where("i < j").select(group, "i", "j", "similarity")
 
 
