@@ -5,6 +5,7 @@ from __future__ import annotations
 import mmap
 import os
 import re
+import sys
 import tempfile
 import uuid
 
@@ -75,6 +76,10 @@ def write_file(path: str, data: bytes) -> None:
     fs.move(part, at)
 
 
+#: A mapping keeps no file open, so that a task can have any number of them; Python before 3.13 can't do without.
+_NO_DESCRIPTOR = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+
+
 def mapped(path: str) -> bytes | mmap.mmap:
     """A shared file in memory, without reading it: mapped where the shared folder is mounted, else from a copy that has
     no name any more once it is mapped, so nothing stays on the worker's disk. No file, or an empty one: no bytes."""
@@ -83,13 +88,13 @@ def mapped(path: str) -> bytes | mmap.mmap:
         return b""
     if isinstance(fs, pafs.LocalFileSystem):
         with open(at, "rb") as f:
-            return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+            return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **_NO_DESCRIPTOR)
     with tempfile.TemporaryFile() as copy:
         with fs.open_input_stream(at, compression=None) as src:
             while block := src.read(1 << 22):
                 copy.write(block)
         copy.flush()
-        return mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ)
+        return mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ, **_NO_DESCRIPTOR)
 
 
 def renamed(docs: DataFrame, *needed: str) -> tuple[DataFrame, dict[str, str]]:
