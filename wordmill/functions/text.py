@@ -208,27 +208,39 @@ def technical_marks(c: C) -> Column:
     return total.cast("bigint")
 
 
-def _guarded(pattern: str, first: str) -> str:
-    """The pattern behind a look at the next character: ``first`` has all below U+0100 that it may begin with. A class of many other
-    characters costs a comparison for each of them, which most characters of a text needn't pay."""
-    return rf"(?={first}|[^\x00-\xFF])(?:{pattern})"
+def _at_least(t: Column, pattern: str, n: int) -> Column:
+    """Does the pattern fit ``n`` times or more? The text is read up to the last of these; patterns match one character at least."""
+    return F.size(F.split(t, pattern, n + 1)) > n
 
 
-def _near(marks: str) -> str:
-    return "".join(sorted({c for c in marks if 0x80 <= ord(c) <= 0xFF}))
+def _ranges(marks: str) -> str:
+    """A few ranges that hold the marks, and characters between them."""
+    out: list[list[int]] = []
+    for code in sorted(map(ord, marks)):
+        if out and code - out[-1][1] <= 64:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in out)
 
 
-def _at_least(t: Column, pattern: str, n: int) -> Column:
-    """Does the pattern fit ``n`` times or more? The text is read up to the last of these; patterns match one character at least."""
-    return F.size(F.split(t, pattern, n + 1)) > n
+def _up_to(tokens: str, begins: str) -> str:
+    """All before the next of the tokens, with no way back into it. ``begins`` has each character that a token may begin with.
+
+    Runs of other characters are taken at once: a class of single ones below U+0100 is a look into a table for each of them, and of those
+    above only a few ranges are asked, not every mark. A possessive loop needs no stack, however long the text."""
+    near = "".join(rf"\x{code:02X}" for code in range(256) if chr(code) not in begins)
+    far = _ranges("".join(c for c in begins if c > "\xff"))
+    return rf"(?:(?>[{near}]+)|(?>[^\x00-\xFF{far}]+)|(?!{tokens})(?s:.))*+"
 
 
 def _several_marks(t: Column) -> Column:
     """Two technical marks or more: a mark of two classes, or two of what counts once. No mark counts as part of a run."""
-    runs = [p for p in TECHNICAL if p not in _SINGLE]
-    twice = "".join(marks for n, marks in _IN_CLASSES.items() if n > 1)
-    either = _guarded("|".join([*runs, f"[{_IN_CLASSES[1]}]"]), rf"[0-9+\-={_near(_IN_CLASSES[1])}]")
-    return t.rlike(f"[{twice}]") | _at_least(t, either, 2)
+    # digits and operators needn't be compared with every single mark
+    once = "|".join([*(p for p in TECHNICAL if p not in _SINGLE), rf"(?=[^\x00-\x7F])[{_IN_CLASSES[1]}]"])
+    twice = f"[{''.join(marks for n, marks in _IN_CLASSES.items() if n > 1)}]"
+    before = _up_to(f"{once}|{twice}", "0123456789+-=" + "".join(_IN_CLASSES.values()))
+    return t.rlike(rf"\A{before}(?:{twice}|(?>{once}){before}(?:{once}|{twice}))")
 
 
 def is_helpful(gloss: C) -> Column:
@@ -252,7 +264,10 @@ def needs_context(gloss: C) -> Column:
     t = col(gloss)
     tail = F.substring_index(t, ")", -1)
     head = F.when(F.contains(tail, F.lit("(")), F.concat(F.left(t, F.length(t) - F.length(tail)), F.translate(tail, "(", "\n"))).otherwise(t)
-    return F.coalesce(_at_least(head, _guarded(NOTATION, rf"[a-zA-Z][0-9]|[0-9(+\-={_near(NOTATION)}]"), 3), F.lit(False))
+    # a letter before a digit is looked back at, so no mark begins with a letter; it comes first, as it takes but one of several digits
+    mark = r"(?<=[a-zA-Z])[0-9]|" + NOTATION.replace(r"|[a-zA-Z][0-9]", "")
+    before = _up_to(mark, "0123456789(+-=" + "".join(c for c in NOTATION if c > "\x7f"))
+    return F.coalesce(head.rlike(rf"\A(?>{before}(?:{mark})){{3}}"), F.lit(False))
 
 
 def sanity_reason(candidate: C, most_words: int) -> Column:
