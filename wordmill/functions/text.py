@@ -285,15 +285,18 @@ def sanity_reason(candidate: C, most_words: int) -> Column:
 def accept_line(line: C, most_words: int) -> Column:
     """A model's line without surrounding quotes, or null if it is longer than one and a half times the budget."""
     s = F.regexp_replace(strip(line), "\\A[\"']+|[\"']+\\z", "")
-    return F.when((s != "") & (word_count(s) <= most_words * 1.5), s)
+    return F.when((s != "") & within_budget(s, most_words), s)
 
 
-def made_line(line: C, most_words: int) -> Column:
-    """As ``accept_line``, for a line that may quote something itself: only one pair of quotes around all of it goes."""
+def within_budget(line: C, most_words: int) -> Column:
+    return word_count(line) <= most_words * 1.5
+
+
+def unquoted_line(line: C) -> Column:
+    """A line that may quote something itself: only one pair of quotes around all of it goes; null if nothing is left."""
     s = strip(line)
     wrapped = (F.length(s) >= 2) & F.startswith(s, F.lit('"')) & F.endswith(s, F.lit('"'))
-    s = F.when(wrapped, strip(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s)
-    return F.when((s != "") & (word_count(s) <= most_words * 1.5), s)
+    return F.nullif(F.when(wrapped, strip(F.substring(s, F.lit(2), F.length(s) - 2))).otherwise(s), F.lit(""))
 
 
 def search_term(gloss: C) -> Column:

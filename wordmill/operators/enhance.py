@@ -112,6 +112,8 @@ def _synthesize(make: Synthesizer, tries: int, answers: Answers | None = None, a
     warm, lot_size = _takes_temperature(make), max(_LOT, at_once)
 
     def ask(word: str, pairs: list) -> str | None:
+        if not pairs:  # without a sentence there is nothing to ask about
+            return None
         for heat in temperatures(tries):
             line = make(word, pairs, temperature=heat) if warm else make(word, pairs)
             if line:
@@ -128,7 +130,7 @@ def _synthesize(make: Synthesizer, tries: int, answers: Answers | None = None, a
                     known = answers.known(bucket)
                 keys = list(zip(pdf["word_key"], pdf["word_hash"]))
                 lines = [known.get(key) for key in keys]
-                items = [(word, [(int(d["source_idx"]), d["pos"], d["source_first_sentence"]) for d in defs]) for word, defs in zip(pdf["word_key"], pdf["defs"])]
+                items = [(word, [(int(d["source_idx"]), d["pos"], d["source_first_sentence"]) for d in defs if d["source_first_sentence"] is not None]) for word, defs in zip(pdf["word_key"], pdf["defs"])]
                 missing = [i for i, line in enumerate(lines) if line is None]
                 for start in range(0, len(missing), lot_size):
                     lot = missing[start : start + lot_size]
@@ -147,18 +149,22 @@ def _synthesize(make: Synthesizer, tries: int, answers: Answers | None = None, a
     return run
 
 
-def enhance(words: DataFrame, definitions: DataFrame, cache: DataFrame, make: Synthesizer, most_words: int, now: int, limit: int = 0, tries: int = 1, version: str = ENHANCEMENT_VERSION, answers: Answers | None = None, at_once: int = 1) -> DataFrame:
-    """New cache rows. Words for which ``make`` gives nothing, or more than one and a half times the budget, get none. With ``answers``, what
-    came before a failure isn't asked again; a task asks ``at_once`` words at a time."""
+def enhance(words: DataFrame, definitions: DataFrame, cache: DataFrame, make: Synthesizer, most_words: int, now: int, limit: int = 0, tries: int = 1, version: str = ENHANCEMENT_VERSION, answers: Answers | None = None, at_once: int = 1, review: bool = False) -> DataFrame:
+    """New cache rows. Words for which ``make`` gives nothing, or more than one and a half times the budget, get none; with ``review`` they
+    get one that isn't accepted: the long line as needs_review, no line as failed. With ``answers``, what came before a failure isn't asked
+    again; a task asks ``at_once`` words at a time."""
     todo = work_list(words, definitions, cache, most_words, limit)
-    passed = todo.where("passes").select("word_key", "word_hash", "source_pos_list", F.size("defs").alias("source_definition_count"), F.col("defs")[0]["source_first_sentence"].alias("line"), F.lit("passthrough").alias("enhanced_source"))
-    asked = todo.where("not passes").select("word_key", "word_hash", "source_pos_list", "defs")
+    passed = todo.where("passes").select("word_key", "word_hash", "source_pos_list", F.size("defs").alias("source_definition_count"), F.col("defs")[0]["source_first_sentence"].alias("line"), F.lit("passthrough").alias("enhanced_source"), F.lit("accepted").alias("quality_status"))
+    asked = todo.where("passes is not true").select("word_key", "word_hash", "source_pos_list", "defs")
     if answers:
         asked = answers.dealt(asked, ["word_key", "word_hash"])
     made = asked.mapInPandas(_synthesize(make, tries, answers, at_once), "word_key string, word_hash string, source_pos_list array<string>, source_definition_count int, line string")
-    made = made.withColumn("line", T.made_line("line", most_words)).where("line is not null").withColumn("enhanced_source", F.lit("llm"))
+    made = made.withColumn("line", T.unquoted_line("line")).withColumn("enhanced_source", F.lit("llm"))
+    made = made.withColumn("quality_status", F.when(F.col("line").isNull(), "failed").when(T.within_budget("line", most_words), "accepted").otherwise("needs_review"))
+    if not review:
+        made = made.where("quality_status = 'accepted'")
     rows = passed.unionByName(made)
-    return rows.select("word_key", "word_hash", F.lit(version).alias("enhancement_version"), F.col("line").alias("pocket_definition"), "source_pos_list", "source_definition_count", "enhanced_source", F.lit("accepted").alias("quality_status"), F.lit(now).cast("bigint").alias("updated_at")).to(ENHANCED_WORDS)
+    return rows.select("word_key", "word_hash", F.lit(version).alias("enhancement_version"), F.col("line").alias("pocket_definition"), "source_pos_list", "source_definition_count", "enhanced_source", "quality_status", F.lit(now).cast("bigint").alias("updated_at")).to(ENHANCED_WORDS)
 
 
 #: Ways a gloss is rewritten: as it is, without its notation, or with what a search found.
