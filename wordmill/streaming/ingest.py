@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
@@ -76,7 +77,13 @@ def _lines_by_name(spark: SparkSession, folder: str, turns: str, files_per_batch
         write_file(f"{turns}/{n:09d}.txt", "\n".join(names[start : start + files_per_batch]).encode())
         time.sleep(0.002)  # file times have milliseconds
     lists = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(turns)
-    return lists.select(F.col("value").alias("path")).repartition(files_per_batch).mapInArrow(_file_lines, LINES)
+    found = lists.select(F.col("value").alias("path")).repartition(files_per_batch).mapInArrow(_file_lines, LINES)
+    return found.repartition(_tasks(spark), "file", "line_no")  # what is made of a file's lines is all tasks' work
+
+
+def _tasks(spark: SparkSession) -> int:
+    """Partitions of a micro-batch: what can run at a time, as each one costs its start and a commit of its state however few rows it has."""
+    return max(1, min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _parsed(rows: DataFrame) -> DataFrame:
@@ -147,9 +154,6 @@ class WordState(StatefulProcessor):
 def stream_words(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
     """Definitions and shown forms of files as they arrive, by name, appended to ``table``; all that is there, then it stops. What is taken when is
     written beside ``checkpoint``. Needs the RocksDB state store, which is set where the session names none."""
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    if "RocksDB" not in spark.conf.get(setting, ""):
-        spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     rows = entries.exploded(_parsed(_lines_by_name(spark, folder, f"{checkpoint.rstrip('/')}-turns", files_per_batch)))
     sentence = T.first_sentence("gloss")
     rows = rows.select(F.col("line_no.file").alias("file"), F.col("line_no.line_no").alias("line"), "ordinal", "word", F.coalesce("lang_code", F.lit("en")).alias("lang_code"), T.casing_rank("word").cast("int").alias("casing_rank"), T.normalize_word_key("word").alias("word_key"), "pos", F.coalesce(sentence, F.lit("")).alias("source_first_sentence"))
@@ -160,7 +164,25 @@ def stream_words(spark: SparkSession, folder: str, table: str, checkpoint: str,
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
-    return made.writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    with _settings(spark):
+        return made.writeStream.foreachBatch(keep).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+@contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    """A stream copies the session's settings when it starts. The number of state partitions stays as the checkpoint's first start had it."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    wanted = {"spark.sql.shuffle.partitions": str(_tasks(spark)), "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    if "RocksDB" not in spark.conf.get(provider, ""):
+        wanted[provider] = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    had = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in had.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def read_definitions(spark: SparkSession, table: str) -> DataFrame:
