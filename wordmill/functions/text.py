@@ -99,9 +99,9 @@ def sentences(c: C) -> Column:
 
 
 def first_sentence(gloss: C) -> Column:
-    """The first sentence of a cleaned gloss; null if nothing is left of it."""
-    clean = clean_gloss(gloss)
-    return F.when(clean != "", strip(F.coalesce(F.try_element_at(sentences(clean), F.lit(1)), clean)))
+    """The first sentence of a cleaned gloss; null if nothing is left of it. What follows it isn't read."""
+    head = F.split(strip(unlink(gloss)), r"(?U)(?<=[.!?])\s+", 2)[0]
+    return F.nullif(collapse(head), F.lit(""))
 
 
 def word_count(c: C) -> Column:

@@ -111,46 +111,67 @@ _OUT = "kind string, word_key string, definition_key string, source_idx int, pos
 _NAMES = [c.split()[0] for c in _OUT.split(", ")]
 
 
+_FOUND = "word_key string, kind string, name string, " + _OUT.split(", ", 2)[2].replace("source_idx int, ", "") + ", casing_rank int, file string, line long, ordinal int"
+_ORDER = ["file", "line", "ordinal"]
+
+
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each (word_key, kind, name) that a task has of a micro-batch."""
+    kept, held = None, []
+
+    def first_of(parts: list) -> pa.Table:
+        rows = pa.concat_tables(parts).sort_by([(c, "ascending") for c in _ORDER])
+        places = rows.append_column("at", pa.array(range(rows.num_rows), pa.int64()))
+        return rows.take(places.group_by(["word_key", "kind", "name"]).aggregate([("at", "min")]).column("at_min")).combine_chunks()
+
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        if sum(part.num_rows for part in held) > max(1 << 16, kept.num_rows if kept is not None else 0):
+            kept, held = first_of([kept, *held] if kept is not None else held), []
+    if kept is not None:
+        held.append(kept)
+    if held:
+        yield from first_of(held).to_batches(max_chunksize=4096)
+
+
 class WordState(StatefulProcessor):
-    """A word's definitions so far, the next number, and the form of lowest casing rank, the first of those."""
+    """A word's next number and the casing rank of the form that is shown, the first of the lowest. What comes is new to the word."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "definition_key string", "source_idx int")
         self.word = handle.getValueState("word", "next_idx int, casing_rank int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802
-        order = ["file", "line", "ordinal"]
-        merged: pd.DataFrame | None = None
-        for part in rows:  # of what a word has in a micro-batch, one row a definition and the best form are held
-            part = part if merged is None else pd.concat([merged, part])
-            part = part.sort_values(order, kind="stable")
-            first = part[part["source_first_sentence"].str.len() > 0].drop_duplicates("definition_key")
-            best = part.sort_values(["casing_rank", *order], kind="stable").head(1)
-            merged = pd.concat([first, best]).drop_duplicates(order)
-        if merged is None:
+        parts = [part for part in rows if len(part)]
+        if not parts:
             return
-        state = self.word.get() if self.word.exists() else None
-        next_idx, rank = (int(state[0]), int(state[1])) if state is not None else (0, 1 << 30)
-        out = []
-        for r in merged.sort_values(order, kind="stable").to_dict("records"):
-            if r["source_first_sentence"] and not self.seen.containsKey((r["definition_key"],)):
-                self.seen.updateValue((r["definition_key"],), (next_idx,))
-                out.append(("definition", key[0], r["definition_key"], next_idx, r["pos"], r["source_first_sentence"], r["source_hash"], r["normalized_source"], None, None))
-                next_idx += 1
-        best = merged.sort_values(["casing_rank", *order], kind="stable").iloc[0]
-        if int(best["casing_rank"]) < rank:
-            rank = int(best["casing_rank"])
-            out.append(("word", key[0], None, None, None, None, None, None, best["word"], best["lang_code"]))
+        new = pd.concat(parts).sort_values(_ORDER, kind="stable").reset_index(drop=True)
+        next_idx, rank = map(int, self.word.get()) if self.word.exists() else (0, 1 << 30)
+        kept = new["kind"] == "definition"
+        new["source_idx"] = (next_idx - 1 + kept.cumsum()).astype("Int32").where(kept)
+        next_idx += int(kept.sum())
+        forms = new[~kept]
+        if len(forms) and (best := int(forms["casing_rank"].min())) < rank:
+            rank = best
+            kept[forms["casing_rank"].idxmin()] = True  # the first of the lowest
         self.word.update((next_idx, rank))
-        if out:
-            made = pd.DataFrame(out, columns=_NAMES)
-            made["source_idx"] = made["source_idx"].astype("Int32")
-            yield made
+        if kept.any():
+            yield new.loc[kept, _NAMES].assign(word_key=key[0])
 
     def close(self) -> None:
         pass
 
 
+def _new(rows: DataFrame, tasks: int) -> DataFrame:
+    """Definitions and forms that a word hasn't had, the first of each. That is asked by word and name, so a word with many is all tasks' work."""
+    nothing = F.lit(None).cast("string")
+    of_definition = F.struct(F.lit("definition").alias("kind"), F.col("definition_key").alias("name"), "definition_key", "pos", "source_first_sentence", "source_hash", "normalized_source", nothing.alias("display_word"), nothing.alias("language_code"))
+    of_word = F.struct(F.lit("word").alias("kind"), F.col("word").alias("name"), *[nothing.alias(c) for c in ("definition_key", "pos", "source_first_sentence", "source_hash", "normalized_source")], F.col("word").alias("display_word"), F.col("lang_code").alias("language_code"))
+    both = F.when(F.length("source_first_sentence") > 0, F.array(of_definition, of_word)).otherwise(F.array(of_word))
+    rows = rows.select("word_key", F.explode(both).alias("of"), "casing_rank", *_ORDER).select("word_key", "of.*", "casing_rank", *_ORDER)
+    named = ["word_key", "kind", "name"]
+    return rows.select([c.split()[0] for c in _FOUND.split(", ")]).repartition(tasks, *named).mapInArrow(_firsts, _FOUND).dropDuplicates(named)
+
+
 def stream_words(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
     """Definitions and shown forms of files as they arrive, by name, appended to ``table``; all that is there, then it stops. What is taken when is
     written beside ``checkpoint``. Needs the RocksDB state store, which is set where the session names none."""
@@ -159,7 +180,7 @@ def stream_words(spark: SparkSession, folder: str, table: str, checkpoint: str,
     rows = rows.select(F.col("line_no.file").alias("file"), F.col("line_no.line_no").alias("line"), "ordinal", "word", F.coalesce("lang_code", F.lit("en")).alias("lang_code"), T.casing_rank("word").cast("int").alias("casing_rank"), T.normalize_word_key("word").alias("word_key"), "pos", F.coalesce(sentence, F.lit("")).alias("source_first_sentence"))
     rows = rows.withColumn("source_hash", H.hash_definition("word", "pos", "source_first_sentence")).withColumn("definition_key", H.definition_key("source_hash"))
     rows = rows.withColumn("normalized_source", T.normalize_for_hash("source_first_sentence")).withColumn("pos", T.normalize_pos("pos"))
-    made = rows.groupBy("word_key").transformWithStateInPandas(WordState(), _OUT, "Append", "none")
+    made = _new(rows, _tasks(spark)).groupBy("word_key").transformWithStateInPandas(WordState(), _OUT, "Append", "none")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
